@@ -91,3 +91,34 @@ review AS (
 
 def with_(*parts: str) -> str:
     return "WITH RECURSIVE " + ",".join(p.strip() for p in parts) + "\n"
+
+
+def t_two_sided(t: str, dof: str) -> str:
+    """P(|T| > |t|) by Simpson's rule over the density between 0 and |t|."""
+    return f"""(1 - 2 * exp(lgamma(({dof} + 1) / 2.0) - lgamma({dof} / 2.0)) / sqrt({dof} * pi())
+      * abs({t}) / 4000 / 3 * list_sum(list_transform(range(0, 4001), lambda i:
+        (CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+        * exp(-({dof} + 1) / 2.0 * ln(1 + pow({t} * i / 4000.0, 2) / {dof})))))"""
+
+
+def chi2_sf(x: str, dof: str) -> str:
+    """P(chi-square > x) by Simpson's rule over the density of the square root."""
+    return f"""(1 - sqrt({x}) / 4000 / 3 * exp((1 - {dof} / 2.0) * ln(2) - lgamma({dof} / 2.0))
+      * list_sum(list_transform(range(0, 4001), lambda i:
+        (CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+        * pow(sqrt({x}) * i / 4000.0, {dof} - 1) * exp(-{x} * pow(i / 4000.0, 2) / 2))))"""
+
+
+def fisher_two_sided(a: str, b: str, c: str, d: str) -> str:
+    """Sum of all tables with the same margins that are at most as likely as the observed one."""
+
+    def weight(k: str) -> str:
+        return (
+            f"exp(-lgamma({k} + 1) - lgamma({a} + {b} - {k} + 1) - lgamma({a} + {c} - {k} + 1)"
+            f" - lgamma({d} - {a} + {k} + 1) + lgamma({a} + {b} + 1) + lgamma({c} + {d} + 1)"
+            f" + lgamma({a} + {c} + 1) + lgamma({b} + {d} + 1) - lgamma({a} + {b} + {c} + {d} + 1))"
+        )
+
+    low, high = f"greatest(0, {a} - {d})", f"least({a} + {b}, {a} + {c})"
+    return f"""list_sum(list_transform(range(CAST({low} AS BIGINT), CAST({high} + 1 AS BIGINT)), lambda k:
+      CASE WHEN {weight('k')} <= {weight(a)} * (1 + 1e-7) THEN {weight('k')} ELSE 0 END))"""
