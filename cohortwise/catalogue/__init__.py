@@ -1,8 +1,8 @@
 """The registered queries, and SQL for those that SQL can express."""
 
-from cohortwise.catalogue import cleaning, metrics, unadjusted
+from cohortwise.catalogue import cleaning, logistic, metrics, unadjusted
 
-_FAMILIES = (cleaning, unadjusted, metrics)
+_FAMILIES = (cleaning, unadjusted, metrics, logistic)
 
 QUERIES = {name: query for family in _FAMILIES for name, query in family.QUERIES.items()}
 ORACLES = {name: text for family in _FAMILIES for name, text in family.ORACLES.items()}
