@@ -192,20 +192,3 @@ def hash_order_positions(
         .withColumn(out, F.col("__base") + F.col("__inside") - 1)
         .drop("__prefix", "__base", "__inside")
     )
-
-
-def between_cuts(digest, group, cuts: dict, last: int) -> object:
-    """Number (0-based) of the cut interval that holds the row's digest."""
-    number = None
-    for g, points in cuts.items():
-        steps = F.lit(0)
-        for point in points[:last]:
-            steps = steps + (F.lit(0) if point is None else (digest > point).cast("int"))
-        number = F.when(group == g, steps) if number is None else number.when(group == g, steps)
-    return number
-
-
-__all__ = [
-    "WINDOW_ROWS", "assign_range", "between_cuts", "hash_cut_points",
-    "hash_order_positions", "range_edges", "running_totals",
-]
