@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,16 +26,23 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "8g") -> Spa
     return session
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster names, so that lost executors cost no restart.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Where neither that nor a checkpoint folder
-    is set (tests, local runs) a folder below the session's warehouse is used.
+    Where none is set (tests, local runs) it is a folder below the session's warehouse.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, for tables that are written and read back."""
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder, so that lost executors cost no restart."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            folder = df.sparkSession.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
