@@ -58,6 +58,21 @@ def effects_status(spark, folder):
     return rounded(found, "coefficient", "odds_ratio", "p_value", "ci_95_low", "ci_95_high")
 
 
+def effects_continuous(spark, folder):
+    _, fit = _fit(spark, folder, AnalysisRequest("quantity"))
+    found = logistic.effects_frame(fit).drop("warning")
+    return rounded(found, "coefficient", "odds_ratio", "p_value", "ci_95_low", "ci_95_high")
+
+
+def margins_continuous(spark, folder):
+    rows, fit = _fit(spark, folder, AnalysisRequest("quantity"))
+    found = logistic.average_margins(fit, logistic.margin_grid(rows, fit.design))
+    return rounded(
+        found.select(F.col("exposure_value").cast("double").alias("exposure_value"), "adjusted_probability"),
+        "adjusted_probability",
+    )
+
+
 def score_equations(spark, folder):
     """Sums of x * (y - p) at the adjusted fit, which the maximum makes zero."""
     rows, fit = _fit(spark, folder, ADJUSTED)
@@ -170,6 +185,8 @@ QUERIES = {
     "l1_design_matrix": design_matrix,
     "l2_constant_terms": kept_terms,
     "l4_logit_binary": effects_binary,
+    "l4_logit_continuous": effects_continuous,
+    "l9_margins_continuous": margins_continuous,
     "l4_score_equations": score_equations,
     "l5_fallback": fallback,
     "l6_effects": effects_status,
@@ -234,6 +251,13 @@ ORACLES = {
       WHERE priority <> (SELECT min(priority) FROM cohort)
       UNION ALL SELECT 'line_status', false""",
     "l4_logit_binary": _effects_sql("exposed"),
+    "l4_logit_continuous": sql.with_(sql.COHORT + sql.newton("fit", "quantity", "outcome", "cohort"))
+    + f"""SELECT 'quantity' AS term, {_EFFECT}, round({sql.chi2_sf('(b * b / (se * se))', '1')}, 6) + 0 AS p_value
+      FROM (SELECT b, sqrt(h11 / (h11 * h22 - h12 * h12)) AS se FROM fit WHERE i = 14)""",
+    "l9_margins_continuous": sql.with_(sql.COHORT + sql.newton("fit", "quantity", "outcome", "cohort"))
+    + """SELECT v AS exposure_value, round(1 / (1 + exp(-(a + b * v))), 6) AS adjusted_probability FROM fit,
+      (SELECT DISTINCT unnest(quantile_cont(quantity, [0.05, 0.25, 0.5, 0.75, 0.95]))::DOUBLE AS v FROM cohort)
+      WHERE i = 14""",
     "l4_score_equations": "SELECT unnest(['const', 'exposed', 'quantity', "
     + ", ".join(f"'return_flag_{s}'" for s in _FLAGS)
     + ", "

@@ -57,12 +57,13 @@ def features(spark, folder):
 
 
 def propensity_model(spark, folder):
-    """Mean fitted score per quantity; the planted model has no other influence."""
-    rows = _coded(spark, folder, *COVARIATES).persist()
-    scored = propensity.score_propensity(rows, plans.CODE, COVARIATES, TRADE_SPEC)
-    return scored.groupBy("quantity").agg(
+    """Fitted score per quantity, the only covariate."""
+    rows = _coded(spark, folder, "quantity").persist()
+    scored = propensity.score_propensity(rows, plans.CODE, ["quantity"], TRADE_SPEC)
+    found = scored.groupBy("quantity").agg(
         F.count("*").alias("n"), F.avg(propensity.SCORE).alias("mean_score")
     )
+    return rounded(found, "mean_score", digits=5)
 
 
 def propensity_gradient(spark, folder):
@@ -250,6 +251,30 @@ pairs AS (SELECT a.row_id AS pair_id, a.row_id AS a_id, b.row_id AS b_id, a.outc
   FROM placed a JOIN placed b ON a.place = b.place AND a.code = 1 AND b.code = 0)"""
 
 
+# One step per comparison score, hardest first: it takes from the references left, nearest first.
+_GREEDY = """,
+cells AS (SELECT (quantity - 25) * 0.0625::DOUBLE
+    + CASE return_flag WHEN 'A' THEN 0 WHEN 'N' THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END AS x,
+    sum(code)::BIGINT AS demand, sum(1 - code)::BIGINT AS supply FROM coded GROUP BY 1),
+offered AS (SELECT list(x ORDER BY x) AS offers, list(supply ORDER BY x) AS room FROM cells WHERE supply > 0),
+choosers AS (SELECT x, demand, list_min(list_transform(offers, lambda o: abs(o - x))) AS hardness
+  FROM cells, offered WHERE demand > 0),
+queued AS (SELECT x, demand, row_number() OVER (ORDER BY hardness DESC, x) AS k FROM choosers WHERE hardness <= 0.25),
+wishes AS (SELECT k, any_value(x) AS x, any_value(demand) AS demand, list(p ORDER BY d, p) AS prefs
+  FROM (SELECT k, x, demand, unnest(range(1, len(offers) + 1)) AS p,
+          unnest(list_transform(offers, lambda o: abs(o - x))) AS d FROM queued, offered)
+  WHERE d <= 0.25 GROUP BY k),
+walk(k, x, prefs, takes, remaining) AS (
+  SELECT 0::BIGINT, NULL::DOUBLE, NULL::BIGINT[], NULL::BIGINT[], room FROM offered
+  UNION ALL
+  SELECT k2, x2, prefs2, takes2, list_transform(range(1, len(remaining) + 1), lambda j:
+    remaining[j] - coalesce(takes2[list_position(prefs2, j)], 0))
+  FROM (SELECT v.k AS k2, v.x AS x2, v.prefs AS prefs2, w.remaining,
+      list_transform(range(1, len(v.prefs) + 1), lambda i: greatest(0, least(w.remaining[v.prefs[i]],
+        v.demand - coalesce(list_sum(list_transform(v.prefs[1:i - 1], lambda q: w.remaining[q])), 0)))::BIGINT) AS takes2
+    FROM walk w JOIN wishes v ON v.k = w.k + 1))"""
+
+
 def _smd(name: str, value: str, source: str) -> str:
     return f"""SELECT '{name}' AS covariate, abs(avg({value}) FILTER (WHERE code = 1) - avg({value}) FILTER (WHERE code = 0))
       / sqrt((var_samp({value}) FILTER (WHERE code = 1) + var_samp({value}) FILTER (WHERE code = 0)) / 2) AS smd
@@ -283,6 +308,19 @@ ORACLES = {
         round((b - (SELECT avg(b) FROM filled)) / (SELECT stddev_pop(b) FROM filled), 4) + 0 AS balance, """
     + ", ".join(f"CAST(s = '{s}' AS INTEGER)::DOUBLE AS segment_{s}" for s in _SEGMENTS)
     + " FROM filled",
+    "m4_propensity_model": sql.with_(
+        sql.COHORT + _CODED
+        + """,
+      scale AS (SELECT avg(quantity) AS m, stddev_pop(quantity) AS sd FROM coded),
+      scaled AS (SELECT (quantity - m) / sd AS z, quantity, code FROM coded, scale)"""
+        + sql.newton("fit", "z", "code", "scaled", "1")
+    )
+    + """SELECT quantity, count(*) AS n, round(avg(1 / (1 + exp(-(a + b * z)))), 5) AS mean_score
+      FROM scaled, fit WHERE i = 14 GROUP BY 1""",
+    "m9_greedy_matching": sql.with_(sql.COHORT + _CODED + _GREEDY)
+    + """SELECT x AS logit, abs(x - offers[p]) AS distance, sum(t)::BIGINT AS pairs, sum(t)::BIGINT AS "references"
+      FROM (SELECT w.x, offers, unnest(w.prefs) AS p, unnest(w.takes) AS t FROM walk w, offered WHERE w.k > 0)
+      WHERE t > 0 GROUP BY ALL""",
     "m4_propensity_mean": sql.with_(sql.COHORT + _CODED)
     + "SELECT count(*) AS n, round(avg(code), 5) AS mean_score FROM coded",
     "m5_group_sizes": sql.with_(sql.COHORT + _PLANTED)

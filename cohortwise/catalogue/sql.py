@@ -122,3 +122,23 @@ def fisher_two_sided(a: str, b: str, c: str, d: str) -> str:
     low, high = f"greatest(0, {a} - {d})", f"least({a} + {b}, {a} + {c})"
     return f"""list_sum(list_transform(range(CAST({low} AS BIGINT), CAST({high} + 1 AS BIGINT)), lambda k:
       CASE WHEN {weight('k')} <= {weight(a)} * (1 + 1e-7) THEN {weight('k')} ELSE 0 END))"""
+
+
+def newton(name: str, x: str, y: str, source: str, penalty: str = "0") -> str:
+    """Intercept and slope of a logistic fit on one number, by Newton steps over its patterns.
+
+    ``penalty`` is added to the slope's curvature (half the squared slope is penalised).
+    """
+    return f""",
+{name}_patterns AS (SELECT {x} AS x, count(*)::DOUBLE AS n, sum({y})::DOUBLE AS s FROM {source} GROUP BY 1),
+{name}(i, a, b, h11, h12, h22) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, a + (k22 * g1 - k12 * g2) / (k11 * k22 - k12 * k12),
+    b + (k11 * g2 - k12 * g1) / (k11 * k22 - k12 * k12), k11, k12, k22
+  FROM (SELECT i, a, b, sum(s - n * m) AS g1, sum((s - n * m) * x) - {penalty} * b AS g2,
+          sum(n * m * (1 - m)) AS k11, sum(n * m * (1 - m) * x) AS k12,
+          sum(n * m * (1 - m) * x * x) + {penalty} AS k22
+        FROM (SELECT i, a, b, x, n, s, 1 / (1 + exp(-(a + b * x))) AS m FROM {name}, {name}_patterns
+              WHERE i < 14)
+        GROUP BY i, a, b))"""
