@@ -257,6 +257,12 @@ def _oof(spark, folder):
     return _OUT_OF_FOLD[key]
 
 
+def forget() -> None:
+    """Drop the shared training runs, so that the next query trains anew."""
+    _EVALUATIONS.clear()
+    _OUT_OF_FOLD.clear()
+
+
 def out_of_fold(spark, folder):
     return _oof(spark, folder)
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NUMERIC_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+NUMERIC_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 WHITESPACE = " \t\n\r\x0b\x0c"
 FLOAT_TYPES = (T.DoubleType, T.FloatType)
 
@@ -27,17 +28,11 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 
 def all_true(conditions: Iterable[Column]) -> Column:
-    result = F.lit(True)
-    for condition in conditions:
-        result = result & condition
-    return result
+    return reduce(Column.__and__, conditions)
 
 
 def any_true(conditions: Iterable[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+    return reduce(Column.__or__, conditions)
 
 
 def rate(numerator: Column, denominator: Column, empty: float | None = None) -> Column:

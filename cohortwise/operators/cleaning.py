@@ -48,12 +48,12 @@ def normalise_strings(df: DataFrame, spec: CohortSpec) -> DataFrame:
 
 
 def to_number(c: Column) -> Column:
-    """Text as a double, null where it is not a decimal number."""
-    text = F.trim(c.cast("string"), F.lit(WHITESPACE))
-    return F.when(
-        text.rlike(NUMERIC_TEXT) | F.lower(text).rlike(r"^[+-]?inf(inity)?$"),
-        text.try_cast("double"),
-    )
+    """Text as a double, null where it is not a decimal number.
+
+    The pattern keeps out what the cast alone would take, such as hexadecimal or ``1d``.
+    """
+    text = c.cast("string")
+    return F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
 
 
 def coerce_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -83,15 +83,16 @@ def rule_condition(rule: RangeRule) -> Column:
         checks.append(c > rule.low if rule.low_open else c >= rule.low)
     if rule.high is not None:
         checks.append(c <= rule.high)
-    return c.isNull() | all_true(checks)
+    # A comparison with null is null: such a row counts as valid.
+    return F.coalesce(all_true(checks), F.lit(True))
 
 
 def valid_row(spec: CohortSpec) -> Column:
     """True where every value is null or inside its declared range or label set."""
     checks = [rule_condition(rule) for rule in spec.rules]
     if spec.raw_target is not None:
-        label = col(spec.raw_target)
-        checks.append(label.isNull() | label.isin(spec.low_label, spec.high_label))
+        known = col(spec.raw_target).isin(spec.low_label, spec.high_label)
+        checks.append(F.coalesce(known, F.lit(True)))
     return all_true(checks)
 
 
@@ -114,21 +115,28 @@ def derive_target(df: DataFrame, spec: CohortSpec) -> DataFrame:
 
 
 def _distinct_with_copies(df: DataFrame, spec: CohortSpec) -> DataFrame:
+    """Tidy rows once each, how often they occur, and whether they are valid.
+
+    Validity is an aggregate: as a filter on the keys it would be pushed below the projection
+    and repeat the text work of every column it tests.
+    """
     tidy = coerce_numeric(normalise_strings(df, spec), spec.numeric_columns)
-    return tidy.groupBy(*[col(n) for n in tidy.columns]).agg(F.count("*").alias("__copies"))
+    return tidy.groupBy(*[col(n) for n in tidy.columns]).agg(
+        F.count("*").alias("__copies"), F.every(valid_row(spec)).alias("__valid")
+    )
 
 
 def clean(df: DataFrame, spec: CohortSpec) -> DataFrame:
     """Normalise, coerce, de-duplicate, drop invalid rows, derive the target."""
-    rows = _distinct_with_copies(df, spec).filter(valid_row(spec)).drop("__copies")
+    rows = _distinct_with_copies(df, spec).filter("__valid").drop("__copies", "__valid")
     return derive_target(rows, spec)
 
 
 def cleaning_audit(df: DataFrame, spec: CohortSpec) -> DataFrame:
     """One row of counts for ``clean``: the same single shuffle, read for its copy counts."""
     rows = _distinct_with_copies(df, spec)
-    columns = [n for n in rows.columns if n != "__copies"]
-    ok, copies = valid_row(spec), F.col("__copies")
+    columns = [n for n in rows.columns if not n.startswith("__")]
+    ok, copies = F.col("__valid"), F.col("__copies")
     incomplete = any_true(col(n).isNull() for n in columns)
     count = F.count("*")
     return rows.agg(

@@ -18,6 +18,7 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "8g") -> Spa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("COHORTWISE_DRIVER_MEMORY", memory))
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # larger methods are never compiled by the JVM
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

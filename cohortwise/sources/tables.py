@@ -54,8 +54,32 @@ ORDER_COLUMNS = {"priority", "segment", "balance", "nation", "outcome", "score",
 CUSTOMER_COLUMNS = ORDER_COLUMNS - {"priority"}
 
 
+# The columns used here, declared so that reading a table needs no schema inference job.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, "
+    "l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_type string, value double",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that is scanned in fewer tasks than there are cores.
+
+    A small file may hold a single row group, which one task reads. Large tables have more
+    scan tasks than cores and are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def line_id() -> Column:
@@ -118,7 +142,7 @@ def trade_cohort(spark: SparkSession, folder: str, columns: Iterable[str]) -> Da
         if name not in needed:
             needed.add(name)
             queue += NEEDS.get(name, ())
-    rows = table(spark, folder, "lineitem")
+    rows = spread(table(spark, folder, "lineitem"))
     if needed & ORDER_COLUMNS:
         orders = table(spark, folder, "orders")
         rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey)
@@ -137,6 +161,7 @@ def trade_cohort(spark: SparkSession, folder: str, columns: Iterable[str]) -> Da
 def raw_trade_text(spark: SparkSession, folder: str) -> DataFrame:
     """An all-text table with the usual defects: blanks, ``?``, bad numbers, repeats, suffixes."""
     lines, orders, customer = (table(spark, folder, n) for n in ("lineitem", "orders", "customer"))
+    lines = spread(lines)
     rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         customer, orders.o_custkey == customer.c_custkey
     )
