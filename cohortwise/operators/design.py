@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.functions.columns import col
+from cohortwise.operators.unadjusted import levels_of
 from cohortwise.spec import BINARY, CONTINUOUS, AnalysisError, AnalysisRequest, CohortSpec
 
 INTERCEPT = "const"
@@ -51,7 +52,7 @@ class Design:
 
 
 def build_design(df: DataFrame, request: AnalysisRequest, spec: CohortSpec) -> Design:
-    """Decide the terms from one aggregate over the complete cases.
+    """Decide the terms from the levels and one aggregate over the complete cases.
 
     The first level of a variable in text order is the reference. Variables with a single
     value carry no information and give no term. Terms remember their variable, so a control
@@ -63,12 +64,9 @@ def build_design(df: DataFrame, request: AnalysisRequest, spec: CohortSpec) -> D
         if spec.kind(c) == CONTINUOUS:
             value = col(c).cast("double")
             measures += [F.min(value).alias(f"min{i}"), F.max(value).alias(f"max{i}")]
-        else:
-            # Level dictionaries: distinct values are merged on the map side.
-            levels = F.array_sort(F.collect_set(col(c).cast("string")))
-            measures.append(levels.alias(f"levels{i}"))
     patterns = F.approx_count_distinct(F.xxhash64(*[col(c) for c in columns]))
     row = df.agg(*measures, patterns.alias("patterns")).first()
+    dictionary = levels_of(df, [c for c in columns if spec.kind(c) != CONTINUOUS])
 
     terms, levels, scales = [], {}, {}
     for i, c in enumerate(columns):
@@ -81,8 +79,7 @@ def build_design(df: DataFrame, request: AnalysisRequest, spec: CohortSpec) -> D
             elif is_exposure:
                 raise AnalysisError(f"exposure '{c}' needs at least two distinct values")
             continue
-        found = list(row[f"levels{i}"])
-        levels[c] = found
+        levels[c] = found = dictionary[c]
         if kind == BINARY:
             if len(found) > 2 or (is_exposure and len(found) != 2):
                 raise AnalysisError(f"binary variable '{c}' has {len(found)} levels")

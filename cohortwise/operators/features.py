@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.functions.columns import col
 from cohortwise.operators.quantiles import exact_quantiles
+from cohortwise.operators.unadjusted import levels_of
 from cohortwise.spec import CONTINUOUS, AnalysisError, CohortSpec
 
 SCHEMA_FIELDS = (
@@ -31,26 +32,24 @@ def input_schema(train: DataFrame, features: Iterable[str], spec: CohortSpec) ->
             value = col(f).cast("double")
             measures += [F.min(value).alias(f"a{i}"), F.max(value).alias(f"b{i}")]
         else:
-            level = col(f).cast("string")
-            # Level dictionaries: both aggregates merge on the map side.
-            measures += [
-                F.array_sort(F.collect_set(level)).alias(f"a{i}"), F.mode(level, True).alias(f"b{i}")
-            ]
+            measures.append(F.mode(col(f).cast("string"), True).alias(f"b{i}"))
+    levels = levels_of(train, other)  # bounds the counts that the modes keep
     row = train.agg(*measures).first()
     quantiles = exact_quantiles(train, numeric, [0.05, 0.5, 0.95]) if numeric else {}
     schema: dict[str, dict] = {}
     for i, f in enumerate(features):
-        a, b = row[f"a{i}"], row[f"b{i}"]
-        if b is None:
+        if row[f"b{i}"] is None:
             raise AnalysisError(f"feature '{f}' has no value in the training rows")
         if f in numeric:
             q05, median, q95 = quantiles[f]
             schema[f] = {
-                "kind": CONTINUOUS, "minimum": a, "maximum": b, "q05": q05, "q95": q95,
-                "reference_value": median,
+                "kind": CONTINUOUS, "minimum": row[f"a{i}"], "maximum": row[f"b{i}"],
+                "q05": q05, "q95": q95, "reference_value": median,
             }
         else:
-            schema[f] = {"kind": spec.kind(f), "levels": list(a), "reference_value": b}
+            schema[f] = {
+                "kind": spec.kind(f), "levels": levels[f], "reference_value": row[f"b{i}"],
+            }
     return schema
 
 

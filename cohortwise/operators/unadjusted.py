@@ -8,30 +8,39 @@ from pyspark.sql import functions as F
 from cohortwise.functions.columns import col, rate
 from cohortwise.functions.pvalues import chi2_sf, fisher_two_sided, t_two_sided
 from cohortwise.functions.special import NORMAL_975
+from cohortwise.spec import AnalysisError
 
 SIGNIFICANCE = 0.05
+MAX_LEVELS = 10_000
 
 
-def ordered_levels(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: its distinct non-null levels in text order.
+def distinct_levels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The distinct non-null levels of text or code columns: ``column, level``."""
+    entries = [
+        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("level")) for c in columns
+    ]
+    return df.select(F.inline(F.array(*entries))).filter(F.col("level").isNotNull()).distinct()
 
-    Level sets are dictionaries of categorical variables; the aggregation keeps only distinct
-    values on the map side.
-    """
-    return (
-        df.select(*[col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], columns, "column", "level")
-        .filter(F.col("level").isNotNull())
-        .groupBy("column")
-        .agg(F.array_sort(F.collect_set("level")).alias("levels"))
+
+def ordered_levels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column: its levels in text order."""
+    return distinct_levels(df, columns).groupBy("column").agg(
+        F.array_sort(F.collect_list("level")).alias("levels")
     )
 
 
 def levels_of(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Levels on the driver; a column with too many of them is not categorical."""
     if not columns:
         return {}
-    found = {r.column: list(r.levels) for r in ordered_levels(df, columns).collect()}
-    return {c: found.get(c, []) for c in columns}
+    found = distinct_levels(df, columns).limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise AnalysisError(f"{columns} have more than {MAX_LEVELS} levels in total")
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    for r in found:
+        levels[r.column].append(r.level)
+    # Code point order, as the engine sorts UTF-8.
+    return {c: sorted(v) for c, v in levels.items()}
 
 
 def group_rates(df: DataFrame, exposure: str, outcome: str) -> DataFrame:
