@@ -6,11 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.functions.columns import col
+from cohortwise.functions.columns import col, sigmoid
 from cohortwise.operators.cleaning import coerce_numeric
 from cohortwise.operators.quantiles import exact_quantiles
 from cohortwise.operators.unadjusted import levels_of
@@ -54,6 +53,18 @@ class FeaturePlan:
                 features[f"{c}_{level}"] = (text == level).cast("double")
         return features
 
+    def linear(self, intercept: float, coefficients: list[float]) -> Column:
+        """Intercept plus the weighted features; a level looks its coefficient up."""
+        weights = dict(zip(self.columns(), map(float, coefficients), strict=True))
+        eta = F.lit(float(intercept))
+        for c, (median, mean, sd) in self.numeric.items():
+            eta = eta + (F.coalesce(col(c), F.lit(median)) - mean) / sd * weights[c]
+        for c, levels in self.levels.items():
+            text = F.coalesce(col(c), F.lit(MISSING_LEVEL))
+            found = F.array_position(F.array(*[F.lit(v) for v in levels]), text).cast("int")
+            eta = eta + F.element_at(F.array(*[F.lit(weights[f"{c}_{v}"]) for v in levels]), found)
+        return eta
+
 
 def plan_features(df: DataFrame, covariates, spec: CohortSpec) -> FeaturePlan:
     """Median imputation and population scaling; one indicator per level, missing included."""
@@ -82,29 +93,34 @@ def propensity_features(df: DataFrame, plan: FeaturePlan, keep: list[str]) -> Da
 
 
 def score_propensity(df: DataFrame, code: str, covariates, spec: CohortSpec) -> DataFrame:
-    """Add the probability of the comparison group from an L2-penalised logistic model."""
+    """Add the probability of the comparison group from an L2-penalised logistic model.
+
+    Where many rows share their covariates, the model is fitted on the distinct patterns,
+    weighted by their number of rows; the optimum is the same. Scores are plain expressions.
+    """
     plan = plan_features(df, covariates, spec)
     names = {f"__f{i}": f for i, f in enumerate(plan.columns().values())}
-    wide = df.select("*", *[f.alias(n) for n, f in names.items()])
+    used = [col(c) for c in covariates]
+    size = df.agg(
+        F.count("*").alias("rows"), F.approx_count_distinct(F.xxhash64(*used)).alias("patterns")
+    ).first()
+    if size.patterns * 2 <= size.rows:
+        weighted = df.groupBy(col(code), *used).agg(F.count("*").cast("double").alias("__n"))
+    else:
+        weighted = df.select(col(code), *used, F.lit(1.0).alias("__n"))
+    wide = weighted.select(col(code), "__n", *[f.alias(n) for n, f in names.items()])
     ready = VectorAssembler(inputCols=list(names), outputCol="__features").transform(wide)
-    ready = ready.drop(*names)
-    rows = ready.count()
     model = LogisticRegression(
         featuresCol="__features",
         labelCol=code,
-        regParam=1.0 / (INVERSE_PENALTY * rows),
+        weightCol="__n",
+        regParam=1.0 / (INVERSE_PENALTY * size.rows),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=MAX_ITERATIONS,
         tol=1e-10,
-        probabilityCol="__probability",
-        rawPredictionCol="__raw",
-        predictionCol="__prediction",
-    ).fit(ready)
-    scored = model.transform(ready)
-    return scored.withColumn(SCORE, vector_to_array("__probability")[1]).drop(
-        "__features", "__probability", "__raw", "__prediction"
-    )
+    ).fit(ready.select(col(code), "__n", "__features"))
+    return df.withColumn(SCORE, sigmoid(plan.linear(model.intercept, list(model.coefficients))))
 
 
 def group_sizes(df: DataFrame, code: str) -> DataFrame:
