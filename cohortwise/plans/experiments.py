@@ -30,6 +30,8 @@ SEARCH_SPACE = {
 
 def prepare(df: DataFrame, spec: CohortSpec, folds: int = CV_FOLDS) -> tuple[DataFrame, dict]:
     """Feature vectors with outer fold and key, persisted, and their schema."""
+    # Schema, class sizes and fold bounds each read the rows.
+    df = df.select(col(spec.key), col(spec.target), *[col(f) for f in spec.features]).persist()
     schema = features.input_schema(df, spec.features, spec)
     ready = boosting.add_training_columns(boosting.assemble(df, schema), spec.target)
     ready = splits.add_folds(ready, spec.target, spec.key, folds, "fold")
