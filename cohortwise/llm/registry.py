@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cohortwise.llm import lm_query, near_dedup_query
+from cohortwise.llm import lm_query, near_dedup_query, token_files_query
 
-_MODULES = (near_dedup_query, lm_query)
+_MODULES = (token_files_query, near_dedup_query, lm_query)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: text for m in _MODULES for name, text in m.ORACLES.items()}
