@@ -7,12 +7,13 @@ from cohortwise.llm import (
     mixing_query,
     near_dedup_query,
     packing_query,
+    phrase_query,
     pii_query,
     quality_query,
     token_files_query,
 )
 
-_MODULES = (token_files_query, quality_query, packing_query, near_dedup_query, mixing_query, pii_query, lm_query)
+_MODULES = (token_files_query, quality_query, phrase_query, packing_query, near_dedup_query, mixing_query, pii_query, lm_query)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: text for m in _MODULES for name, text in m.ORACLES.items()}
