@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.llm.common import arrow_map, bytes_of, crc32_of_id, pieces, whole_groups, written
+from cohortwise.llm.common import arrow_map, bytes_of, crc32_of_id, pieces, run_starts, whole_groups, written
 from cohortwise.llm.words import BASE, hash_words, mix
 
 END = np.uint64(0x5CF1A20C9E3779B9)
@@ -42,8 +42,8 @@ CLASSES = 64
 class LmSettings:
     """Text bytes of a block, and n-gram entries summed in one group."""
 
-    block_bytes: int = 12 << 20
-    slice_entries: int = 4_000_000
+    block_bytes: int = 8 << 20
+    slice_entries: int = 2_000_000
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -131,25 +131,25 @@ class BlockGrams:
 
     def __init__(self, row, slices: int):
         self.words = np.frombuffer(row["words"], np.uint64)
-        self.tokens = _unpack(row["tokens"]).astype(np.int64)
+        self.tokens = _unpack(row["tokens"]).astype(np.int32)
         self.counts = np.frombuffer(row["counts"], np.int64)
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.ends = np.cumsum(self.counts)
         self.starts = self.ends - self.counts
         width = len(self.words) + 1
-        self.before = np.empty(len(self.tokens), np.int64)  # 0: begin, else rank + 1
+        self.before = np.empty(len(self.tokens), np.int32)  # 0: begin, else rank + 1
         self.before[1:] = self.tokens[:-1] + 1
         self.before[self.starts] = 0
         self.in_train = np.repeat(~self.held, self.counts)
-        pair = self.before * width + self.tokens
-        order = np.argsort(pair, kind="stable")
-        ordered = pair[order]
-        new = np.ones(len(ordered), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        self.pair_of = np.empty(len(order), np.int64)
-        self.pair_of[order] = np.cumsum(new) - 1
-        self.pairs = ordered[new]
-        self.first, self.second = self.pairs // width, self.pairs % width
+        pair = self.before.astype(np.int64) * width + self.tokens
+        order = np.argsort(pair)
+        pair = pair[order]
+        new = np.ones(len(pair), bool)
+        new[1:] = pair[1:] != pair[:-1]
+        self.pair_of = np.empty(len(order), np.int32)
+        self.pair_of[order] = np.cumsum(new, dtype=np.int32) - 1
+        pair = pair[new]
+        self.first, self.second = (pair // width).astype(np.int32), (pair % width).astype(np.int32)
         contexts = np.append(BEGIN, self.words)
         keys = mix(contexts[self.first] * BASE + self.words[self.second])
         self.keys = np.concatenate([self.words, keys])
@@ -159,12 +159,23 @@ class BlockGrams:
 
     def train_counts(self) -> np.ndarray:
         words = np.bincount(self.tokens[self.in_train], minlength=len(self.words))
-        pairs = np.bincount(self.pair_of[self.in_train], minlength=len(self.pairs))
+        pairs = np.bincount(self.pair_of[self.in_train], minlength=len(self.first))
         return np.concatenate([words, pairs])
 
 
+def _six(keys: np.ndarray) -> bytes:
+    """The low six bytes of each key; the slice stands for the rest."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _of_six(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).reshape(-1)
+
+
 def gram_slices(blocks: DataFrame, slices: int) -> DataFrame:
-    """What each block sends to each slice: keys, training counts, how many keys are words."""
+    """What each block sends to each slice: words, bigrams, and their training counts in that order."""
 
     def work(batches):
         for batch in batches:
@@ -172,33 +183,49 @@ def gram_slices(blocks: DataFrame, slices: int) -> DataFrame:
                 grams = BlockGrams(row, slices)
                 keys, counts = grams.keys[grams.order], grams.train_counts()[grams.order]
                 is_word = grams.order < len(grams.words)
-                packed, got, words = [], [], []
+                words, pairs, got = [], [], []
                 used = np.flatnonzero(np.diff(grams.bounds))
                 for s in used:
                     a, b = grams.bounds[s], grams.bounds[s + 1]
-                    packed.append(keys[a:b].tobytes())
+                    cut = a + int(is_word[a:b].sum())  # the order is stable: words come first
+                    words.append(keys[a:cut].tobytes())
+                    pairs.append(_six(keys[cut:b]))
                     got.append(_pack(counts[a:b]))
-                    words.append(int(is_word[a:b].sum()))  # the order is stable: words come first
                 for at in range(0, len(used), 64):
                     part = slice(at, at + 64)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(used[part], pa.int32()),
                             pa.array([row["block"]] * len(used[part]), pa.int64()),
-                            pa.array(words[part], pa.int32()),
-                            pa.array(packed[part], pa.binary()),
+                            pa.array(words[part], pa.binary()),
+                            pa.array(pairs[part], pa.binary()),
                             pa.array(got[part], pa.binary()),
                         ],
-                        names=["slice", "block", "n_words", "keys", "counts"],
+                        names=["slice", "block", "words", "pairs", "counts"],
                     )
 
     return arrow_map(
         blocks.select("block", "held", "counts", "words", "tokens"),
         work,
-        "slice int, block long, n_words int, keys binary, counts binary",
+        "slice int, block long, words binary, pairs binary, counts binary",
     )
 
 
+def _sum_equal(parts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """The total of each key over all parts, part by part, and how many keys have a total."""
+    keys = np.concatenate(parts)
+    if not len(keys):
+        return [np.zeros(0, np.int64)] * len(parts), 0
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(order), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    total = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), np.flatnonzero(new))
+    back = np.empty(len(order), np.int64)
+    back[order] = total[np.cumsum(new) - 1]
+    return np.split(back, np.cumsum([len(p) for p in parts])[:-1]), int((total > 0).sum())
+
+
 def summed(parts: DataFrame) -> DataFrame:
     """Totals over all blocks, sent back to each block in the order of its keys.
 
@@ -208,25 +235,15 @@ def summed(parts: DataFrame) -> DataFrame:
     def work(batches):
         for table in whole_groups(batches, ["slice"]):
             numbers = table.column("slice").to_numpy()
-            edges = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers))
+            edges = run_starts(numbers)
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 group = table.slice(a, b - a)
-                data, bounds = bytes_of(group.column("keys"))
-                keys = data.view(np.uint64) if len(data) else np.zeros(0, np.uint64)
-                lengths = np.diff(bounds) // 8
-                n_words = group.column("n_words").to_numpy()
-                counts = np.concatenate([_unpack(c.as_py()) for c in group.column("counts")]).astype(np.int64)
-                offsets = np.cumsum(lengths) - lengths
-                is_word = np.arange(len(keys)) - np.repeat(offsets, lengths) < np.repeat(n_words, lengths)
-                order = np.lexsort((is_word, keys)) if _clash(keys, is_word) else np.argsort(keys)
-                ordered, kind = keys[order], is_word[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (ordered[1:] != ordered[:-1]) | (kind[1:] != kind[:-1])
-                total = np.add.reduceat(counts[order], np.flatnonzero(new))
-                known = int(((total > 0) & kind[new]).sum())
-                back = np.empty(len(order), np.int64)
-                back[order] = total[np.cumsum(new) - 1]
-                packed = [_pack(back[o : o + n]) for o, n in zip(offsets.tolist(), lengths.tolist())]
+                words = [np.frombuffer(v.as_py(), np.uint64) for v in group.column("words")]
+                pairs = [_of_six(v.as_py()) for v in group.column("pairs")]
+                counts = [_unpack(v.as_py()) for v in group.column("counts")]
+                words_back, known = _sum_equal(words, [c[: len(w)] for c, w in zip(counts, words)])
+                pairs_back, _ = _sum_equal(pairs, [c[len(w) :] for c, w in zip(counts, words)])
+                packed = [_pack(np.concatenate(both)) for both in zip(words_back, pairs_back)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         group.column("block").combine_chunks(),
@@ -241,11 +258,6 @@ def summed(parts: DataFrame) -> DataFrame:
     return arrow_map(ready, work, "block long, slice int, totals binary, known long")
 
 
-def _clash(keys: np.ndarray, is_word: np.ndarray) -> bool:
-    """Whether a word and a bigram of the slice have the same hash."""
-    return len(np.intersect1d(np.unique(keys[is_word]), np.unique(keys[~is_word]), assume_unique=True)) > 0
-
-
 def _by_block(df: DataFrame, buckets: int) -> DataFrame:
     """A table in the warehouse, bucketed by block, so that joins on the block need no shuffle."""
     name = f"llm_blocks_{uuid.uuid4().hex}"
@@ -331,10 +343,10 @@ def language_model_scores(docs: DataFrame, settings: LmSettings = LmSettings())
     ).first()
     train, texts = int(size.train or 0), int(size.texts or 0)
     slices = int(size.tokens or 0) // settings.slice_entries + buckets
-    totals = summed(gram_slices(blocks, slices)).groupBy("block").agg(
-        F.collect_list(F.struct("slice", "totals")).alias("parts"), F.sum("known").alias("known")
+    back = summed(gram_slices(blocks, slices)).repartition(buckets, "block").groupBy("block")
+    totals = _by_block(
+        back.agg(F.collect_list(F.struct("slice", "totals")).alias("parts"), F.sum("known").alias("known")), buckets
     )
-    totals = _by_block(totals.repartition(buckets, "block"), buckets)
     known = int(totals.agg(F.sum("known").alias("known")).first().known or 0)
     joined = blocks.join(totals, "block").select("ids", "held", "counts", "words", "tokens", "parts")
     leave = leaving(joined.drop("ids"), slices, texts)
