@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortwise.llm import (
+    language_query,
     lm_query,
     mixing_query,
     near_dedup_query,
@@ -11,9 +12,21 @@ from cohortwise.llm import (
     pii_query,
     quality_query,
     token_files_query,
+    toxicity_query,
 )
 
-_MODULES = (token_files_query, quality_query, phrase_query, packing_query, near_dedup_query, mixing_query, pii_query, lm_query)
+_MODULES = (
+    token_files_query,
+    quality_query,
+    phrase_query,
+    language_query,
+    toxicity_query,
+    packing_query,
+    near_dedup_query,
+    mixing_query,
+    pii_query,
+    lm_query,
+)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: text for m in _MODULES for name, text in m.ORACLES.items()}
