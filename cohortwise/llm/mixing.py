@@ -77,57 +77,83 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def mixed(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """``doc_id source size source_size target copies taken``, one row per row of ``docs``.
+FIRST = -(1 << 63)
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are ignored. A null text has size
-    0 and is taken like any other of its source; a null source is a source. A source without words
-    has target 0 and its documents are not repeated. Rows that repeat an id are rows of their own; ties
-    of the seeded order go by id and size. An empty table gives an empty one.
-    """
-    sizes = written(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            word_count().alias("size"),
-        ).withColumn("draw", draw(F.col("doc_id"), settings.seed))
-    )
-    sources = written(source_targets(sizes, settings)).withColumn(
-        "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    )
-    sources = sources.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")).withColumn(
-        "ranges", (F.col("rows") / settings.range_rows).cast("long") + 1
-    )
-    # one row per source; beyond the bound the join is an ordinary one
-    small = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    hint = F.broadcast if small else (lambda df: df)
-    same = lambda a, b: a.source.eqNullSafe(b.source)
 
-    placed = sizes.join(hint(sources), same(sizes, sources)).select(
-        sizes["*"], "source_size", "target", "whole", "rest", "ranges"
+def _sized(docs: DataFrame, settings: MixSettings) -> DataFrame:
+    """``docs`` with ``_source``, ``_size`` and ``_key``, the place in the seeded order of its source."""
+    size = word_count()
+    number = F.col("doc_id").cast("long")
+    return docs.select(
+        "*", F.col("source").cast("string").alias("_source"), size.alias("_size"), draw(number, settings.seed).alias("_draw")
+    ).withColumn(
+        "_key", F.struct(F.col("_draw").alias("draw"), F.coalesce(number, F.lit(FIRST)).alias("id"), F.col("_size").alias("size"))
     )
-    placed = placed.withColumn("range", F.shiftright(F.col("draw") * F.col("ranges"), 32))
-    totals = placed.groupBy("source", "range").agg(F.sum("size").alias("range_size"), F.first("rest").alias("rest"))
-    running = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _hint(df: DataFrame) -> DataFrame:
+    """Broadcast a table with a row per source if it is small; else leave the join to Spark."""
+    small = df.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    return F.broadcast(df) if small else df
+
+
+def _range_of(key: str = "_key") -> Column:
+    return F.shiftright(F.col(key)["draw"] * F.col("_ranges"), 32)
+
+
+def mixing_plan(sized: DataFrame, settings: MixSettings) -> DataFrame:
+    """One row per source: its target, whole repetitions, and where the seeded order is cut.
+
+    A document has one more repetition if its hash range is below ``_cut``, or equal with a key up to
+    ``_limit``.
+    """
+    sizes = written(sized.select(F.col("_source").alias("source"), F.col("_size").alias("size"), "_key"))
+    sources = written(
+        source_targets(sizes, settings).select(
+            F.col("source").alias("_of"),
+            F.col("source_size").alias("_source_size"),
+            F.col("target").alias("_target"),
+            ((F.col("rows") / settings.range_rows).cast("long") + 1).alias("_ranges"),
+            F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("_whole"),
+        )
+    ).withColumn("_rest", F.col("_target") - F.col("_whole") * F.col("_source_size"))
+    placed = sizes.join(_hint(sources), sizes.source.eqNullSafe(sources._of)).withColumn("range", _range_of())
+    totals = placed.groupBy("_of", "range").agg(F.sum("size").alias("range_size"), F.first("_rest").alias("_rest"))
+    running = Window.partitionBy("_of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("before", F.coalesce(F.sum("range_size").over(running), F.lit(0)))
     # the range in which the running size passes the rest of the target
-    cut = totals.filter("before <= rest and rest < before + range_size").select("source", "range", "before")
-    cut = written(cut.groupBy("source").agg(F.max("range").alias("cut"), F.max("before").alias("before")))
-    marked = placed.join(hint(cut), placed.source.eqNullSafe(cut.source), "left").select(placed["*"], "cut", "before")
-    inside = marked.filter(F.col("range") == F.col("cut"))
-    first = Window.partitionBy("source").orderBy("draw", "doc_id", "size")
-    so_far = F.coalesce(F.sum("size").over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    nearest = (2 * (F.col("before") + F.col("so_far")) + F.col("size")) <= 2 * F.col("rest")
-    ordered = inside.withColumn("so_far", so_far).withColumn("extra", F.col("size").isNotNull() & nearest)
-    outside = marked.filter(~F.coalesce(F.col("range") == F.col("cut"), F.lit(False))).withColumn(
-        "extra", F.coalesce(F.col("range") < F.col("cut"), F.lit(False))
+    passing = totals.filter("before <= _rest and _rest < before + range_size")
+    cut = written(
+        passing.groupBy(F.col("_of").alias("cut_of")).agg(F.max("range").alias("_cut"), F.max("before").alias("before"))
     )
-    kept = ["doc_id", "source", "size", "source_size", "target", "whole", "extra"]
-    copies = F.col("whole") + F.col("extra").cast("long")
-    return (
-        ordered.select(*kept)
-        .unionByName(outside.select(*kept))
-        .withColumn("copies", copies)
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("whole", "extra")
+    inside = placed.join(_hint(cut), placed._of.eqNullSafe(cut.cut_of) & (placed.range == cut._cut))
+    first = Window.partitionBy("_of").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = F.col("before") + F.coalesce(F.sum("size").over(first), F.lit(0))
+    nearest = inside.withColumn("so_far", so_far).filter("2 * so_far + size <= 2 * _rest")
+    limits = nearest.groupBy(F.col("_of").alias("limit_of")).agg(F.max("_key").alias("_limit"))
+    whole = sources.join(cut, sources._of.eqNullSafe(cut.cut_of), "left")
+    return written(whole.join(limits, whole._of.eqNullSafe(limits.limit_of), "left").drop("cut_of", "limit_of", "before"))
+
+
+def repetitions(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
+    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``, one row per row of ``docs``.
+
+    ``docs`` needs ``doc_id``, ``text`` and ``source``; its other columns stay as they are. A null text has
+    size 0 and is taken like any other of its source; a null source is a source. A source without
+    words has target 0 and is not repeated. Rows that repeat an id are rows of their own; ties of the
+    seeded order go by id (none first) and size. An empty table gives an empty one.
+    """
+    sized = _sized(docs, settings)
+    plan = mixing_plan(sized, settings)
+    rows = sized.join(_hint(plan), sized._source.eqNullSafe(plan._of)).withColumn("_range", _range_of())
+    extra = F.when(F.col("_range") < F.col("_cut"), 1).when(
+        (F.col("_range") == F.col("_cut")) & (F.col("_key") <= F.col("_limit")), 1
     )
+    copies = F.col("_whole") + F.coalesce(extra, F.lit(0)).cast("long")
+    return rows.select(*(docs[c] for c in docs.columns), "_size", "_source_size", "_target", copies.alias("_copies"))
+
+
+def mixed(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
+    """The mix: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
+    rows = repetitions(docs, settings).filter("_copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)

@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortwise.llm.common import documents
-from cohortwise.llm.mixing import mixed
+from cohortwise.llm.mixing import repetitions
 
 
 def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
-    return mixed(documents(spark, folder))
+    rows = repetitions(documents(spark, folder).select("doc_id", "text", "source"))
+    return rows.select(
+        "doc_id",
+        "source",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        F.col("_copies").alias("copies"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
+    )
 
 
 QUERIES = {"op8_water_filling": op8_water_filling}

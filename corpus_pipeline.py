@@ -1,12 +1,72 @@
-"""From raw documents to packed sequences."""
+"""From raw documents to packed sequences: quality rules, near-duplicates, personal data, mixing, packing.
+
+Every stage takes the table that the stage before wrote, and its decisions take effect on all rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortwise.llm.common import documents, written
+from cohortwise.llm.mixing import mixed
+from cohortwise.llm.packing import pack_documents
+from cohortwise.llm.packing_query import settings as pack_settings
+from cohortwise.llm.pii import redact
+from cohortwise.llm.quality import POLICIES, ledger, verdict
+from cohortwise.llm.setsketch import near_duplicates
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the current policy keeps."""
+    rows = ledger(docs, tuple(docs.columns))
+    return rows.filter(verdict(POLICIES["v2"])).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows without an id stay unless they are linked to a row with one. Of rows that repeat an id, one stays.
+    """
+    judged = written(near_duplicates(docs.select("doc_id", "text")).select("doc_id", "kept"))
+    by_id = judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")).filter("doc_id is not null")
+    gone = by_id.filter("not kept").select(F.col("doc_id").alias("_gone"))
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    if by_id.filter("rows > 1").limit(1).count():  # without repeated ids there is nothing to choose
+        left = left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
+    return left
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    clean = redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else clean
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights; a document occurs as often as it is taken."""
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences."""
+    return pack_documents(docs, pack_settings())
+
 
-STAGES = []
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("personal_data", personal_data),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+# Register scores, the trained span classifier and tokenizers are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; what a stage returns is written and read by the next."""
+    docs = documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
