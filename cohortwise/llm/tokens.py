@@ -6,8 +6,8 @@ there and its parts be looked up in a bounded memory of parts met before. Two cu
 ``words``
     for tokenizers that drop white space and lower-case: between words.
 ``spaced``
-    for byte-level tokenizers that keep the space with the word after it: before a space that
-    follows something other than white space.
+    for byte-level tokenizers that keep the space with the word after it: before a space or line end
+    that follows something other than white space.
 
 Parts that are plain Latin letters go to the byte-pair model itself; every other part goes through
 the whole tokenizer. Whether the short way agrees is probed once per process, and without agreement
@@ -20,14 +20,16 @@ import json
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 
 REMEMBERED = 400_000
-LETTERS = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-SPACE_RUN = re.compile(r"[\s᠎] ")
-CUT = re.compile(r"(?<=[^\s᠎])(?= )")
-PROBES = ("the", "Of", "tokens,", "Été.", "señor", "größe!", " word", " Über;", "x", " a,")
+LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = ".,;:!?"
+SPACE_RUN = re.compile("[\\s\u180e][ \n]")
+CUT = re.compile("(?<=[^\\s\u180e])(?=[ \n])")
+PROBES = ("the", "Of", "tokens,", "Été.", "señor", "größe!", "Über;", "x", "a,", "New", "I")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -40,6 +42,24 @@ def _byte_alphabet() -> dict[int, str]:
     return table
 
 
+class Memory(dict):
+    """Parts met before. When half of it is full, the other half, not used since, is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, part):
+        ids = self.before.get(part)
+        if ids is None:
+            ids = self.make(part)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[part] = ids
+        return ids
+
+
 class PartEncoder:
     """Ids of texts as packed unsigned integers of 2 or 4 bytes."""
 
@@ -51,41 +71,45 @@ class PartEncoder:
         self.model = self.tokenizer.model
         self.cut = cut
         self.kind = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 65536 else np.uint32)
-        self.memory: dict = {}
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.alphabet = _byte_alphabet()
         self.lower = '"Lowercase"' in json.dumps(json.loads(description).get("normalizer"))
+        self.words = Memory(lambda part: self._part(part.decode()))
+        self.bare = Memory(self._part)
+        self.spaced = Memory(lambda part: self._part(part, " "))
         self.short = True
-        self.short = all(self._short(p) == self._whole(p) for p in PROBES if cut == "spaced" or p[0] != " ")
-
-    def _pack(self, ids) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        self.short = all(
+            self._piece(lead + p) == self._whole(lead + p) for p in PROBES for lead in ("", " ", "\n") if cut == "spaced" or not lead
+        )
 
     def _whole(self, part: str) -> bytes:
-        return self._pack(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        return array(self.code, self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def _model(self, piece: str) -> bytes:
-        return self._pack([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))])
-
-    def _short(self, part: str) -> bytes | None:
-        found = LETTERS.fullmatch(part) if self.short else None
-        if not found or (found[1] and self.cut == "words"):
+        text = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def _piece(self, part: str) -> bytes | None:
+        """Ids of letters with at most one space or line end before and one mark after; else nothing."""
+        lead = part[0] if part[0] in " \n" else ""
+        body = part[len(lead) :]
+        mark = body[-1] if body and body[-1] in MARKS else ""
+        body = body[:-1] if mark else body
+        if not LATIN.fullmatch(body) or (lead and self.cut == "words"):
             return None
-        body = found[1] + (found[2].lower() if self.lower else found[2])
-        if found[3]:
-            return self._remember(body) + self._remember(found[3])
-        return self._model(body)
-
-    def _remember(self, part: str) -> bytes:
-        key = part.encode() if self.cut == "words" else part
-        ids = self.memory.get(key)
-        if ids is None:
-            ids = self._short(part)
-            if ids is None:
-                ids = self._whole(part)
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            self.memory[key] = ids
-        return ids
+        if self.lower:
+            body = body.lower()
+        if lead == "\n":
+            ids = self.bare[lead] + (self.bare[body] if mark else self._model(body))
+        elif mark:
+            ids = self.spaced[body] if lead else self.words[body.encode()] if self.cut == "words" else self.bare[body]
+        else:
+            ids = self._model(lead + body)
+        return ids + (self.words[mark.encode()] if self.cut == "words" else self.bare[mark]) if mark else ids
+
+    def _part(self, part: str, lead: str = "") -> bytes:
+        ids = self._piece(lead + part) if self.short and part else None
+        return self._whole(lead + part) if ids is None else ids
 
     def encode(self, text: str | None) -> bytes:
         """The packed ids of one whole text; null is empty."""
@@ -95,18 +119,18 @@ class PartEncoder:
             data = text.encode()
             # lowering is part of the tokenizer, but names of special tokens keep their case
             parts = (data.lower() if self.lower and b"<|" not in data else data).split()
-        elif SPACE_RUN.search(text):
-            parts = CUT.split(text)
-        else:
-            first, *rest = text.split(" ")
-            parts = [first] * bool(first) + [" " + x for x in rest]
-        found = list(map(self.memory.get, parts))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    part = parts[i]
-                    found[i] = self._remember(part.decode() if self.cut == "words" else part)
-        return b"".join(found)
+            return b"".join(map(self.words.__getitem__, parts))
+        if SPACE_RUN.search(text):
+            return b"".join(map(self.bare.__getitem__, CUT.split(text)))
+        out, lead, spaced = [], "", self.spaced.__getitem__
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            first = lead + first
+            if first:
+                out.append(self.bare[first])
+            out += map(spaced, rest)
+            lead = "\n"
+        return b"".join(out)
 
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.kind)
