@@ -81,14 +81,16 @@ FIRST = -(1 << 63)
 
 
 def _sized(docs: DataFrame, settings: MixSettings) -> DataFrame:
-    """``docs`` with ``_source``, ``_size`` and ``_key``, the place in the seeded order of its source."""
-    size = word_count()
+    """Each row of ``docs`` as ``row``, its ``source`` and ``size``, and ``key``, its place in the seeded order."""
     number = F.col("doc_id").cast("long")
-    return docs.select(
-        "*", F.col("source").cast("string").alias("_source"), size.alias("_size"), draw(number, settings.seed).alias("_draw")
-    ).withColumn(
-        "_key", F.struct(F.col("_draw").alias("draw"), F.coalesce(number, F.lit(FIRST)).alias("id"), F.col("_size").alias("size"))
+    own = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        F.col("source").cast("string").alias("source"),
+        word_count().alias("size"),
+        draw(number, settings.seed).alias("draw"),
+        F.coalesce(number, F.lit(FIRST)).alias("id"),
     )
+    return own.select("row", "source", "size", F.struct("draw", "id", "size").alias("key"))
 
 
 def _hint(df: DataFrame) -> DataFrame:
@@ -97,8 +99,8 @@ def _hint(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _range_of(key: str = "_key") -> Column:
-    return F.shiftright(F.col(key)["draw"] * F.col("_ranges"), 32)
+def _range_of() -> Column:
+    return F.shiftright(F.col("key")["draw"] * F.col("_ranges"), 32)
 
 
 def mixing_plan(sized: DataFrame, settings: MixSettings) -> DataFrame:
@@ -107,7 +109,7 @@ def mixing_plan(sized: DataFrame, settings: MixSettings) -> DataFrame:
     A document has one more repetition if its hash range is below ``_cut``, or equal with a key up to
     ``_limit``.
     """
-    sizes = written(sized.select(F.col("_source").alias("source"), F.col("_size").alias("size"), "_key"))
+    sizes = written(sized.select("source", "size", "key"))
     sources = written(
         source_targets(sizes, settings).select(
             F.col("source").alias("_of"),
@@ -127,33 +129,35 @@ def mixing_plan(sized: DataFrame, settings: MixSettings) -> DataFrame:
         passing.groupBy(F.col("_of").alias("cut_of")).agg(F.max("range").alias("_cut"), F.max("before").alias("before"))
     )
     inside = placed.join(_hint(cut), placed._of.eqNullSafe(cut.cut_of) & (placed.range == cut._cut))
-    first = Window.partitionBy("_of").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    first = Window.partitionBy("_of").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     so_far = F.col("before") + F.coalesce(F.sum("size").over(first), F.lit(0))
     nearest = inside.withColumn("so_far", so_far).filter("2 * so_far + size <= 2 * _rest")
-    limits = nearest.groupBy(F.col("_of").alias("limit_of")).agg(F.max("_key").alias("_limit"))
+    limits = nearest.groupBy(F.col("_of").alias("limit_of")).agg(F.max("key").alias("_limit"))
     whole = sources.join(cut, sources._of.eqNullSafe(cut.cut_of), "left")
     return written(whole.join(limits, whole._of.eqNullSafe(limits.limit_of), "left").drop("cut_of", "limit_of", "before"))
 
 
 def repetitions(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``, one row per row of ``docs``.
+    """``row`` (all columns of ``docs``), ``size source_size target copies``; one row per row of ``docs``.
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``; its other columns stay as they are. A null text has
+    ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns may have any name. A null text has
     size 0 and is taken like any other of its source; a null source is a source. A source without
     words has target 0 and is not repeated. Rows that repeat an id are rows of their own; ties of the
     seeded order go by id (none first) and size. An empty table gives an empty one.
     """
     sized = _sized(docs, settings)
     plan = mixing_plan(sized, settings)
-    rows = sized.join(_hint(plan), sized._source.eqNullSafe(plan._of)).withColumn("_range", _range_of())
-    extra = F.when(F.col("_range") < F.col("_cut"), 1).when(
-        (F.col("_range") == F.col("_cut")) & (F.col("_key") <= F.col("_limit")), 1
+    rows = sized.join(_hint(plan), sized.source.eqNullSafe(plan._of)).withColumn("range", _range_of())
+    extra = F.when(F.col("range") < F.col("_cut"), 1).when(
+        (F.col("range") == F.col("_cut")) & (F.col("key") <= F.col("_limit")), 1
     )
     copies = F.col("_whole") + F.coalesce(extra, F.lit(0)).cast("long")
-    return rows.select(*(docs[c] for c in docs.columns), "_size", "_source_size", "_target", copies.alias("_copies"))
+    return rows.select(
+        "row", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies")
+    )
 
 
 def mixed(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     """The mix: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    rows = repetitions(docs, settings).filter("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    taken = repetitions(docs, settings).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

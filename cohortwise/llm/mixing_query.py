@@ -12,13 +12,7 @@ from cohortwise.llm.mixing import repetitions
 def op8_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     rows = repetitions(documents(spark, folder).select("doc_id", "text", "source"))
     return rows.select(
-        "doc_id",
-        "source",
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        F.col("_copies").alias("copies"),
-        (F.col("_copies") * F.col("_size")).alias("taken"),
+        "row.doc_id", "row.source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 

@@ -339,24 +339,24 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     The model is learned in a first pass over all rows. Of spans that overlap, the first counts. Texts
     without spans, null ones included, stay as they are; so do all other columns.
     """
-    own = docs.select(F.col(text).alias("text"))
-    found = written(with_candidates(own).select("_found").filter(F.size("_found") > 0))
+    own = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].cast("string").alias("text"))
+    found = written(with_candidates(own.select("text")).select("_found").filter(F.size("_found") > 0))
     model = fit(found)
-    rows = with_spans(with_candidates(docs, text), model)
+    rows = with_spans(with_candidates(own), model)
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     in_order = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, s: Column) -> Column:
         apart = s["start"] >= state["at"]
-        part = F.concat(F.substring(F.col(text), state["at"] + 1, s["start"] - state["at"]), F.element_at(names, s["kind"] + 1))
+        part = F.concat(F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), F.element_at(names, s["kind"] + 1))
         return F.struct(
             F.when(apart, s["end"]).otherwise(state["at"]).alias("at"),
             F.when(apart, F.concat(state["parts"], F.array(part))).otherwise(state["parts"]).alias("parts"),
         )
 
     def finish(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(F.col(text), state["at"] + 1, F.length(F.col(text))))
+        return F.concat(F.array_join(state["parts"], ""), F.substring(F.col("text"), state["at"] + 1, F.length("text")))
 
-    clean = F.when(F.size("_spans") > 0, F.aggregate(in_order, start, step, finish)).otherwise(F.col(text))
-    return rows.withColumn(text, clean).drop("_found", "_base", "_spans")
+    clean = F.when(F.size("_spans") > 0, F.aggregate(in_order, start, step, finish)).otherwise(F.col("text"))
+    return rows.select(*(clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))

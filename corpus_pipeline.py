@@ -19,8 +19,8 @@ from cohortwise.llm.setsketch import near_duplicates
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
-    rows = ledger(docs, tuple(docs.columns))
-    return rows.filter(verdict(POLICIES["v2"])).select(*docs.columns)
+    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), "text")
+    return ledger(whole, ("row",)).filter(verdict(POLICIES["v2"])).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = written(near_duplicates(docs.select("doc_id", "text")).select("doc_id", "kept"))
     by_id = judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")).filter("doc_id is not null")
     gone = by_id.filter("not kept").select(F.col("doc_id").alias("_gone"))
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    left = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
     if by_id.filter("rows > 1").limit(1).count():  # without repeated ids there is nothing to choose
         left = left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
     return left
