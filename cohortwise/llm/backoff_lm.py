@@ -22,12 +22,13 @@ and the totals are tables bucketed by block, so the passes over them shuffle not
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwise.llm.common import arrow_map, bytes_of, crc32_of_id, pieces, run_starts, whole_groups, written
@@ -42,8 +43,8 @@ CLASSES = 64
 class LmSettings:
     """Text bytes of a block, and n-gram entries summed in one group."""
 
-    block_bytes: int = 8 << 20
-    slice_entries: int = 2_000_000
+    block_bytes: int = 4 << 20
+    slice_entries: int = 1_000_000
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -208,6 +209,7 @@ def gram_slices(blocks: DataFrame, slices: int) -> DataFrame:
         blocks.select("block", "held", "counts", "words", "tokens"),
         work,
         "slice int, block long, words binary, pairs binary, counts binary",
+        batches=False,
     )
 
 
@@ -255,13 +257,15 @@ def summed(parts: DataFrame) -> DataFrame:
                 )
 
     ready = parts.repartition("slice").sortWithinPartitions("slice")
-    return arrow_map(ready, work, "block long, slice int, totals binary, known long")
+    return arrow_map(ready, work, "block long, slice int, totals binary, known long", batches=False)
 
 
 def _by_block(df: DataFrame, buckets: int) -> DataFrame:
     """A table in the warehouse, bucketed by block, so that joins on the block need no shuffle."""
     name = f"llm_blocks_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, "block").option("compression", "zstd").saveAsTable(name)
+    # rows are megabytes: small row groups bound what a writer and a reader hold
+    writer = df.write.bucketBy(buckets, "block").option("compression", "zstd").option("parquet.block.size", str(4 << 20))
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -294,7 +298,7 @@ def leaving(joined: DataFrame, slices: int, texts: int) -> np.ndarray:
                     names=["bits", "tokens", "single"],
                 )
 
-    sums = arrow_map(joined, work, "bits int, tokens long, single long").groupBy("bits").agg(
+    sums = arrow_map(joined, work, "bits int, tokens long, single long", batches=False).groupBy("bits").agg(
         F.sum("tokens").alias("tokens"), F.sum("single").alias("single")
     )
     out = np.ones(CLASSES)
@@ -329,6 +333,22 @@ class Automaton:
         return np.where(self.is_arc[step], self.arc[step], fallback)
 
 
+ROW_LIMITS = {"spark.sql.parquet.columnarReaderBatchSize": "4", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
+
+
+@contextmanager
+def wide_rows(spark: SparkSession):
+    """Read and send rows of megabytes a few at a time; settings are put back afterwards."""
+    before = {k: spark.conf.get(k) for k in ROW_LIMITS}
+    for k, v in ROW_LIMITS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def language_model_scores(docs: DataFrame, settings: LmSettings = LmSettings()) -> DataFrame:
     """``doc_id held_out n_tokens n_known train_tokens base_score score`` per row of ``docs``.
 
@@ -338,52 +358,54 @@ def language_model_scores(docs: DataFrame, settings: LmSettings = LmSettings())
     """
     buckets = max(8, docs.rdd.getNumPartitions())
     blocks = _by_block(token_blocks(docs, settings), buckets)
-    size = blocks.agg(
-        F.sum("n_tokens").alias("tokens"), F.sum("n_train").alias("train"), F.sum("n_texts").alias("texts")
-    ).first()
-    train, texts = int(size.train or 0), int(size.texts or 0)
-    slices = int(size.tokens or 0) // settings.slice_entries + buckets
-    back = summed(gram_slices(blocks, slices)).repartition(buckets, "block").groupBy("block")
-    totals = _by_block(
-        back.agg(F.collect_list(F.struct("slice", "totals")).alias("parts"), F.sum("known").alias("known")), buckets
-    )
-    known = int(totals.agg(F.sum("known").alias("known")).first().known or 0)
-    joined = blocks.join(totals, "block").select("ids", "held", "counts", "words", "tokens", "parts")
-    leave = leaving(joined.drop("ids"), slices, texts)
-
-    def work(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                grams = BlockGrams(row, slices)
-                words, pairs = _totals(row, grams)
-                model = Automaton(words, pairs, grams, leave, train, known, texts)
-                steps = model.walk(grams)
-                sums = [
-                    np.add.reduceat(x, grams.starts)
-                    for x in ((words[grams.tokens] > 0).astype(np.int64), model.empty[grams.tokens], steps)
-                ]
-                n = len(grams.counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["ids"], pa.int64()),
-                        pa.array(grams.held),
-                        pa.array(grams.counts),
-                        pa.array(sums[0]),
-                        pa.array(np.full(n, train, np.int64)),
-                        pa.array(sums[1]),
-                        pa.array(sums[2]),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+    with wide_rows(docs.sparkSession):
+        size = blocks.agg(
+            F.sum("n_tokens").alias("tokens"), F.sum("n_train").alias("train"), F.sum("n_texts").alias("texts")
+        ).first()
+        train, texts = int(size.train or 0), int(size.texts or 0)
+        slices = int(size.tokens or 0) // settings.slice_entries + buckets
+        back = summed(gram_slices(blocks, slices)).repartition(buckets, "block").groupBy("block")
+        totals = _by_block(
+            back.agg(F.collect_list(F.struct("slice", "totals")).alias("parts"), F.sum("known").alias("known")), buckets
+        )
+        known = int(totals.agg(F.sum("known").alias("known")).first().known or 0)
+        joined = blocks.join(totals, "block").select("ids", "held", "counts", "words", "tokens", "parts")
+        leave = leaving(joined.drop("ids"), slices, texts)
+
+        def work(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    grams = BlockGrams(row, slices)
+                    words, pairs = _totals(row, grams)
+                    model = Automaton(words, pairs, grams, leave, train, known, texts)
+                    steps = model.walk(grams)
+                    sums = [
+                        np.add.reduceat(x, grams.starts)
+                        for x in ((words[grams.tokens] > 0).astype(np.int64), model.empty[grams.tokens], steps)
+                    ]
+                    n = len(grams.counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(row["ids"], pa.int64()),
+                            pa.array(grams.held),
+                            pa.array(grams.counts),
+                            pa.array(sums[0]),
+                            pa.array(np.full(n, train, np.int64)),
+                            pa.array(sums[1]),
+                            pa.array(sums[2]),
+                        ],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                    )
 
-    scores = written(
-        arrow_map(
-            joined,
-            work,
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-            "base_score double, score double",
+        scores = written(
+            arrow_map(
+                joined,
+                work,
+                "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                "base_score double, score double",
+                batches=False,
+            )
         )
-    )
     for table in (blocks, totals):
         _drop(table)
     return scores

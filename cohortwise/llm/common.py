@@ -62,7 +62,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def pieces(bounds: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(bounds: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer text is a range of its own."""
     start, rows = 0, len(bounds) - 1
     while start < rows:
@@ -121,6 +121,8 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
-def arrow_map(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    small_batches(df.sparkSession)
+def arrow_map(df: DataFrame, work: Callable, schema: str, batches: bool = True) -> DataFrame:
+    """``mapInArrow`` with bounded batches, unless ``batches`` leaves the settings as they are."""
+    if batches:
+        small_batches(df.sparkSession)
     return df.mapInArrow(work, schema)
