@@ -161,9 +161,17 @@ def matched_rates(spark, folder):
 
 
 def report(spark, folder):
-    before = {"comparison_n": 30244, "reference_n": 29756}
-    inside = {"comparison_n": 30000, "reference_n": 29000, "lower": 0.25, "upper": 0.75, "caliper": 0.5}
-    found = matching.matching_report(_ranked_pairs(spark, folder), before, inside)
+    """The report over pairs by rank; group sizes before and inside a quantity range are counted."""
+    rows = _coded(spark, folder, "quantity")
+    inside = F.col("quantity").between(5, 45)
+    n = rows.agg(
+        F.count_if(F.col(plans.CODE) == 1).alias("comparison"), F.count_if(F.col(plans.CODE) == 0).alias("reference"),
+        F.count_if((F.col(plans.CODE) == 1) & inside).alias("comparison_in"),
+        F.count_if((F.col(plans.CODE) == 0) & inside).alias("reference_in"),
+    ).first()
+    before = {"comparison_n": n.comparison, "reference_n": n.reference}
+    kept = {"comparison_n": n.comparison_in, "reference_n": n.reference_in, "lower": 5.0, "upper": 45.0, "caliper": 0.5}
+    found = matching.matching_report(_ranked_pairs(spark, folder), before, kept)
     return rounded(found, "comparison_retention_rate", "mean_match_distance")
 
 
@@ -358,11 +366,14 @@ ORACLES = {
     + """SELECT round(avg(reference), 6) AS reference_rate, round(avg(comparison), 6) AS comparison_rate,
       round(avg(comparison) - avg(reference), 6) AS matched_rate_difference FROM pairs""",
     "m14_matching_report": sql.with_(sql.COHORT + _PAIRS)
-    + """SELECT count(*) AS matched_pairs, 30244::BIGINT AS comparison_before_common_support,
-      29756::BIGINT AS reference_before_common_support, 30000::BIGINT AS comparison_in_common_support,
-      29000::BIGINT AS reference_in_common_support, round(count(*) / 30244::DOUBLE, 6) AS comparison_retention_rate,
-      0.25::DOUBLE AS common_support_lower, 0.75::DOUBLE AS common_support_upper, 0.5::DOUBLE AS caliper,
-      round(avg(distance), 6) AS mean_match_distance FROM pairs""",
+    + """, sizes AS (SELECT sum(code)::BIGINT AS a, sum(1 - code)::BIGINT AS b,
+        sum(code) FILTER (WHERE quantity BETWEEN 5 AND 45)::BIGINT AS ai,
+        sum(1 - code) FILTER (WHERE quantity BETWEEN 5 AND 45)::BIGINT AS bi FROM coded)
+      SELECT count(*) AS matched_pairs, any_value(a) AS comparison_before_common_support,
+      any_value(b) AS reference_before_common_support, any_value(ai) AS comparison_in_common_support,
+      any_value(bi) AS reference_in_common_support, round(count(*) / any_value(a)::DOUBLE, 6) AS comparison_retention_rate,
+      5.0::DOUBLE AS common_support_lower, 45.0::DOUBLE AS common_support_upper, 0.5::DOUBLE AS caliper,
+      round(avg(distance), 6) AS mean_match_distance FROM pairs, sizes""",
     "m15_balance_table": sql.with_(sql.COHORT + _BALANCE)
     + "SELECT covariate, round(smd_before, 6) AS smd_before, round(smd_after, 6) AS smd_after FROM balance",
     "m18_balance_verdict": sql.with_(sql.COHORT + _BALANCE)

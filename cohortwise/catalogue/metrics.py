@@ -32,7 +32,9 @@ def evaluation(spark, folder):
 
 
 def auc_by_status(spark, folder):
+    """One segment is null: rows without a group are a group."""
     rows = trade_cohort(spark, folder, ["segment", "outcome", "score"])
+    rows = rows.withColumn("segment", F.when(F.col("segment") != "BUILDING", F.col("segment")))
     return rounded(metrics.roc_auc(rows, "outcome", "score", ["segment"]), "roc_auc")
 
 
@@ -230,7 +232,7 @@ ORACLES = {
         round(2 * tp / (2 * tp + fp + fn)::DOUBLE, 6) AS f1, round(auc, 6) AS roc_auc, brier_score, log_loss,
         actual_positive_rate, mean_predicted_probability, mean_probability_bias FROM c, auc""",
     "p7_auc_by_group": sql.with_(sql.COHORT)
-    + f"SELECT g AS segment, round(auc, 6) AS roc_auc FROM ({_auc_sql('cohort', 'score', 'segment')})",
+    + f"SELECT g AS segment, round(auc, 6) AS roc_auc FROM ({_auc_sql('cohort', 'score', "nullif(segment, 'BUILDING')")})",
     "p9_group_recall": sql.with_(sql.COHORT + _GROUPS)
     + """SELECT group_column, group_value, n, n_actual_positive, round(recall, 6) AS recall,
       round(1 - recall, 6) AS false_negative_rate, n_actual_positive >= 30 AS reliable FROM recalls""",

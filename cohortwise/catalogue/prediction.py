@@ -166,8 +166,8 @@ def _impacts(spark, folder):
 
 
 def impacts(spark, folder):
-    found = _impacts(spark, folder).drop("current_value", "reference_value")
-    return rounded(found, *found.columns[2:])
+    found = _impacts(spark, folder)
+    return rounded(found, *[c for c in found.columns if c.endswith(("probability", "points"))])
 
 
 def top_impacts(spark, folder):
@@ -185,6 +185,8 @@ def explained(spark, folder):
     return found.select(
         "row_id", "predicted_class", "predicted_label", "probability",
         F.round(F.col("impacts")[0]["impact_probability"], 6).alias("strongest_impact"),
+        F.array_join(F.transform("impacts", lambda e: e["feature"]), ",").alias("features"),
+        F.round(F.aggregate("impacts", F.lit(0.0), lambda t, e: t + e["impact_probability"]), 6).alias("impact_sum"),
     )
 
 
@@ -440,7 +442,9 @@ _IMPACTS = f""",
 impacts AS (SELECT row_id, f.f AS feature, {_linear()} AS original_probability, CASE f.f
     WHEN 'quantity' THEN {_linear('25.0::DOUBLE', 'return_flag', 'segment')}
     WHEN 'return_flag' THEN {_linear('quantity', "'N'", 'segment')}
-    ELSE {_linear('quantity', 'return_flag', "'MACHINERY'")} END AS reference_probability
+    ELSE {_linear('quantity', 'return_flag', "'MACHINERY'")} END AS reference_probability,
+    CASE f.f WHEN 'quantity' THEN CAST(quantity AS VARCHAR) WHEN 'return_flag' THEN return_flag ELSE segment END AS current_value,
+    CASE f.f WHEN 'quantity' THEN '25.0' WHEN 'return_flag' THEN 'N' ELSE 'MACHINERY' END AS reference_value
   FROM cohort, (VALUES ('quantity'), ('return_flag'), ('segment')) AS f(f))"""
 
 _SCAN_SQL = """SELECT round(0.05 + t / 100.0, 2)::DOUBLE AS threshold,
@@ -464,17 +468,19 @@ ORACLES = {
     + f"""SELECT row_id, probability, CAST(probability >= 0.5 AS INTEGER) AS predicted_class
       FROM (SELECT row_id, {_linear()} AS probability FROM cohort)""",
     "p16_local_impacts": sql.with_(sql.COHORT + _IMPACTS)
-    + """SELECT row_id, feature, original_probability, reference_probability,
+    + """SELECT row_id, feature, current_value, reference_value, original_probability, reference_probability,
       round(original_probability - reference_probability, 6) + 0 AS impact_probability,
       round((original_probability - reference_probability) * 100, 6) + 0 AS impact_percentage_points
       FROM impacts""",
     "p17_explained_predictions": sql.with_(sql.COHORT + _IMPACTS)
     + """SELECT row_id, CAST(p >= 0.5 AS INTEGER) AS predicted_class,
       CASE WHEN p >= 0.5 THEN 'high' ELSE 'low' END AS predicted_label, p AS probability,
-      round(strongest, 6) + 0 AS strongest_impact FROM (
+      round(strongest, 6) + 0 AS strongest_impact, features, round(total, 6) + 0 AS impact_sum FROM (
       SELECT row_id, any_value(original_probability) AS p,
         arg_min(original_probability - reference_probability,
-          (-abs(original_probability - reference_probability), feature)) AS strongest
+          (-abs(original_probability - reference_probability), feature)) AS strongest,
+        string_agg(feature, ',' ORDER BY -abs(original_probability - reference_probability), feature) AS features,
+        sum(original_probability - reference_probability) AS total
       FROM impacts GROUP BY row_id)""",
     "p18_what_if_continuous": sql.with_(sql.COHORT)
     + f"""SELECT round(v, 6) AS value, count(*) AS n, round(avg({_linear('v')} * 100), 6) AS mean

@@ -52,7 +52,7 @@ raw AS (
 
 
 def _tidy(name: str) -> str:
-    tokens = "'?', '', 'NA', 'N/A', 'NULL', 'null', 'NaN', 'nan', 'None'"
+    tokens = "'?', ''"
     return f"CASE WHEN trim({name}) IN ({tokens}) THEN NULL ELSE trim({name}) END"
 
 

@@ -85,6 +85,42 @@ def permutation_importance(
     )
 
 
+def _with_impacts(df: DataFrame, keep: list[str], schema: dict[str, dict], score: Scorer) -> DataFrame:
+    """``keep``, the probability, and an array of impacts in the order of ``schema``, row by row.
+
+    The scorer runs once for the row as it is and once per feature, on the same row: nothing is
+    shuffled, and rows that repeat a key stay apart.
+    """
+    features = list(schema)
+    rows = score(df).select(
+        F.struct(*[col(c) for c in keep]).alias("__keep"),
+        F.struct(*[col(f) for f in features]).alias("__own"),
+        col(PROBABILITY).alias("original_probability"),
+    )
+    done: list[str] = []
+    for i, f in enumerate(features):
+        kind = df.schema[f].dataType
+        own = [
+            (F.lit(schema[g]["reference_value"]).cast(kind) if g == f else F.col("__own")[g]).alias(g) for g in features
+        ]
+        scored = score(rows.select("*", *own))
+        done.append(f"__when{i}")
+        rows = scored.select(
+            "__keep", "__own", "original_probability", *done[:-1], col(PROBABILITY).alias(done[-1])
+        )
+    entries = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            F.col("__own")[f].cast("string").alias("current_value"),
+            F.lit(str(schema[f]["reference_value"])).alias("reference_value"),
+            F.col(p).alias("reference_probability"),
+            (F.col("original_probability") - F.col(p)).alias("impact_probability"),
+        )
+        for f, p in zip(features, done, strict=True)
+    ]
+    return rows.select("__keep.*", "original_probability", F.array(*entries).alias("__impacts"))
+
+
 def local_impacts(
     df: DataFrame, key: str, schema: dict[str, dict], score: Scorer
 ) -> DataFrame:
@@ -92,31 +128,16 @@ def local_impacts(
 
     All records and features are scored in one pass; nothing is shuffled.
     """
-    features = list(schema)
-
-    def reference(f: str) -> Column:
-        value = F.lit(schema[f]["reference_value"])
-        return value.cast(df.schema[f].dataType)
-
-    rows = score(df).select(
-        col(key), *[col(f) for f in features],
-        col(PROBABILITY).alias("original_probability"),
-        F.create_map(*[x for f in features for x in (F.lit(f), col(f).cast("string"))]).alias("__current"),
-    )
-    variants = _with_one_replaced(rows, features, reference, [key, "original_probability", "__current"])
-    references = F.create_map(
-        *[x for f in features for x in (F.lit(f), F.lit(str(schema[f]["reference_value"])))]
-    )
-    impact = F.col("original_probability") - F.col(PROBABILITY)
-    return score(variants).select(
+    rows = _with_impacts(df, [key], schema, score)
+    return rows.select(col(key), "original_probability", F.inline("__impacts")).select(
         col(key),
         "feature",
-        F.col("__current")[F.col("feature")].alias("current_value"),
-        references[F.col("feature")].alias("reference_value"),
+        "current_value",
+        "reference_value",
         "original_probability",
-        F.col(PROBABILITY).alias("reference_probability"),
-        impact.alias("impact_probability"),
-        (impact * 100).alias("impact_percentage_points"),
+        "reference_probability",
+        "impact_probability",
+        (F.col("impact_probability") * 100).alias("impact_percentage_points"),
     )
 
 
@@ -125,23 +146,23 @@ def explained_predictions(
     labels: tuple[str, str], model_name: str, trained_at: str,
 ) -> DataFrame:
     """One row per record: class, label, probability and impacts, strongest first."""
-    impacts = local_impacts(df, key, schema, score)
-    entry = F.struct(
-        (-F.abs(F.col("impact_probability"))).alias("order"), "feature", "current_value",
-        "reference_value", "impact_probability",
-    )
-    # One list entry per feature of the record.
-    records = impacts.groupBy(key).agg(
-        F.first("original_probability").alias(PROBABILITY),
-        F.array_sort(F.collect_list(entry)).alias("impacts"),
-    )
+    records = _with_impacts(df, [key], schema, score).withColumnRenamed("original_probability", PROBABILITY)
+
+    def entry(e: Column) -> Column:
+        return F.struct(
+            (-F.abs(e["impact_probability"])).alias("order"), e["feature"].alias("feature"),
+            e["current_value"].alias("current_value"), e["reference_value"].alias("reference_value"),
+            e["impact_probability"].alias("impact_probability"),
+        )
+
+    ordered = F.array_sort(F.transform("__impacts", entry))
     predicted = (F.col(PROBABILITY) >= threshold).cast("int")
     return records.select(
         key,
         predicted.alias("predicted_class"),
         F.when(predicted == 1, labels[1]).otherwise(labels[0]).alias("predicted_label"),
         PROBABILITY,
-        F.transform("impacts", lambda e: e.dropFields("order")).alias("impacts"),
+        F.transform(ordered, lambda e: e.dropFields("order")).alias("impacts"),
         F.lit(model_name).alias("model_name"),
         F.lit(trained_at).alias("trained_at"),
     )

@@ -25,8 +25,9 @@ from cohortwise.spec import BINARY, CONTINUOUS, AnalysisError
 
 STANDARD = "standard_logit"
 FALLBACK = "binomial_glm_pinv"
-MAX_PASSES = 35
-FALLBACK_PASSES = 60
+MAX_PASSES = 300
+FALLBACK_PASSES = 500
+HALVINGS = 30
 STEP_TOLERANCE = 1e-8
 PATTERNS_PER_TASK = 50_000
 MAX_LOG = math.log(np.finfo(float).max)
@@ -96,14 +97,14 @@ def _pass(patterns: DataFrame, design: Design, beta: np.ndarray) -> dict:
 
 
 def _improve(evaluate, beta, state, step):
-    """Take the step, halved until the log-likelihood does not fall."""
-    passes, slack = 0, 1e-9 * (1.0 + abs(state["llf"]))
-    while True:
+    """Take the step, halved until the log-likelihood does not fall; else stay."""
+    slack = 1e-9 * (1.0 + abs(state["llf"]))
+    for passes in range(1, HALVINGS + 1):
         trial = evaluate(beta + step)
-        passes += 1
-        if trial["llf"] >= state["llf"] - slack or passes >= 8:
+        if trial["llf"] >= state["llf"] - slack:
             return beta + step, trial, passes
         step = step / 2.0
+    return beta, state, HALVINGS
 
 
 def fit_logistic(df: DataFrame, design: Design, target: str) -> LogisticFit:

@@ -11,6 +11,7 @@ puts that many rows into one task. Two ways around it live here:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -18,29 +19,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwise.functions.columns import col
+from cohortwise.spec import AnalysisError
 
 WINDOW_ROWS = 200_000
-MAX_RANGES = 4096
+SKETCH = 200_000  # accuracy of the sketch that proposes range edges
 PREFIX = 3  # hex digits counted per step: at most 4096 counts per class
 
 
 def range_edges(df: DataFrame, key: str, rows: int, per_range: int = WINDOW_ROWS) -> list[float]:
     """Inner edges that cut ``key`` into ranges of about ``per_range`` rows."""
-    ranges = min(MAX_RANGES, -(-rows // per_range))
+    ranges = -(-rows // per_range)
     if ranges <= 1:
         return []
     cuts = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(col(key).cast("double"), cuts, 4 * ranges)).first()[0]
+    value = col(key).cast("double")
+    value = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    found = df.agg(F.percentile_approx(value, cuts, max(10, min(4 * ranges, SKETCH)))).first()[0]
     return sorted(set(found or []))
 
 
 def assign_range(df: DataFrame, key: str, edges: Sequence[float], out: str) -> DataFrame:
-    """Add the number of the range that holds ``key``."""
+    """Add the number of the range that holds ``key``, in the order of Spark: null first, NaN last."""
     if not edges:
         return df.withColumn(out, F.lit(0))
     bounds = [-float("inf"), *edges, float("inf")]
-    cutter = Bucketizer(splits=bounds, inputCol=key, outputCol=out)
-    return cutter.transform(df).withColumn(out, F.col(out).cast("int"))
+    value = col(key).cast("double")
+    plain = df.withColumn("__value", F.when(value.isNull() | F.isnan(value), 0.0).otherwise(value))
+    number = Bucketizer(splits=bounds, inputCol="__value", outputCol=out).transform(plain).drop("__value")
+    place = F.when(value.isNull(), -1).when(F.isnan(value), len(bounds)).otherwise(F.col(out).cast("int"))
+    return number.withColumn(out, place)
 
 
 def running_totals(
@@ -53,7 +60,8 @@ def running_totals(
     """Add ``before`` totals: for each ``out: column`` the sum over smaller keys.
 
     ``rows`` must hold each key once per group; callers aggregate first, so a key shared by
-    many raw rows is a single row here.
+    many raw rows is a single row here. A null group is a group, a null key comes before all
+    others and NaN after them, whatever the number of rows.
     """
     groups = list(groups)
     total = rows.count()
@@ -68,16 +76,20 @@ def running_totals(
         *[F.sum(c).alias(f"__step_{out}") for out, c in sums.items()]
     )
     across = Window.partitionBy(*groups, F.lit(0)).orderBy("__range")
+    named = [F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)]
     steps = steps.select(
-        *groups,
-        "__range",
+        *named,
+        F.col("__range").alias("__of"),
         *[
             (F.sum(f"__step_{out}").over(across) - F.col(f"__step_{out}")).alias(f"__base_{out}")
             for out in sums
         ],
     )
     inside = Window.partitionBy(*groups, "__range").orderBy(col(key))
-    joined = ranged.join(steps, [*groups, "__range"])
+    same = ranged["__range"] == steps["__of"]
+    for i, g in enumerate(groups):
+        same = same & ranged[g].eqNullSafe(steps[f"__g{i}"])
+    joined = ranged.join(steps, same)
     return joined.select(
         *rows.columns,
         *[
@@ -96,8 +108,10 @@ def hash_cut_points(
     share that holds no row. Counts of hash prefixes locate the row, one scan per three hex
     digits; the last few rows are read directly.
     """
-    rows = df.select(col(group).alias("g"), col(digest).alias("h"))
+    rows = df.select(col(group).alias("g"), col(digest).alias("h")).filter("g is not null")
     counts = _prefix_counts(rows, None)
+    if any(prefix is None for _, prefix in counts):
+        raise AnalysisError("rows without a key cannot be split")
     sizes: dict = {}
     for (g, _), n in counts.items():
         sizes[g] = sizes.get(g, 0) + n
@@ -130,7 +144,7 @@ def _prefix_counts(rows: DataFrame, places: set | None) -> dict:
     if places is not None:
         depth += len(next(iter(places))[1])
         if depth > 32:
-            raise ValueError("the hash keys of a split must be distinct")
+            raise AnalysisError("the keys of a split must be distinct")
         keep = F.lit(False)
         for g, prefix in places:
             keep = keep | ((F.col("g") == F.lit(g)) & _under(prefix))
@@ -160,35 +174,44 @@ def _read_cut_rows(rows: DataFrame, few: set, searching: dict, answer: dict) ->
     for (g, _), (prefix, rank) in done.items():
         here = (F.col("g") == F.lit(g)) & _under(prefix)
         keep = keep | here
-        wanted = wanted | (here & (F.col("rank") == rank))
+        wanted = wanted | (here & F.col("rank").isin(rank, rank + 1))
     length = len(next(iter(done.values()))[0])
     order = Window.partitionBy("g", F.substring("h", 1, length)).orderBy("h")
     ranked = rows.filter(keep).withColumn("rank", F.row_number().over(order))
     found = {(r.g, r.h[:length], r["rank"]): r.h for r in ranked.filter(wanted).collect()}
     for (g, slot), (prefix, rank) in done.items():
+        if found[g, prefix, rank] == found.get((g, prefix, rank + 1)):
+            raise AnalysisError("the keys of a split must be distinct")
         answer[g][slot] = found[g, prefix, rank]
         del searching[g, slot]
 
 
 def hash_order_positions(
-    df: DataFrame, digest: str, out: str, groups: Iterable[str] = (), digits: int = PREFIX
+    df: DataFrame, digest: str, out: str, groups: Iterable[str] = (), digits: int | None = None
 ) -> DataFrame:
-    """Add the 0-based position of each row in hash order, per group.
+    """Add the 0-based position of each row in hash order, per group; rows without a digest come first.
 
     Positions are counted inside hash prefixes (even in size, whatever the group size) on top
-    of the accumulated sizes of smaller prefixes.
+    of the accumulated sizes of smaller prefixes. Unless ``digits`` is given, the prefixes are as
+    long as the number of rows asks for.
     """
     groups = list(groups)
-    parted = df.withColumn("__prefix", F.substring(col(digest), 1, digits))
+    if digits is None:
+        ranges = df.count() / WINDOW_ROWS
+        digits = PREFIX + max(0, math.ceil(math.log(max(ranges / 16**PREFIX, 1), 16)))
+    parted = df.withColumn("__prefix", F.coalesce(F.substring(col(digest), 1, digits), F.lit("")))
     sizes = parted.groupBy(*groups, "__prefix").agg(F.count("*").alias("__n"))
     across = Window.partitionBy(*groups, F.lit(0)).orderBy("__prefix")
     base = sizes.select(
-        *groups, "__prefix", (F.sum("__n").over(across) - F.col("__n")).alias("__base")
+        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
+        F.col("__prefix").alias("__of"),
+        (F.sum("__n").over(across) - F.col("__n")).alias("__base"),
     )
     inside = Window.partitionBy(*groups, "__prefix").orderBy(col(digest))
     numbered = parted.withColumn("__inside", F.row_number().over(inside))
-    return (
-        numbered.join(base, [*groups, "__prefix"])
-        .withColumn(out, F.col("__base") + F.col("__inside") - 1)
-        .drop("__prefix", "__base", "__inside")
+    same = numbered["__prefix"] == base["__of"]
+    for i, g in enumerate(groups):
+        same = same & numbered[g].eqNullSafe(base[f"__g{i}"])
+    return numbered.join(base, same).select(
+        *[numbered[c] for c in df.columns], (F.col("__base") + F.col("__inside") - 1).alias(out)
     )

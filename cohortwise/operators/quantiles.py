@@ -60,10 +60,17 @@ def exact_quantiles(
             for p in probabilities:
                 first, last = _neighbours(sizes[c], p)
                 a, b = wanted[c, first].value, wanted[c, last].value
-                result[c].append(a + ((sizes[c] - 1) * p - first) * (b - a))
+                result[c].append(_between(a, b, (sizes[c] - 1) * p, first, last))
     return result
 
 
+def _between(a: float, b: float, position: float, first: int, last: int) -> float:
+    """Linear interpolation as the built-in ``percentile`` does it, infinite ends included."""
+    if first == last or a == b or (math.isnan(a) and math.isnan(b)):
+        return a
+    return (last - position) * a + (position - first) * b
+
+
 def _neighbours(n: int, p: float) -> tuple[int, int]:
     position = (n - 1) * p
     return math.floor(position), math.ceil(position)

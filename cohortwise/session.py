@@ -33,7 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     Where none is set (tests, local runs) it is a folder below the session's warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    if named:
+        return named
+    below = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local[") and below.startswith(("file:", "/")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{below}/_checkpoints"
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -13,9 +13,13 @@ CONTINUOUS = "continuous"
 BINARY = "binary"
 CATEGORICAL = "categorical"
 
-# Spellings read as missing. The first two come from the raw census files, the
-# others are what CSV readers commonly treat as missing.
-MISSING_TOKENS = ("?", "", "NA", "N/A", "NULL", "null", "NaN", "nan", "None")
+# Spellings read as missing inside a table, and those that a reader of text files
+# takes for missing before that.
+MISSING_TOKENS = ("?", "")
+READER_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 class AnalysisError(ValueError):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.operators import cleaning
 from cohortwise.sources import artefacts
-from cohortwise.spec import AnalysisError, AnalysisRequest, census_spec
+from cohortwise.spec import AnalysisError, AnalysisRequest, CohortSpec, census_spec
 
 SPEC = census_spec()
 ROWS = [
@@ -145,3 +145,24 @@ def test_stored_out_of_fold_must_be_finite(spark, tmp_path):
     with pytest.raises(AnalysisError, match="not finite"):
         artefacts.read_out_of_fold(spark, path)
     assert artefacts.read_out_of_fold(spark, path, "isotonic_probability").agg(F.count("*")).first()[0] == 2
+
+
+def test_csv_contract_of_part_files(spark, tmp_path):
+
+    spec = CohortSpec(variables={"x": "continuous"}, target="t", raw_columns=("x", "y"), numeric_columns=("x",))
+    (tmp_path / "quoted").mkdir()
+    (tmp_path / "quoted" / "a.csv").write_text('"x","y"\n1,"p, q"\nNA,r\n')
+    (tmp_path / "quoted" / "b.csv").write_text("x, y\n2,?\n")
+    rows = {(r.x, r.y) for r in artefacts.read_raw_csv(spark, str(tmp_path / "quoted"), spec).collect()}
+    assert rows == {("1", "p, q"), (None, "r"), ("2", "?")}
+    (tmp_path / "mixed").mkdir()
+    (tmp_path / "mixed" / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "mixed" / "b.csv").write_text("y,x\n20,10\n")
+    with pytest.raises(Exception, match="(?i)header|schema|column"):
+        artefacts.read_raw_csv(spark, str(tmp_path / "mixed"), spec).collect()
+    (tmp_path / "none.csv").write_text("")
+    with pytest.raises(AnalysisError):
+        artefacts.read_raw_csv(spark, str(tmp_path / "none.csv"), spec)
+    (tmp_path / "head.csv").write_text("x,y\n")
+    with pytest.raises(AnalysisError):
+        artefacts.load_and_clean(spark, str(tmp_path / "head.csv"), spec)

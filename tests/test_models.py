@@ -183,3 +183,20 @@ def test_experiments(people):
     assert all(0.03 <= p.learning_rate <= 0.25 and 100 <= p.max_iter <= 350 for p in drawn)
     found = experiments.out_of_fold(rows, schema, SPEC, QUICK, 3, 2)
     assert found.count() == 600 and found.select("row_id").distinct().count() == 600
+
+
+def test_explanations_keep_repeated_records_and_shuffle_nothing(spark):
+    from cohortwise.operators import explain
+
+    schema = {"a": {"kind": "continuous", "reference_value": 0.0}, "b": {"kind": "categorical", "reference_value": "u"}}
+    df = spark.createDataFrame([(1, 2.0, "v"), (1, 2.0, "v"), (1, 0.0, "u")], "id int, a double, b string")
+
+    def score(rows):
+        return rows.withColumn("probability", F.col("a") / 10 + F.when(F.col("b") == "v", 0.5).otherwise(0.0))
+
+    found = explain.explained_predictions(df, "id", schema, score, 0.5, ("no", "yes"), "m", "-")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.collect()
+    assert len(rows) == 3 and sorted(len(r.impacts) for r in rows) == [2, 2, 2]
+    assert [e.feature for e in rows[0].impacts] == ["b", "a"]
+    assert explain.local_impacts(df, "id", schema, score).count() == 6

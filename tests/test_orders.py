@@ -102,3 +102,54 @@ def test_profile_tables(spark):
     assert abs(overview.high_rate - 1 / 3) < 1e-12
     with pytest.raises(AnalysisError):
         profiling.full_profile(df.filter("false"), "y")
+
+
+@pytest.mark.parametrize("key", [[None, 1.0, 2.0, float("nan")], [float("-inf"), 0.5, 3.0, float("inf")]])
+def test_running_totals_do_not_depend_on_the_size(spark, key):
+    rows = [(g, k, i + 1) for g in (None, "a", "b") for i, k in enumerate(key + [float(j + 10) for j in range(20)])]
+    df = spark.createDataFrame(rows, "g string, k double, n int")
+    found = []
+    for per_range in (1000, 4):
+        totals = ordering.running_totals(df, "k", {"before": "n"}, ["g"], per_range)
+        found.append(sorted((str(r.g), str(r.k), r.n, r.before) for r in totals.collect()))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_auc_of_a_null_group_and_null_scores(spark, monkeypatch):
+    from cohortwise.operators import metrics
+
+    rows = [(None if i % 3 == 0 else "x", i % 2, None if i % 11 == 0 else float("nan") if i % 13 == 0 else i / 7) for i in range(90)]
+    df = spark.createDataFrame(rows, "g string, y int, p double")
+    found = []
+    for per_range in (1000, 5):
+        monkeypatch.setattr(ordering.running_totals, "__defaults__", ((), per_range))
+        found.append(sorted((str(r.g), r.roc_auc) for r in metrics.roc_auc(df, "y", "p", ["g"]).collect()))
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
+def test_hash_positions_keep_rows_without_a_digest(spark):
+    rows = [(None if i % 4 == 0 else f"{i:032x}", None if i % 2 else "g") for i in range(40)]
+    placed = ordering.hash_order_positions(spark.createDataFrame(rows, "h string, g string"), "h", "place", ["g"]).collect()
+    assert len(placed) == 40
+    for g in (None, "g"):
+        own = sorted((r.place, r.h or "") for r in placed if r.g == g)
+        assert [p for p, _ in own] == list(range(20)) and [h for _, h in own] == sorted(h for _, h in own)
+
+
+@pytest.mark.parametrize("values", [[float("-inf")] * 3 + [1.0, 2.0, 4.0] + [float("inf")] * 3, [1.0, float("nan"), float("inf"), 5.0, None]])
+def test_quantiles_of_infinities_do_not_depend_on_the_size(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    probabilities = [0.0, 0.2, 0.3, 0.5, 0.65, 0.8, 1.0]
+    direct = exact_quantiles(df, ["x"], probabilities)["x"]
+    narrow = exact_quantiles(df, ["x"], probabilities, direct_rows=1, inside_rows=2, accuracy=50)["x"]
+    assert [str(v) for v in direct] == [str(v) for v in narrow]
+
+
+def test_splits_refuse_keys_that_do_not_tell_rows_apart(spark):
+    same = spark.createDataFrame([("k", 1)] * 40, "id string, y int")
+    none = spark.createDataFrame([(None, 1), ("a", 1), ("b", 1)], "id string, y int")
+    for df in (same, none):
+        with pytest.raises(AnalysisError):
+            splits.stratified_split(df, "y", "id")
+    unknown = spark.createDataFrame([(f"r{i}", None if i == 3 else 1) for i in range(10)], "id string, y int")
+    assert splits.add_folds(unknown, "y", "id", 2).filter("fold is null").count() == 1
