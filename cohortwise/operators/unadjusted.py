@@ -30,12 +30,17 @@ def ordered_levels(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def levels_of(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Levels on the driver; a column with too many of them is not categorical."""
+    """Levels on the driver, as terms of a model; a column with too many of them is no model term.
+
+    A model holds a matrix of terms by terms, so the bound is on what it can hold, per column.
+    """
     if not columns:
         return {}
-    found = distinct_levels(df, columns).limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise AnalysisError(f"{columns} have more than {MAX_LEVELS} levels in total")
+    counts = distinct_levels(df, columns).groupBy("column").agg(F.count("*").alias("n")).collect()
+    large = {r.column: r.n for r in counts if r.n > MAX_LEVELS}
+    if large:
+        raise AnalysisError(f"columns with more than {MAX_LEVELS} levels: {large}")
+    found = distinct_levels(df, columns).collect()
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for r in found:
         levels[r.column].append(r.level)

@@ -115,3 +115,16 @@ def test_smd_of_constant_columns(spark):
     verdict = balance.balance_verdict(table).first()
     assert verdict.max_smd_after is None and not verdict.balanced_under_threshold
     assert (verdict.imbalanced_covariates_before, verdict.imbalanced_covariates_after) == (1, 1)
+
+
+def test_balance_of_a_column_with_many_levels(spark):
+    spec = CohortSpec(variables={"x": "continuous", "k": "categorical"}, target="y")
+    rows = [(i % 2, float(i % 5), f"level{i // 2}") for i in range(24_004)] + [(1, None, None)]
+    df = spark.createDataFrame(rows, "code int, x double, k string")
+    found = balance.balance_table(df, df.filter("code = 0 or x < 3"), "code", ["x", "k"], spec)
+    values = {r.covariate: (r.smd_before, r.smd_after) for r in found.collect()}
+    assert len(values) == 12_002 + 1 + 2  # levels, the missing one, x and its gaps
+    n0, n1 = 12_002, 12_003
+    p0, p1 = 1 / n0, 1 / n1
+    v0, v1 = (1 - 1 / n0) / (n0 - 1), (1 - 1 / n1) / (n1 - 1)
+    assert values["k_level7"][0] == pytest.approx(abs(p1 - p0) / ((v0 + v1) / 2) ** 0.5)
