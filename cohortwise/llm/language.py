@@ -25,6 +25,7 @@ from cohortwise.llm.common import arrow_map, whole_groups
 from cohortwise.llm.ngrams import text_codes
 
 UNKNOWN = "und"
+BROADCAST_LANGUAGES = 10_000
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -126,9 +127,10 @@ def fit(docs: DataFrame, learn: Column, settings: LanguageSettings = LanguageSet
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).select(
         F.col("lang").alias("of"), (F.lit(float(settings.sample)) / F.col("n")).alias("share")
     )  # one row per language
+    few = counts.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES  # else a shuffled join
     unit = F.pmod(F.col("draw"), F.lit(1 << 30)) / float(1 << 30)
     sample = (
-        rows.join(counts, rows.lang == counts.of)
+        rows.join(F.broadcast(counts) if few else counts, rows.lang == counts.of)
         .filter(unit < F.col("share"))
         .select("lang", "text", "draw")
         .repartition("lang")
