@@ -14,6 +14,7 @@ from cohortwise.llm.common import arrow_map, documents
 from cohortwise.llm.phrases import fingerprints, likeness
 
 CHUNK = 1 << 20
+RANGES = 16
 OUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -25,14 +26,16 @@ def in_order(docs: DataFrame) -> DataFrame:
 
     Rows are ordered by id (none first), then by a hash of the text. Only one row a range is copied.
     """
-    buckets = max(1, docs.rdd.getNumPartitions())
+    # several small ranges a partition, so that hashing them to partitions comes out even
+    partitions = max(1, docs.rdd.getNumPartitions())
+    buckets = RANGES * partitions
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("place"),
     )
     ids = docs.select(F.col("doc_id").cast("double").alias("place")).dropna()
-    cuts = ids.approxQuantile("place", [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else []
+    cuts = ids.approxQuantile("place", [i / buckets for i in range(1, buckets)], max(0.2 / buckets, 1e-5))
     splits = [float("-inf"), *sorted({c for c in cuts if c is not None}), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
@@ -54,7 +57,7 @@ def in_order(docs: DataFrame) -> DataFrame:
         dealt.join(F.broadcast(heads), dealt.bucket == heads.of)
         .withColumn("to", F.explode(F.when(is_head, F.concat(own, lent)).otherwise(own)))
         .select("to.bucket", "to.borrowed", "doc_id", "tie", "text")
-        .repartition(len(splits) - 1, "bucket")
+        .repartition(partitions, "bucket")
         .sortWithinPartitions("bucket", "borrowed", "doc_id", "tie")
         .select("bucket", "borrowed", "doc_id", "text")
     )
