@@ -34,7 +34,7 @@ def _rounded(df, *names, digits=6):
 
 def normalise(spark, folder):
     tidy = ops.normalise_strings(raw_trade_text(spark, folder), RAW_SPEC)
-    return tidy.groupBy(*RAW_COLUMNS[2:]).agg(F.count("*").alias("n"))
+    return tidy.groupBy(*RAW_COLUMNS).agg(F.count("*").alias("n"))
 
 
 def coerce(spark, folder):
@@ -111,7 +111,7 @@ def prediction_checks(spark, folder):
 
 
 def missing(spark, folder):
-    return _rounded(profiling.missing_values(_profiled(spark, folder)), "missing_rate").drop("dtype")
+    return _rounded(profiling.missing_values(_profiled(spark, folder)), "missing_rate")
 
 
 def duplicates(spark, folder):
@@ -124,8 +124,7 @@ def describe(spark, folder):
 
 
 def frequencies(spark, folder):
-    rows = _profiled(spark, folder).drop("order_key")
-    return _rounded(profiling.category_frequencies(rows), "proportion")
+    return _rounded(profiling.category_frequencies(_profiled(spark, folder)), "proportion")
 
 
 def target_summary(spark, folder):
@@ -189,6 +188,7 @@ QUERIES = {
     "s11_serialisable": serialisable,
 }
 
+_TYPES = {"quantity": "double", "discount": "double", "high_value": "int"}
 _ANY_NULL = " OR ".join(f"{c} IS NULL" for c in RAW_COLUMNS)
 _ALL = ", ".join(RAW_COLUMNS)
 
@@ -214,7 +214,7 @@ def _union(parts) -> str:
 
 ORACLES = {
     "c1_normalise_strings": sql.with_(sql.NORMALISED)
-    + "SELECT discount, segment, return_flag, price_class, count(*) AS n FROM normalised GROUP BY ALL",
+    + f"SELECT {_ALL}, count(*) AS n FROM normalised GROUP BY ALL",
     "c2_coerce_numeric": sql.with_(sql.COERCED)
     + "SELECT quantity, discount, count(*) AS n FROM coerced GROUP BY ALL",
     "c3_exact_duplicates": sql.with_(sql.COERCED) + "SELECT DISTINCT * FROM coerced",
@@ -259,7 +259,7 @@ ORACLES = {
       count(*) FILTER (WHERE score < 0 OR score > 1) AS bad_probabilities FROM cohort""",
     "e1_missing_values": sql.with_(sql.PROFILED)
     + _union(
-        f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing_count,
+        f"""SELECT '{c}' AS "column", '{_TYPES.get(c, 'string')}' AS dtype, count(*) - count({c}) AS missing_count,
         round((count(*) - count({c})) / count(*)::DOUBLE, 6) AS missing_rate FROM profiled"""
         for c in [*RAW_COLUMNS, "high_value"]
     ),
@@ -271,7 +271,7 @@ ORACLES = {
     "e3_describe_numeric": sql.with_(sql.PROFILED)
     + _union(_describe_sql(c) for c in ("quantity", "discount", "high_value")),
     "e4_category_frequencies": sql.with_(sql.PROFILED)
-    + _union(_frequency_sql(c) for c in ("segment", "return_flag", "price_class")),
+    + _union(_frequency_sql(c) for c in ("order_key", "segment", "return_flag", "price_class")),
     "e5_target_summary": sql.with_(sql.PROFILED)
     + """SELECT count(high_value) AS valid_count, count(*) - count(high_value) AS missing_count,
       count(*) FILTER (WHERE high_value = 0) AS low_count,

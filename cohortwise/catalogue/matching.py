@@ -43,8 +43,8 @@ def _holes(spark, folder):
 
 
 def prepared(spark, folder):
-    rows = propensity.prepare_covariates(_holes(spark, folder), ["quantity", "segment"], TRADE_SPEC)
-    return rows.groupBy("quantity", "segment").agg(F.count("*").alias("n"))
+    rows = propensity.prepare_covariates(_holes(spark, folder), ["quantity", "balance", "segment"], TRADE_SPEC)
+    return rows.groupBy("quantity", "balance", "segment").agg(F.count("*").alias("n"))
 
 
 def features(spark, folder):
@@ -192,7 +192,7 @@ def balance_verdict(spark, folder):
 
 
 def love_plot(spark, folder):
-    found = frames.love_frame(_balance(spark, folder), 5)
+    found = frames.love_frame(_balance(spark, folder))
     return rounded(found, "smd_before", "smd_after", "max_smd")
 
 
@@ -307,7 +307,7 @@ ORACLES = {
     "m1_binary_codes": sql.with_(sql.COHORT + _CODED)
     + "SELECT exposed, code, count(*) AS n FROM coded GROUP BY ALL",
     "m2_prepared_covariates": sql.with_(sql.COHORT + _HOLES)
-    + "SELECT quantity, segment, count(*) AS n FROM holes GROUP BY ALL",
+    + "SELECT quantity, balance, segment, count(*) AS n FROM holes GROUP BY ALL",
     "m3_propensity_features": sql.with_(sql.COHORT + _HOLES)
     + """, m AS (SELECT median(quantity) AS mq, median(balance) AS mb FROM holes),
       filled AS (SELECT row_id, coalesce(quantity, mq) AS q, coalesce(balance, mb) AS b,
@@ -385,5 +385,5 @@ ORACLES = {
     "v4_love_frame": sql.with_(sql.COHORT + _BALANCE)
     + """SELECT covariate, round(smd_before, 6) AS smd_before, round(smd_after, 6) AS smd_after,
       round(greatest(smd_before, smd_after), 6) AS max_smd FROM balance
-      ORDER BY greatest(smd_before, smd_after) DESC LIMIT 5""",
+      ORDER BY greatest(smd_before, smd_after) DESC LIMIT 20""",
 }

@@ -77,9 +77,7 @@ def deltas(spark, folder):
 
 
 def roc(spark, folder):
-    found = metrics.roc_points(_scored(spark, folder), "outcome", "score").filter(
-        "threshold < double('infinity')"
-    )
+    found = metrics.roc_points(_scored(spark, folder), "outcome", "score")
     return rounded(found, "fpr", "tpr")
 
 
@@ -271,7 +269,8 @@ ORACLES = {
     + """, s AS (SELECT score, sum(outcome) AS pos, sum(1 - outcome) AS neg FROM cohort GROUP BY 1)
       SELECT score AS threshold,
         round(sum(neg) OVER (ORDER BY score DESC) / (SELECT sum(neg) FROM s)::DOUBLE, 6) AS fpr,
-        round(sum(pos) OVER (ORDER BY score DESC) / (SELECT sum(pos) FROM s)::DOUBLE, 6) AS tpr FROM s""",
+        round(sum(pos) OVER (ORDER BY score DESC) / (SELECT sum(pos) FROM s)::DOUBLE, 6) AS tpr FROM s
+      UNION ALL SELECT 'infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""",
     "v9_confusion_matrix": sql.with_(sql.COHORT)
     + """SELECT a AS actual, p AS predicted,
       (SELECT count(*) FROM cohort WHERE outcome = a AND predicted = p) AS n

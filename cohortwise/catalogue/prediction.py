@@ -27,7 +27,7 @@ SMALL_SPACE = {
     "min_rows_per_leaf": ("integer", 10, 50),
 }
 SCORED_FEATURES = ("quantity", "return_flag", "segment")
-REPEATS = 3
+REPEATS = 10
 
 
 def linear_score(df: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def impacts(spark, folder):
 
 
 def top_impacts(spark, folder):
-    found = frames.top_impacts(_impacts(spark, folder), "row_id", 2)
+    found = frames.top_impacts(_impacts(spark, folder), "row_id")
     return rounded(
         found.select("row_id", "feature", "position", "impact_percentage_points"),
         "impact_percentage_points",
@@ -221,7 +221,7 @@ def importance_frame(spark, folder):
     found = explain.permutation_importance(
         rows, "outcome", "row_id", SCORED_FEATURES, linear_score, REPEATS
     )
-    return rounded(frames.importance_frame(found, 2), "importance_mean", "importance_std")
+    return rounded(frames.importance_frame(found), "importance_mean", "importance_std")
 
 
 def cross_validation(spark, folder):
@@ -493,13 +493,13 @@ ORACLES = {
     + """, signed AS (SELECT row_id, feature, (original_probability - reference_probability) * 100 AS i FROM impacts),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY abs(i) DESC, feature) AS k FROM signed)
       SELECT row_id, feature, CAST(row_number() OVER (PARTITION BY row_id ORDER BY i, feature) AS INTEGER) AS position,
-        round(i, 6) + 0 AS impact_percentage_points FROM ranked WHERE k <= 2""",
+        round(i, 6) + 0 AS impact_percentage_points FROM ranked WHERE k <= 8""",
     "v6_what_if_frame": sql.with_(sql.COHORT)
     + """SELECT v AS value, v = return_flag AS is_current, count(*) AS n
       FROM cohort, (VALUES ('A'), ('N'), ('R')) AS g(v) GROUP BY ALL""",
     "v7_importance_frame": sql.with_(sql.COHORT + _IMPORTANCE)
     + """SELECT feature, round(importance_mean, 6) AS importance_mean,
-      round(importance_std, 6) AS importance_std FROM importance ORDER BY importance_mean DESC LIMIT 2""",
+      round(importance_std, 6) AS importance_std FROM importance ORDER BY importance_mean DESC LIMIT 10""",
     "x3_compared_scores": sql.with_(sql.COHORT + _PLACED + _FOLDED)
     + f""", stacked AS (SELECT fold, 'base' AS m, outcome, score AS p FROM folded
         UNION ALL SELECT fold, 'other', outcome, {_linear()} FROM folded),

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.functions.columns import col, sigmoid
+from cohortwise.session import shared_folder
 from cohortwise.spec import CONTINUOUS, AnalysisError
 
 CALIBRATION_FOLDS = 3
@@ -167,6 +168,9 @@ class CalibratedModel:
 
 
 def fit_tree(rows: DataFrame, params: BoostingParams, schema: dict) -> GBTClassificationModel:
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # else the rounds build one long lineage
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
     return classifier(params, schema).fit(rows)
 
 
