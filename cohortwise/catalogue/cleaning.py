@@ -136,16 +136,18 @@ def overview(spark, folder):
 
 
 def full_profile(spark, folder):
-    """All profile tables of the labelled documents, counted."""
-    tables = profiling.full_profile(review_cohort(spark, folder).drop("doc_id"), "quality")
-    parts = [
-        t.agg(F.count("*").alias("result_rows")).select(F.lit(n).alias("section"), "result_rows")
-        for n, t in tables.items()
-    ]
+    """Every number of all profile tables of the labelled documents: section, item, measure, value."""
+    tables = profiling.full_profile(review_cohort(spark, folder), "quality")
+    parts = []
+    for section, t in tables.items():
+        names = [F.col(f"`{c}`") for c in ("column", "category") if c in t.columns]
+        numbers = [c for c, kind in t.dtypes if kind != "string"]
+        values = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in numbers])
+        parts.append(t.select(F.lit(section).alias("section"), F.concat_ws("=", *names).alias("item"), F.inline(values)))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return whole
+    return _rounded(whole, "value")
 
 
 def serialisable(spark, folder):
@@ -208,6 +210,48 @@ def _frequency_sql(column: str) -> str:
       FROM profiled GROUP BY 2"""
 
 
+def _profile_sql() -> str:
+    names, numeric, texts = ["doc_id", "quality", "n_chars", "toxic", "lang", "source"], ["doc_id", "quality", "n_chars"], ["toxic", "lang", "source"]
+    gaps = " + ".join(f"count(*) - count({c})" for c in names)
+    holes = " + ".join(f"(count(*) > count({c}))::INTEGER" for c in names)
+    repeated = f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM review GROUP BY {', '.join(names)})) + 0 * count(*)"
+    measures = {
+        ("overview", "''"): {
+            "rows": "count(*)", "columns": "6 + 0 * count(*)", "missing_cells": gaps, "columns_with_missing": holes,
+            "duplicate_rows": repeated, "valid_targets": "count(quality)",
+            "high_count": "count(*) FILTER (WHERE quality = 1)", "high_rate": "avg(quality)",
+        },
+        ("target", "''"): {
+            "valid_count": "count(quality)", "missing_count": "count(*) - count(quality)",
+            "low_count": "count(*) FILTER (WHERE quality = 0)", "high_count": "count(*) FILTER (WHERE quality = 1)",
+            "high_rate": "avg(quality)",
+        },
+        ("duplicates", "''"): {
+            "row_count": "count(*)", "duplicate_rows": repeated, "duplicate_rate": f"({repeated}) / count(*)::DOUBLE",
+        },
+    }
+    for c in names:
+        measures["missing", f"'{c}'"] = {
+            "missing_count": f"count(*) - count({c})", "missing_rate": f"(count(*) - count({c})) / count(*)::DOUBLE",
+        }
+    for c in numeric:
+        measures["numeric", f"'{c}'"] = {
+            "count": f"count({c})", "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})",
+            "q1": f"quantile_cont({c}::DOUBLE, 0.25)", "median": f"quantile_cont({c}::DOUBLE, 0.5)",
+            "q3": f"quantile_cont({c}::DOUBLE, 0.75)", "max": f"max({c})", "missing_count": f"count(*) - count({c})",
+        }
+    one = [
+        f"SELECT '{section}' AS section, {item} AS item, '{m}' AS measure, round(({v})::DOUBLE, 6) AS value FROM review"
+        for (section, item), parts in measures.items() for m, v in parts.items()
+    ]
+    many = [
+        f"SELECT 'categories', '{c}=' || coalesce({c}, '<NA>'), '{m}', round(({v})::DOUBLE, 6) FROM review GROUP BY 2"
+        for c in texts
+        for m, v in (("count", "count(*)"), ("proportion", "count(*) / (SELECT count(*) FROM review)::DOUBLE"))
+    ]
+    return _union(one + many)
+
+
 def _union(parts) -> str:
     return " UNION ALL ".join(parts)
 
@@ -277,6 +321,7 @@ ORACLES = {
       count(*) FILTER (WHERE high_value = 0) AS low_count,
       count(*) FILTER (WHERE high_value = 1) AS high_count,
       round(avg(high_value), 6) AS high_rate FROM profiled""",
+    "e6_full_profile": sql.with_(sql.REVIEW) + _profile_sql(),
     "e6_profile_overview": sql.with_(sql.PROFILED)
     + f"""SELECT count(*) AS rows, CAST(7 AS BIGINT) AS columns,
       ({" + ".join(f"(count(*) - count({c}))" for c in [*RAW_COLUMNS, "high_value"])})::BIGINT
