@@ -133,6 +133,29 @@ def margins_adjusted(spark, folder):
     return logistic.average_margins(fit, logistic.margin_grid(rows, fit.design))
 
 
+ONE_CONTROL = AnalysisRequest("exposed", ("quantity",))
+
+
+def one_control(spark, folder):
+    """A whole association request with one control: effect, joint test and margins."""
+    rows = _sample(spark, folder, ONE_CONTROL).persist()
+    result = association.analyze(rows, ONE_CONTROL, TRADE_SPEC)
+    effect = result.effects.select(
+        F.lit("effect").alias("section"),
+        F.inline(F.array(*[
+            F.struct(F.lit(m).alias("item"), F.col(m).cast("double").alias("value"))
+            for m in ("coefficient", "odds_ratio", "ci_95_low", "ci_95_high")
+        ])),
+    )
+    test = logistic.joint_wald(association.fit_request(rows, ONE_CONTROL, TRADE_SPEC))
+    found = spark.createDataFrame([test], logistic.WALD_SCHEMA)
+    wald_ = found.select(F.lit("wald").alias("section"), F.lit("statistic").alias("item"), F.col("statistic").alias("value"))
+    margins = result.margins.select(
+        F.lit("margin").alias("section"), F.col("exposure_value").alias("item"), F.col("adjusted_probability").alias("value")
+    )
+    return rounded(effect.unionByName(wald_).unionByName(margins), "value", digits=4)
+
+
 def margin_grid(spark, folder):
     rows, parts = trade_cohort(spark, folder, ["outcome", "balance", "quantity", "discount"]).persist(), []
     for name in ("balance", "quantity", "discount"):
@@ -197,6 +220,7 @@ QUERIES = {
     "l9_margins_adjusted": margins_adjusted,
     "l10_margin_grid": margin_grid,
     "l11_association": association_sections,
+    "l11_association_one_control": one_control,
     "l11_association_closed_form": association_levels,
     "l12_association_counts": association_counts,
     "v2_forest_frame": forest,
@@ -291,6 +315,17 @@ ORACLES = {
       FROM cohort GROUP BY 1""",
     "l10_margin_grid": sql.with_(sql.COHORT)
     + " UNION ALL ".join(_grid_sql(n) for n in ("balance", "quantity", "discount")),
+    "l11_association_one_control": sql.with_(
+        sql.COHORT + sql.newton_two("fit", "(exposed = 'yes')::INTEGER", "quantity", "outcome", "cohort")
+    )
+    + """, best AS (SELECT * FROM fit WHERE i = 14)
+      SELECT 'effect' AS section, 'coefficient' AS item, round(b, 4) AS value FROM best
+      UNION ALL SELECT 'effect', 'odds_ratio', round(exp(b), 4) FROM best
+      UNION ALL SELECT 'effect', 'ci_95_low', round(exp(b - 1.959963984540054 * sqrt(v)), 4) FROM best
+      UNION ALL SELECT 'effect', 'ci_95_high', round(exp(b + 1.959963984540054 * sqrt(v)), 4) FROM best
+      UNION ALL SELECT 'wald', 'statistic', round(b * b / v, 4) FROM best
+      UNION ALL SELECT 'margin', level, round(sum(n / (1 + exp(-(a + b * e + c * z)))) / sum(n), 4)
+        FROM best, fit_patterns, (VALUES ('no', 0), ('yes', 1)) AS l(level, e) GROUP BY level""",
     "l11_association_closed_form": _levels("segment")
     + f"""SELECT 'effects' AS section, 'segment_' || level AS item, 'coefficient' AS measure,
         round(b, 4) AS value FROM effects

@@ -124,6 +124,28 @@ def fisher_two_sided(a: str, b: str, c: str, d: str) -> str:
       CASE WHEN {weight('k')} <= {weight(a)} * (1 + 1e-7) THEN {weight('k')} ELSE 0 END))"""
 
 
+def newton_two(name: str, x: str, z: str, y: str, source: str) -> str:
+    """Intercept and two slopes of a logistic fit by Newton steps over its patterns, with the information."""
+    m = "(n * m * (1 - m))"
+    return f""",
+{name}_patterns AS (SELECT {x}::DOUBLE AS x, {z}::DOUBLE AS z, count(*)::DOUBLE AS n, sum({y})::DOUBLE AS s
+  FROM {source} GROUP BY 1, 2),
+{name}(i, a, b, c, v) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1,
+    a + ((k22 * k33 - k23 * k23) * g1 + (k13 * k23 - k12 * k33) * g2 + (k12 * k23 - k13 * k22) * g3) / d,
+    b + ((k13 * k23 - k12 * k33) * g1 + (k11 * k33 - k13 * k13) * g2 + (k12 * k13 - k11 * k23) * g3) / d,
+    c + ((k12 * k23 - k13 * k22) * g1 + (k12 * k13 - k11 * k23) * g2 + (k11 * k22 - k12 * k12) * g3) / d,
+    (k11 * k33 - k13 * k13) / d
+  FROM (SELECT *, k11 * (k22 * k33 - k23 * k23) - k12 * (k12 * k33 - k13 * k23) + k13 * (k12 * k23 - k13 * k22) AS d
+    FROM (SELECT i, a, b, c, sum(s - n * m) AS g1, sum((s - n * m) * x) AS g2, sum((s - n * m) * z) AS g3,
+        sum({m}) AS k11, sum({m} * x) AS k12, sum({m} * z) AS k13, sum({m} * x * x) AS k22,
+        sum({m} * x * z) AS k23, sum({m} * z * z) AS k33
+      FROM (SELECT i, a, b, c, x, z, n, s, 1 / (1 + exp(-(a + b * x + c * z))) AS m
+            FROM {name}, {name}_patterns WHERE i < 14) GROUP BY i, a, b, c)))"""
+
+
 def newton(name: str, x: str, y: str, source: str, penalty: str = "0") -> str:
     """Intercept and slope of a logistic fit on one number, by Newton steps over its patterns.
 
