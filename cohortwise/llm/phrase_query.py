@@ -15,6 +15,7 @@ from cohortwise.llm.phrases import fingerprints, likeness
 
 CHUNK = 1 << 20
 RANGES = 16
+MOST_RANGES = 100_000  # one broadcast row each; the result does not depend on the number
 OUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -28,7 +29,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     """
     # several small ranges a partition, so that hashing them to partitions comes out even
     partitions = max(1, docs.rdd.getNumPartitions())
-    buckets = RANGES * partitions
+    buckets = min(RANGES * partitions, MOST_RANGES)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
