@@ -33,6 +33,11 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` (a few numbers a row) marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def crc32_of_id(key: str | Column = "doc_id") -> Column:
     """crc32 of the id as text; null for a null id."""
     column = F.col(key) if isinstance(key, str) else key

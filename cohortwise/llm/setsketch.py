@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.llm.common import arrow_map, binary_array, bytes_of, pieces, run_starts, whole_groups, written
+from cohortwise.llm.common import arrow_map, binary_array, bytes_of, pieces, run_starts, small_side, whole_groups, written
 from cohortwise.llm.components import components
 from cohortwise.llm.words import BASE, hash_words, mix, window_hashes
 
@@ -314,7 +314,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame, settings: SketchSettings) ->
                     names=["class", "set"],
                 )
 
-    members = wanted.select(F.col("member").alias("doc_id")).distinct()
+    # few ids go to the texts; many make the texts come to them, each once
+    members = small_side(written(wanted.select(F.col("member").alias("doc_id")).distinct()))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = rows.join(members, rows.doc_id.eqNullSafe(members.doc_id), "left_semi").select("text")
     found = arrow_map(texts, work, "class binary, set binary")
@@ -402,7 +403,7 @@ def near_duplicates(docs: DataFrame, settings: SketchSettings = SketchSettings()
     )
     groups = written(candidate_groups(classes, settings))
     active = groups.select("class").distinct()
-    wanted = classes.select("class", "member").join(active, "class", "left_semi")
+    wanted = written(classes.select("class", "member").join(active, "class", "left_semi"))
     sets = class_sets(docs, wanted, settings)
     links = confirmed_links(groups, sets, classes, settings)
     labels = components(links)
