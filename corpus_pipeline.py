@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm.common import documents, written
+from cohortwise.llm.common import documents, small_side, written
 from cohortwise.llm.mixing import mixed
 from cohortwise.llm.packing import pack_documents
 from cohortwise.llm.packing_query import settings as pack_settings
@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     judged = written(near_duplicates(docs.select("doc_id", "text")).select("doc_id", "kept"))
     by_id = judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")).filter("doc_id is not null")
-    gone = by_id.filter("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = small_side(written(by_id.filter("not kept").select(F.col("doc_id").alias("_gone"))))
     left = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
     if by_id.filter("rows > 1").limit(1).count():  # without repeated ids there is nothing to choose
         left = left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
