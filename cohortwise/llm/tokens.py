@@ -24,7 +24,7 @@ from array import array
 
 import numpy as np
 
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = ".,;:!?"
 SPACE_RUN = re.compile("[\\s\u180e][ \n]")
