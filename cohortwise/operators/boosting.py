@@ -18,7 +18,7 @@ from pyspark.ml.regression import (
     IsotonicRegression,
     IsotonicRegressionModel,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwise.functions.columns import col, sigmoid
@@ -34,13 +34,14 @@ PROBABILITY = "probability"
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """Fixed values of the default model; the last two are Spark's own knobs."""
+    """Fixed values of the default model; the last three are Spark's own knobs."""
 
     learning_rate: float = 0.14447746112718687
     max_iter: int = 154
     max_depth: int = 5
     min_rows_per_leaf: int = 20
     subsampling: float = 1.0
+    max_bins: int = 32
 
     def with_(self, **changes) -> BoostingParams:
         return replace(self, **changes)
@@ -94,7 +95,7 @@ def classifier(params: BoostingParams, schema: dict[str, dict]) -> GBTClassifier
         stepSize=params.learning_rate,
         minInstancesPerNode=params.min_rows_per_leaf,
         subsamplingRate=params.subsampling,
-        maxBins=max(32, *levels) if levels else 32,
+        maxBins=max(params.max_bins, *levels) if levels else params.max_bins,
         seed=SEED,
     )
 
@@ -168,12 +169,16 @@ class CalibratedModel:
 
 
 def fit_tree(rows: DataFrame, params: BoostingParams, schema: dict) -> GBTClassificationModel:
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:  # else the rounds build one long lineage
-        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    use_checkpoints(rows.sparkSession)
     return classifier(params, schema).fit(rows)
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Without a checkpoint folder the rounds of a fit would build one long lineage."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def fit_calibrated(
     rows: DataFrame, schema: dict[str, dict], params: BoostingParams, fold: str,
     folds: int = CALIBRATION_FOLDS,

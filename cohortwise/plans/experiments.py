@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
@@ -25,6 +27,8 @@ SEARCH_SPACE = {
     "max_iter": ("integer", 100, 350),
     "max_depth": ("choice", [3, 5, 7, 9]),
     "min_rows_per_leaf": ("integer", 10, 50),
+    "subsampling": ("uniform", 0.6, 1.0),
+    "max_bins": ("choice", [32, 64, 128, 255]),
 }
 
 
@@ -69,6 +73,9 @@ def sample_parameters(count: int, space: dict | None = None, seed: int = boostin
             if kind == "log_uniform":
                 low, high = bounds
                 values[name] = low * (high / low) ** draw.random()
+            elif kind == "uniform":
+                low, high = bounds
+                values[name] = low + (high - low) * draw.random()
             elif kind == "integer":
                 values[name] = draw.randint(*bounds)
             else:
@@ -77,20 +84,38 @@ def sample_parameters(count: int, space: dict | None = None, seed: int = boostin
     return found
 
 
-def random_search(
-    rows: DataFrame, schema: dict, candidates: list[BoostingParams], folds: int = CV_FOLDS,
-    parallelism: int = boosting.PARALLEL_FITS,
-) -> DataFrame:
-    """Cross-validated ROC-AUC of every candidate, ranked."""
+RANKING_SCHEMA = (
+    "candidate int, learning_rate double, max_iter int, max_depth int, min_rows_per_leaf int, "
+    "subsampling double, max_bins int, mean_score double, std_score double, rank int"
+)
+
+
+@dataclass
+class SearchResult:
+    """The ranking of all candidates; the best one, refitted on all rows, against the current parameters."""
+
+    ranking: DataFrame
+    best: BoostingParams
+    model: GBTClassificationModel
+    best_folds: DataFrame
+    comparison: DataFrame
+
+
+def _cross_validated(rows, schema, candidates, folds, parallelism):
+    """Ranking rows of all candidates, the place of the best one, and its model fitted on all rows."""
+    boosting.use_checkpoints(rows.sparkSession)
     estimator = boosting.classifier(BoostingParams(), schema)
+    single = [boosting.classifier(p, schema) for p in candidates]
     grid = [
         {
             estimator.stepSize: p.learning_rate,
             estimator.maxIter: p.max_iter,
             estimator.maxDepth: p.max_depth,
             estimator.minInstancesPerNode: p.min_rows_per_leaf,
+            estimator.subsamplingRate: p.subsampling,
+            estimator.maxBins: own.getMaxBins(),
         }
-        for p in candidates
+        for p, own in zip(candidates, single, strict=True)
     ]
     judge = BinaryClassificationEvaluator(labelCol=boosting.LABEL, numBins=0)
     search = CrossValidator(
@@ -100,16 +125,40 @@ def random_search(
     order = sorted(range(len(candidates)), key=lambda i: (-search.avgMetrics[i], i))
     table = [
         (
-            i, p.learning_rate, p.max_iter, p.max_depth, p.min_rows_per_leaf,
+            i, p.learning_rate, p.max_iter, p.max_depth, p.min_rows_per_leaf, float(p.subsampling), p.max_bins,
             float(search.avgMetrics[i]), float(search.stdMetrics[i]), order.index(i) + 1,
         )
         for i, p in enumerate(candidates)
     ]
-    return rows.sparkSession.createDataFrame(
-        table,
-        "candidate int, learning_rate double, max_iter int, max_depth int, min_rows_per_leaf int, "
-        "mean_score double, std_score double, rank int",
-    )
+    return table, order[0], search.bestModel
+
+
+def random_search(
+    rows: DataFrame, schema: dict, candidates: list[BoostingParams], folds: int = CV_FOLDS,
+    parallelism: int = boosting.PARALLEL_FITS,
+) -> DataFrame:
+    """Cross-validated ROC-AUC of every candidate, ranked."""
+    table, _, _ = _cross_validated(rows, schema, candidates, folds, parallelism)
+    return rows.sparkSession.createDataFrame(table, RANKING_SCHEMA)
+
+
+def search(
+    rows: DataFrame, schema: dict, candidates: list[BoostingParams], current: BoostingParams = BoostingParams(),
+    folds: int = CV_FOLDS, parallelism: int = boosting.PARALLEL_FITS,
+) -> SearchResult:
+    """Random search with what follows from it: refitted best model, its folds, and the comparison."""
+    table, best, model = _cross_validated(rows, schema, candidates, folds, parallelism)
+    best_folds = fold_scores(rows, schema, candidates[best], folds)
+    comparison = compare_scores(fold_scores(rows, schema, current, folds), best_folds)
+    ranking = rows.sparkSession.createDataFrame(table, RANKING_SCHEMA)
+    return SearchResult(ranking, candidates[best], model, best_folds, comparison)
+
+
+def write_search(result: SearchResult, folder: str) -> None:
+    """Ranking, folds of the best candidate and comparison as tables, and the model, below ``folder``."""
+    for name in ("ranking", "best_folds", "comparison"):
+        getattr(result, name).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+    result.model.write().overwrite().save(f"{folder}/model")
 
 
 def compare_scores(baseline: DataFrame, candidate: DataFrame) -> DataFrame:

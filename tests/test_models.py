@@ -200,3 +200,20 @@ def test_explanations_keep_repeated_records_and_shuffle_nothing(spark):
     assert len(rows) == 3 and sorted(len(r.impacts) for r in rows) == [2, 2, 2]
     assert [e.feature for e in rows[0].impacts] == ["b", "a"]
     assert explain.local_impacts(df, "id", schema, score).count() == 6
+
+
+def test_search_refits_and_compares_the_best(spark, people, tmp_path):
+    from pyspark.ml.classification import GBTClassificationModel
+
+    rows, schema = experiments.prepare(people, SPEC, 3)
+    tried = [BoostingParams(max_iter=1, max_depth=1, max_bins=16), BoostingParams(max_iter=4, max_depth=3, subsampling=0.9)]
+    found = experiments.search(rows, schema, tried, QUICK, 3)
+    ranking = {r["rank"]: r for r in found.ranking.collect()}
+    assert tried[ranking[1].candidate] == found.best and ranking[1].mean_score >= ranking[2].mean_score
+    folds = [r.roc_auc for r in found.best_folds.collect()]
+    compared = found.comparison.first()
+    assert compared.folds == 3 and abs(compared.candidate_mean - np.mean(folds)) < 1e-12
+    experiments.write_search(found, str(tmp_path / "search"))
+    again = GBTClassificationModel.load(str(tmp_path / "search" / "model"))
+    assert again.getNumTrees == found.best.max_iter
+    assert spark.read.parquet(str(tmp_path / "search" / "ranking")).count() == 2
