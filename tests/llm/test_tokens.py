@@ -137,3 +137,13 @@ def test_sequences_hold_their_pieces(spark):
     for r in placed.collect():
         part = ids[r.sequence_id][r.offset : r.offset + r.length]
         assert zlib.crc32(part.tobytes()) == r.ids_crc32
+
+
+def test_forgetting_parts_changes_nothing(monkeypatch):
+    monkeypatch.setattr("cohortwise.llm.tokens.REMEMBERED", 3)
+    text = "one two three four five one two\nthree, four. five six seven one\n"
+    for cut, path in (("words", WORD), ("spaced", BYTE)):
+        own = PartEncoder(read_description(path), cut)
+        for _ in range(3):
+            assert own.ids(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert len(own.words) <= 3 and len(own.spaced) <= 3 and len(own.spaced.before) <= 3
