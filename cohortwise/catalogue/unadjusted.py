@@ -73,14 +73,13 @@ def fisher(spark, folder):
     return rounded(both.select("cohort", "fisher_exact_p_value"), "fisher_exact_p_value")
 
 
+CONTINUOUS_EXPOSURES = ["quantity", "discount", "balance"]
+
+
 def correlation(spark, folder):
-    parts = []
-    rows = trade_cohort(spark, folder, ["quantity", "discount", "balance", "outcome"])
-    for name in ("quantity", "discount", "balance"):
-        part = ops.point_biserial(rows, name, "outcome").withColumn("exposure", F.lit(name))
-        parts.append(part)
-    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    whole = rounded(whole, "exposure_mean", digits=8)  # means of cents end in exact halves
+    rows = trade_cohort(spark, folder, [*CONTINUOUS_EXPOSURES, "outcome"])
+    found = ops.point_biserials(rows, CONTINUOUS_EXPOSURES, "outcome")
+    whole = rounded(found, "exposure_mean", digits=8)  # means of cents end in exact halves
     return rounded(whole, "correlation", "exposure_std", "p_value")
 
 
@@ -133,15 +132,9 @@ def extremes(spark, folder):
 
 
 def verdicts(spark, folder):
-    rows = trade_cohort(spark, folder, ["quantity", "discount", "balance", "outcome"])
-    parts = [
-        ops.point_biserial(rows, name, "outcome").select(
-            F.lit(name).alias("exposure"),
-            ops.verdict(F.col("p_value"), F.col("correlation")).alias("verdict"),
-        )
-        for name in ("quantity", "discount", "balance")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = trade_cohort(spark, folder, [*CONTINUOUS_EXPOSURES, "outcome"])
+    found = ops.point_biserials(rows, CONTINUOUS_EXPOSURES, "outcome")
+    return found.select("exposure", ops.verdict(F.col("p_value"), F.col("correlation")).alias("verdict"))
 
 
 def welch(spark, folder):

@@ -139,18 +139,38 @@ def binary_association(df: DataFrame, exposure: str, outcome: str) -> DataFrame:
 
 def point_biserial(df: DataFrame, exposure: str, outcome: str) -> DataFrame:
     """One row: correlation of a continuous exposure with the outcome, and its p-value."""
-    x, y = col(exposure).cast("double"), col(outcome).cast("double")
-    known = df.filter(x.isNotNull() & y.isNotNull())
-    row = known.agg(
-        F.count("*").alias("n"),
-        F.when(F.min(x) == F.max(x), F.raise_error(F.lit(f"'{exposure}' is constant")))
-        .otherwise(F.corr(y, x)).alias("correlation"),
-        F.avg(x).alias("exposure_mean"),
-        F.stddev_samp(x).alias("exposure_std"),
-    )
+    return point_biserials(df, [exposure], outcome).drop("exposure")
+
+
+def point_biserials(df: DataFrame, exposures: list[str], outcome: str) -> DataFrame:
+    """One row per exposure, from a single aggregate over the rows."""
+    y, measures = col(outcome).cast("double"), []
+    for i, exposure in enumerate(exposures):
+        x = F.when(y.isNotNull(), col(exposure).cast("double"))
+        measures += [
+            F.count(x).alias(f"n{i}"),
+            F.min(x).alias(f"lo{i}"),
+            F.max(x).alias(f"hi{i}"),
+            F.corr(F.when(x.isNotNull(), y), x).alias(f"r{i}"),
+            F.avg(x).alias(f"m{i}"),
+            F.stddev_samp(x).alias(f"s{i}"),
+        ]
+    entries = [
+        F.struct(
+            F.lit(exposure).alias("exposure"),
+            F.col(f"n{i}").alias("n"),
+            F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.raise_error(F.lit(f"'{exposure}' is constant")).cast("double"))
+            .otherwise(F.col(f"r{i}"))
+            .alias("correlation"),
+            F.col(f"m{i}").alias("exposure_mean"),
+            F.col(f"s{i}").alias("exposure_std"),
+        )
+        for i, exposure in enumerate(exposures)
+    ]
+    rows = df.agg(*measures).select(F.inline(F.array(*entries)))
     r, dof = F.col("correlation"), (F.col("n") - 2).cast("double")
     t = F.when(F.abs(r) < 1.0, r * F.sqrt(dof / (1 - r * r))).otherwise(F.lit(float("inf")))
-    return row.withColumn("p_value", t_two_sided(t, dof))
+    return rows.withColumn("p_value", t_two_sided(t, dof))
 
 
 def category_rates(df: DataFrame, exposure: str, outcome: str) -> DataFrame:
