@@ -16,8 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     with the logarithm of the longest path. Rounds are tables in the shared folder; the driver
     sees one number a round. Null ends and loops link nothing; an empty table gives an empty one.
     """
-    edges = links.select("a", "b").filter("a is not null and b is not null and a <> b")
-    edges = written(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    # written before both directions are taken: computed twice, the links might not be the same
+    links = written(links.select("a", "b").filter("a is not null and b is not null and a <> b"))
+    edges = written(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
     while True:
         near = (

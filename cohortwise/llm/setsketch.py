@@ -293,7 +293,7 @@ def candidate_groups(classes: DataFrame, settings: SketchSettings) -> DataFrame:
                 names=["bucket", "i", "j", "block", "class"],
             )
 
-    ready = members.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    ready = members.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "class")
     return arrow_map(ready, work, "bucket long, i long, j long, block long, class binary")
 
 
@@ -376,7 +376,7 @@ def confirmed_links(groups: DataFrame, sets: DataFrame, sketches: DataFrame, set
         .join(sketches.select("class", "registers", "node"), "class")
         .select("bucket", "i", "j", "block", "set", "registers", "node")
     )
-    ready = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    ready = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
     return arrow_map(ready, work, "a long, b long")
 
 

@@ -318,3 +318,19 @@ def test_pipeline_stages(spark, odd, empty):
             stage(spark, empty, "").count()
         docs = out
     assert docs.count() > 0
+
+
+def test_components_of_links_that_come_in_another_order_each_time(spark):
+    """A lazy forest of a clique may be another one on each evaluation; the component may not."""
+    import pyarrow as pa
+
+    def forest(batches):
+        import random
+
+        for batch in batches:
+            nodes = batch.column("id").to_pylist()
+            random.SystemRandom().shuffle(nodes)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[:-1]), pa.array(nodes[1:])], names=["a", "b"])
+
+    links = spark.range(0, 60, 1, 1).mapInArrow(forest, "a long, b long")
+    assert {r.label for r in components(links).collect()} == {0}
