@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +18,6 @@ from cohortwise.session import scratch_folder
 from cohortwise.sources import artefacts
 from cohortwise.sources.tables import RAW_SPEC, TRADE_SPEC, raw_trade_text, trade_cohort
 
-# Short runs: the registered queries check the procedure, not the default number of rounds.
-QUICK = BoostingParams(max_iter=8, max_depth=3)
-QUICKER = BoostingParams(max_iter=3, max_depth=2)
-SMALL_SPACE = {
-    "learning_rate": ("log_uniform", 0.03, 0.25),
-    "max_iter": ("integer", 2, 4),
-    "max_depth": ("choice", [2, 3]),
-    "min_rows_per_leaf": ("integer", 10, 50),
-}
 SCORED_FEATURES = ("quantity", "return_flag", "segment")
 REPEATS = 10
 
@@ -82,11 +74,11 @@ _EVALUATIONS: dict = {}
 
 
 def trained(spark, folder):
-    """One short training run per session and folder, shared by the queries on models."""
+    """One training run per session and folder, shared by the queries on models."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _EVALUATIONS:
         _EVALUATIONS[key] = training.evaluate(
-            _labelled(spark, folder), TRADE_SPEC, QUICK, importance_repeats=2
+            _labelled(spark, folder), TRADE_SPEC, BoostingParams(), importance_repeats=REPEATS
         )
     return _EVALUATIONS[key]
 
@@ -97,10 +89,10 @@ def _bundle(spark, folder):
 
 
 def boosted_trees(spark, folder):
-    """Quality of one uncalibrated tree model on held-out folds."""
-    rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC, 2)
-    trees = boosting.fit_tree(rows.filter("fold = 0"), QUICK, found)
-    held = boosting.with_margin(rows.filter("fold = 1"), trees, "margin")
+    """Quality of one uncalibrated tree model, fitted on four fifths, on the fifth held out."""
+    rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
+    trees = boosting.fit_tree(rows.filter("fold <> 0"), BoostingParams(), found)
+    held = boosting.with_margin(rows.filter("fold = 0"), trees, "margin")
     return metrics.evaluate(held.withColumn("p", sigmoid(F.col("margin"))), "outcome", "p")
 
 
@@ -226,14 +218,41 @@ def importance_frame(spark, folder):
 
 def cross_validation(spark, folder):
     rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
-    return experiments.fold_scores(rows, found, QUICKER)
+    return experiments.fold_scores(rows, found, BoostingParams())
+
+
+_SEARCHES: dict = {}
+
+
+def _searched(spark, folder):
+    """One random search per session and folder: ranking, refitted best model, its folds, comparison."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _SEARCHES:
+        rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
+        _SEARCHES[key] = experiments.search(
+            rows, found, experiments.sample_parameters(experiments.CANDIDATES)
+        )
+    return _SEARCHES[key]
 
 
 def search(spark, folder):
-    rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC, 3)
-    return experiments.random_search(
-        rows, found, experiments.sample_parameters(3, SMALL_SPACE), 3
-    )
+    return _searched(spark, folder).ranking
+
+
+def search_best_folds(spark, folder):
+    return _searched(spark, folder).best_folds
+
+
+def search_comparison(spark, folder):
+    return _searched(spark, folder).comparison
+
+
+def stored_search(spark, folder):
+    """The ranking of the stored search, with the number of trees of the stored model."""
+    path = scratch_folder(spark)
+    experiments.write_search(_searched(spark, folder), path)
+    trees = GBTClassificationModel.load(f"{path}/model").getNumTrees
+    return spark.read.parquet(f"{path}/ranking").withColumn("best_trees", F.lit(trees))
 
 
 def compared_scores(spark, folder):
@@ -252,9 +271,9 @@ _OUT_OF_FOLD: dict = {}
 def _oof(spark, folder):
     key = (spark.sparkContext.applicationId, folder)
     if key not in _OUT_OF_FOLD:
-        rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC, 3)
+        rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
         _OUT_OF_FOLD[key] = experiments.out_of_fold(
-            rows, found, TRADE_SPEC, QUICKER, 3, 2
+            rows, found, TRADE_SPEC, BoostingParams()
         ).persist()
     return _OUT_OF_FOLD[key]
 
@@ -263,6 +282,7 @@ def forget() -> None:
     """Drop the shared training runs, so that the next query trains anew."""
     _EVALUATIONS.clear()
     _OUT_OF_FOLD.clear()
+    _SEARCHES.clear()
 
 
 def out_of_fold(spark, folder):
@@ -373,6 +393,9 @@ QUERIES = {
     "v7_importance_frame": importance_frame,
     "x1_cross_validation": cross_validation,
     "x2_random_search": search,
+    "x2_best_folds": search_best_folds,
+    "x2_comparison": search_comparison,
+    "x2_stored_search": stored_search,
     "x3_compared_scores": compared_scores,
     "x4_out_of_fold": out_of_fold,
     "x4_calibration_comparison": calibration_comparison,
