@@ -167,8 +167,11 @@ def estimate(x: np.ndarray, y: np.ndarray, n: int, k: int, base: float) -> float
     return low
 
 
-def sketch_documents(docs: DataFrame, settings: SketchSettings) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``class`` (hash of the whole set), registers and band keys."""
+def sketch_documents(docs: DataFrame, settings: SketchSettings, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``class`` (hash of the whole set), registers and band keys.
+
+    The ``carried`` columns of ``docs`` (longs) come along.
+    """
 
     def work(batches):
         for batch in batches:
@@ -191,14 +194,14 @@ def sketch_documents(docs: DataFrame, settings: SketchSettings) -> DataFrame:
                         binary_array(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets),
                         binary_array(r.tobytes() for r in registers),
                         lists,
+                        *(batch.column(c).slice(a, b - a) for c in carried),
                     ],
-                    names=["doc_id", "n_shingles", "class", "registers", "keys"],
+                    names=["doc_id", "n_shingles", "class", "registers", "keys", *carried],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(
-        rows, work, "doc_id long, n_shingles long, class binary, registers binary, keys array<long>"
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    schema = "doc_id long, n_shingles long, class binary, registers binary, keys array<long>"
+    return arrow_map(rows, work, ", ".join([schema, *(f"{c} long" for c in carried)]))
 
 
 def candidate_groups(classes: DataFrame, settings: SketchSettings) -> DataFrame:
@@ -389,7 +392,18 @@ def near_duplicates(docs: DataFrame, settings: SketchSettings = SketchSettings()
     smallest non-null id that can be reached; a row without an id is kept only if its component
     has no id at all. Rows that repeat an id are separate rows with their own texts, kept alike.
     """
-    sketched = written(sketch_documents(docs, settings))
+    judged = labelled_documents(docs, settings)
+    return judged.select("doc_id", "n_shingles", "component_id").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+
+
+def labelled_documents(docs: DataFrame, settings: SketchSettings, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``component`` and the ``carried`` columns of each row.
+
+    ``component`` tells components apart that have no id, too; it is null for texts without shingles.
+    """
+    sketched = written(sketch_documents(docs, settings, carried))
     classes = written(
         sketched.filter("n_shingles > 0")
         .groupBy("class")
@@ -410,12 +424,11 @@ def near_duplicates(docs: DataFrame, settings: SketchSettings = SketchSettings()
     labelled = classes.select("class", "member", "node").join(labels, "node", "left")
     heads = labelled.filter("label is not null").groupBy("label").agg(F.min("member").alias("head"))
     joined = labelled.join(heads, "label", "left").select(
-        "class", F.coalesce("head", "member").alias("component_id")
+        "class", F.coalesce("head", "member").alias("component_id"), F.coalesce("label", "node").alias("component")
     )
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
-        sketched.select("doc_id", "n_shingles", "class")
+        sketched.select("doc_id", "n_shingles", "class", *carried)
         .join(joined, "class", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "n_shingles", own.alias("component_id"), "component", *carried)
     )

@@ -14,7 +14,7 @@ from cohortwise.llm.packing import pack_documents
 from cohortwise.llm.packing_query import settings as pack_settings
 from cohortwise.llm.pii import redact
 from cohortwise.llm.quality import POLICIES, ledger, verdict
-from cohortwise.llm.setsketch import near_duplicates
+from cohortwise.llm.setsketch import SketchSettings, labelled_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,17 +24,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id.
+    """One row of each group of near-duplicates, the one with the smallest id; rows without an id come last.
 
-    Rows without an id stay unless they are linked to a row with one. Of rows that repeat an id, one stays.
+    Rows are told apart by a written key, not by their id: of equal ids the row with the smallest hash of its
+    columns stays, then the smallest key. Every row that is in no group stays, whatever its id.
     """
-    judged = written(near_duplicates(docs.select("doc_id", "text")).select("doc_id", "kept"))
-    by_id = judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")).filter("doc_id is not null")
-    gone = small_side(written(by_id.filter("not kept").select(F.col("doc_id").alias("_gone"))))
-    left = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    if by_id.filter("rows > 1").limit(1).count():  # without repeated ids there is nothing to choose
-        left = left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
-    return left
+    hashed = F.xxhash64(*(docs[c] for c, kind in docs.dtypes if "map<" not in kind))
+    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), hashed.alias("hash"))
+    keyed = written(whole.withColumn("key", F.monotonically_increasing_id()))
+    texts = keyed.select("row.doc_id", "row.text", "hash", "key")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "hash", "key")
+    judged = written(
+        labelled_documents(texts, SketchSettings(), ("hash", "key")).filter("component is not null").select("component", order.alias("place"))
+    )
+    groups = judged.groupBy("component").agg(F.count("*").alias("rows"), F.min("place").alias("first")).filter("rows > 1")
+    groups = small_side(written(groups.select("component", "first")))
+    gone = judged.join(groups, "component").filter("place.key <> first.key").select(F.col("place.key").alias("_gone"))
+    gone = small_side(written(gone))
+    return keyed.join(gone, keyed["key"] == gone["_gone"], "left_anti").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

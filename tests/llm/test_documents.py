@@ -320,6 +320,31 @@ def test_pipeline_stages(spark, odd, empty):
     assert docs.count() > 0
 
 
+def test_near_dedup_decides_by_row(spark):
+    import corpus_pipeline
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [
+        (1, text("a")), (2, text("a")), (2, text("b")),  # 2 repeats: a copy and a text of its own
+        (3, text("c")), (3, text("d")),  # neither is a copy
+        (None, text("e")), (None, text("e")), (None, text("e") + " more"),  # a group without any id
+        (None, text("f")), (5, text("f")),  # linked to a row with an id
+        (None, text("g")),  # no copy
+        (6, ""), (6, ""), (None, None), (7, text("h")), (7, text("h")),
+    ]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, source long")
+    for parts in (1, 5):  # which rows stay does not depend on how they are dealt
+        out = corpus_pipeline.near_dedup(spark, docs.repartition(parts, "source"), "")
+        assert out.columns == docs.columns
+        kept = {r.source for r in out.collect()}
+        assert kept - {5, 6, 7, 14, 15} == {0, 2, 3, 4, 9, 10, 11, 12, 13}
+        assert len(kept & {5, 6, 7}) == 1 and len(kept & {14, 15}) == 1
+        assert parts == 1 or kept == before
+        before = kept
+
+
 def test_components_of_links_that_come_in_another_order_each_time(spark):
     """A lazy forest of a clique may be another one on each evaluation; the component may not."""
     import pyarrow as pa
