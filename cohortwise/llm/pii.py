@@ -336,22 +336,25 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by its kind in brackets.
 
-    The model is learned in a first pass over all rows. Of spans that overlap, the first counts. Texts
-    without spans, null ones included, stay as they are; so do all other columns.
+    The model is learned in a first pass over all rows. Spans that overlap are one range, from the least
+    start to the greatest end, of the kind that starts first (the longest of those). Texts without spans,
+    null ones included, stay as they are; so do all other columns.
     """
     own = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].cast("string").alias("text"))
     found = written(with_candidates(own.select("text")).select("_found").filter(F.size("_found") > 0))
     model = fit(found)
     rows = with_spans(with_candidates(own), model)
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    in_order = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    in_order = F.array_sort(
+        F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"), s["end"].alias("end")))
+    )
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, s: Column) -> Column:
         apart = s["start"] >= state["at"]
         part = F.concat(F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), F.element_at(names, s["kind"] + 1))
         return F.struct(
-            F.when(apart, s["end"]).otherwise(state["at"]).alias("at"),
+            F.greatest(state["at"], s["end"]).alias("at"),
             F.when(apart, F.concat(state["parts"], F.array(part))).otherwise(state["parts"]).alias("parts"),
         )
 

@@ -293,6 +293,20 @@ def test_redaction(odd, empty):
     assert redact(empty).count() == 0
 
 
+def test_redaction_replaces_overlapping_spans_whole(spark):
+    texts = ["x +4915112345678@example.com y", "x +1 555-123-4567joe@x.com y", "a@b.com, c@d.com"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r.spans for r in find_personal_data(docs).collect()}
+    out = {r.doc_id: r.text for r in redact(docs).collect()}
+    for i, text in enumerate(texts):
+        spans = [(int(a), int(b)) for _, a, b in (s.split(":") for s in found[i].split(","))]
+        assert len(spans) > 1
+        covered = {k for a, b in spans for k in range(a, b)}
+        left = "".join(c for k, c in enumerate(text) if k not in covered)
+        assert re.sub(r"\[[A-Z]+\]", "", out[i]) == left
+    assert out[0] == "x [EMAIL] y" and out[1] == "x [PHONE] y" and out[2] == "[EMAIL], [EMAIL]"
+
+
 def test_no_python_in_the_plan_of_personal_data(odd):
     plan = find_personal_data(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
