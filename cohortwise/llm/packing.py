@@ -151,31 +151,35 @@ def pack_documents(docs: DataFrame, settings: PackSettings) -> DataFrame:
 def sequences(docs: DataFrame, placed: DataFrame, settings: PackSettings) -> DataFrame:
     """``sequence_id``, ``ids`` (unsigned 32-bit, without padding) of the packed sequences.
 
-    The texts are tokenized again and their pieces shuffled to their sequences. Documents are found by
-    ``doc_id``, which must be unique here.
+    The texts are tokenized again and their pieces shuffled to their sequences. A piece is found by all that
+    ``placed`` says of it, its checksum included; rows of ``docs`` that agree in that, such as the copies of a mix,
+    hold the same ids, so each placed piece takes them once. Rows may repeat an id or have none.
     """
+    same = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     description = docs.sparkSession.sparkContext.broadcast(read_description(settings.tokenizer))
     cut, end, size = settings.cut, settings.end_id, settings.sequence
 
     def work(batches):
         encode_text = encoder(description.value, cut)
         for batch in batches:
-            keys, starts, parts = [], [], []
+            out = []
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.append(encode_text.ids(text), end).astype("<u4")
                 for s in range(0, len(ids), size):
-                    keys.append(key)
-                    starts.append(s)
-                    parts.append(ids[s : s + size].tobytes())
+                    part = ids[s : s + size]
+                    out.append((key, s, len(part), zlib.crc32(part), len(ids), part.tobytes()))
+            columns = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(parts, pa.binary())],
-                names=["doc_id", "start", "ids"],
+                [*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.binary())],
+                names=[*same, "ids"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = arrow_map(rows, work, "doc_id long, start long, ids binary")
+    parts = arrow_map(rows, work, ", ".join([*(f"{c} long" for c in same), "ids binary"]))
+    once = parts.groupBy(*(F.col(c).alias(f"_{c}") for c in same)).agg(F.min("ids").alias("ids"))
+    found = [placed[c].eqNullSafe(once[f"_{c}"]) for c in same]
     return (
-        placed.join(parts, ["doc_id", "start"])
+        placed.join(once, found)
         .groupBy("sequence_id")
         .agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
         .select(

@@ -139,6 +139,20 @@ def test_sequences_hold_their_pieces(spark):
         assert zlib.crc32(part.tobytes()) == r.ids_crc32
 
 
+def test_sequences_of_a_mix_hold_each_copy_once(spark):
+    rows = [(i % 12 if i % 7 else None, f"text {i} " * (i * 3 % 17)) for i in range(30)]
+    docs = spark.createDataFrame([r for k, r in enumerate(rows) for _ in range(1 + k % 3)], "doc_id long, text string")
+    settings = PackSettings(BYTE, sequence=32)
+    placed = pack_documents(docs, settings).collect()
+    table = spark.createDataFrame(placed)
+    ids = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in sequences(docs, table, settings).collect()}
+    lengths = {}
+    for r in placed:
+        lengths[r.sequence_id] = lengths.get(r.sequence_id, 0) + r.length
+        assert zlib.crc32(ids[r.sequence_id][r.offset : r.offset + r.length].tobytes()) == r.ids_crc32
+    assert {k: len(v) for k, v in ids.items()} == lengths
+
+
 def test_forgetting_parts_changes_nothing(monkeypatch):
     monkeypatch.setattr("cohortwise.llm.tokens.REMEMBERED", 3)
     text = "one two three four five one two\nthree, four. five six seven one\n"
