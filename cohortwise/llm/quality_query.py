@@ -5,17 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm.common import documents
-from cohortwise.llm.quality import BASE_MASK, POLICIES, ledger, verdict
+from cohortwise.llm.common import documents, written
+from cohortwise.llm.quality import BASE_MASK, POLICIES, ablations, ledger, verdict
+
+
+def stored_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger of ``documents``, written once; what follows from it reads bits only, no text."""
+    return written(ledger(documents(spark, folder)))
 
 
 def op2_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ledger(documents(spark, folder))
+    rows = stored_ledger(spark, folder)
     failed = F.col("fail_bits").bitwiseAND(F.lit(BASE_MASK).cast("long")) != 0
     return rows.withColumn("base_failed", failed).withColumn("kept", verdict(POLICIES["v2"]))
 
 
-QUERIES = {"op2_rule_ledger": op2_rule_ledger}
+def op2_rule_policies(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id``, ``fail_bits`` and the verdict of every policy version."""
+    verdicts = [verdict(policy).alias(f"kept_{version}") for version, policy in POLICIES.items()]
+    return stored_ledger(spark, folder).select("doc_id", "fail_bits", *verdicts)
+
+
+def op2_rule_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """``version`` and the ablation of each rule, for every policy version over the whole table."""
+    rows = stored_ledger(spark, folder)
+    found = None
+    for version, policy in POLICIES.items():
+        part = ablations(rows, policy).select(F.lit(version).alias("version"), "*")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+QUERIES = {
+    "op2_rule_ledger": op2_rule_ledger,
+    "op2_rule_policies": op2_rule_policies,
+    "op2_rule_ablations": op2_rule_ablations,
+}
 ORACLES = {
     "op2_rule_ledger": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),

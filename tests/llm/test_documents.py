@@ -67,6 +67,27 @@ def test_policies_and_ablations(spark):
     assert ablations(rows.limit(0), POLICIES["v2"]).count() == len(RULES)
 
 
+def test_registered_policies_and_ablations_cover_the_table(spark, odd, tmp_path):
+    from cohortwise.llm import registry
+
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    judged = registry.QUERIES["op2_rule_policies"](spark, str(tmp_path)).collect()
+    bits = [r.fail_bits for r in judged]
+    assert sorted(bits) == sorted(r.fail_bits for r in ledger(odd).collect())
+    expected = {}
+    for version, policy in POLICIES.items():
+        assert [r[f"kept_{version}"] for r in judged] == [b & policy.mask == 0 for b in bits]
+        for rule in RULES:
+            if policy.mask >> rule.bit & 1:
+                own, rest = 1 << rule.bit, policy.mask & ~(1 << rule.bit)
+                expected[version, rule.name] = (
+                    sum(b & own != 0 for b in bits), sum(b & policy.mask == own for b in bits), sum(b & rest == 0 for b in bits)
+                )
+    got = registry.QUERIES["op2_rule_ablations"](spark, str(tmp_path)).collect()
+    assert {(r.version, r.rule): (r.rejects, r.alone, r.kept_without) for r in got} == expected
+    assert len(got) == len(expected)
+
+
 # --- phrases
 
 
