@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortwise.llm import (
+    filter_audit_query,
     language_query,
     lm_query,
     mixing_query,
@@ -26,6 +27,7 @@ _MODULES = (
     mixing_query,
     pii_query,
     lm_query,
+    filter_audit_query,
 )
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
