@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortwise.llm import (
+    chat_query,
     filter_audit_query,
     language_query,
     lm_query,
@@ -12,6 +13,7 @@ from cohortwise.llm import (
     phrase_query,
     pii_query,
     quality_query,
+    stripes_query,
     token_files_query,
     toxicity_query,
 )
@@ -27,6 +29,8 @@ _MODULES = (
     mixing_query,
     pii_query,
     lm_query,
+    chat_query,
+    stripes_query,
     filter_audit_query,
 )
 
