@@ -120,4 +120,5 @@ def filter_audit(docs: DataFrame, labels: DataFrame, settings: AuditSettings = A
     none and has no label; rows that share their id and text are no copies of each other. Where several
     rows label an id, it is of good quality or toxic if any says so. An empty table has no parts.
     """
-    return order_audit(written(mask_counts(failure_masks(docs, settings), labels)))
+    masks = written(failure_masks(docs, settings))  # read twice: with and without ids
+    return order_audit(written(mask_counts(masks, labels)))
