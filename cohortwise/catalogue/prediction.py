@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ from cohortwise.functions.columns import sigmoid
 from cohortwise.operators import binning, boosting, explain, features, frames, metrics, splits
 from cohortwise.operators.boosting import BoostingParams
 from cohortwise.plans import experiments, training
-from cohortwise.session import scratch_folder
+from cohortwise.session import scratch_folder, shared_folder
 from cohortwise.sources import artefacts
 from cohortwise.sources.tables import RAW_SPEC, TRADE_SPEC, raw_trade_text, trade_cohort
 
@@ -70,29 +70,37 @@ def references(spark, folder):
     return rounded(found, "median", "q05", "q95", digits=4)
 
 
-_EVALUATIONS: dict = {}
+_RUN = "fits"
+
+
+def _registry(spark):
+    """Fits of the queries below, kept in the shared folder: whichever query runs first makes them."""
+    return experiments.FitRegistry(f"{shared_folder(spark)}/{_RUN}")
+
+
+def forget() -> None:
+    """Keep fits apart from those made so far, so that the next query trains anew."""
+    global _RUN
+    _RUN = f"fits-{uuid.uuid4().hex}"
 
 
 def trained(spark, folder):
-    """One training run per session and folder, shared by the queries on models."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _EVALUATIONS:
-        _EVALUATIONS[key] = training.evaluate(
-            _labelled(spark, folder), TRADE_SPEC, BoostingParams(), importance_repeats=REPEATS
-        )
-    return _EVALUATIONS[key]
+    """The evaluation of the model trained on four fifths; its tables are made when they are asked for."""
+    return training.evaluate(
+        _labelled(spark, folder), TRADE_SPEC, BoostingParams(), importance_repeats=REPEATS, fit=_registry(spark).fit
+    )
 
 
 def _bundle(spark, folder):
     found = trained(spark, folder)
-    return training.Bundle(found.model, metrics.DEFAULT_THRESHOLD, found.card, found.importance)
+    return training.Bundle(found.model, metrics.DEFAULT_THRESHOLD, found.card)
 
 
 def boosted_trees(spark, folder):
     """Quality of one uncalibrated tree model, fitted on four fifths, on the fifth held out."""
-    rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
-    trees = boosting.fit_tree(rows.filter("fold <> 0"), BoostingParams(), found)
-    held = boosting.with_margin(rows.filter("fold = 0"), trees, "margin")
+    table, _ = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
+    trees = _registry(spark).fit(table.where(F.col("fold") != 0), BoostingParams(), "fold-5-without-0")
+    held = boosting.with_margin(table.rows.filter("fold = 0"), trees, "margin")
     return metrics.evaluate(held.withColumn("p", sigmoid(F.col("margin"))), "outcome", "p")
 
 
@@ -217,22 +225,16 @@ def importance_frame(spark, folder):
 
 
 def cross_validation(spark, folder):
-    rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
-    return experiments.fold_scores(rows, found, BoostingParams())
-
-
-_SEARCHES: dict = {}
+    table, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
+    return experiments.fold_scores(table, found, BoostingParams(), fit=_registry(spark).fit)
 
 
 def _searched(spark, folder):
-    """One random search per session and folder: ranking, refitted best model, its folds, comparison."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _SEARCHES:
-        rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
-        _SEARCHES[key] = experiments.search(
-            rows, found, experiments.sample_parameters(experiments.CANDIDATES)
-        )
-    return _SEARCHES[key]
+    """The random search: ranking, refitted best model, its folds, comparison."""
+    table, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
+    return experiments.search(
+        table, found, experiments.sample_parameters(experiments.CANDIDATES), fit=_registry(spark).fit
+    )
 
 
 def search(spark, folder):
@@ -251,7 +253,7 @@ def stored_search(spark, folder):
     """The ranking of the stored search, with the number of trees of the stored model."""
     path = scratch_folder(spark)
     experiments.write_search(_searched(spark, folder), path)
-    trees = GBTClassificationModel.load(f"{path}/model").getNumTrees
+    trees = artefacts.read_table(spark, f"{path}/trees", ["tree"]).count() - 1  # the first one is a constant
     return spark.read.parquet(f"{path}/ranking").withColumn("best_trees", F.lit(trees))
 
 
@@ -265,24 +267,9 @@ def compared_scores(spark, folder):
     return rounded(found, *[c for c in found.columns if "fold" not in c])
 
 
-_OUT_OF_FOLD: dict = {}
-
-
 def _oof(spark, folder):
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _OUT_OF_FOLD:
-        rows, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
-        _OUT_OF_FOLD[key] = experiments.out_of_fold(
-            rows, found, TRADE_SPEC, BoostingParams()
-        ).persist()
-    return _OUT_OF_FOLD[key]
-
-
-def forget() -> None:
-    """Drop the shared training runs, so that the next query trains anew."""
-    _EVALUATIONS.clear()
-    _OUT_OF_FOLD.clear()
-    _SEARCHES.clear()
+    table, found = experiments.prepare(_labelled(spark, folder), TRADE_SPEC)
+    return experiments.out_of_fold(table, found, TRADE_SPEC, BoostingParams(), fit=_registry(spark).fit)
 
 
 def out_of_fold(spark, folder):
@@ -365,7 +352,7 @@ def stored_diagnostics(spark, folder):
     """Stored metrics must follow from the stored predictions."""
     path = scratch_folder(spark)
     training.save_evaluation(trained(spark, folder), path)
-    stored, rows = artefacts.read_diagnostics(spark, path)
+    stored, rows = training.read_diagnostics(spark, path)
     return metrics.artefact_consistency(stored, rows).select("metric", "consistent")
 
 

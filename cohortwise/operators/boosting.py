@@ -1,8 +1,7 @@
 """Boosted trees with sigmoid or isotonic calibration.
 
-Spark's boosted trees stand in for histogram boosting: learning rate, rounds and depth carry
-over; there is no L2 penalty or leaf limit. Missing numbers take the training median, missing
-and unseen levels an index of their own.
+Missing numbers take the training median, missing and unseen levels a code of their own; classes have
+balanced weights. See ``trees`` for how a fit is spread over tasks.
 """
 
 from __future__ import annotations
@@ -10,67 +9,61 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    GeneralizedLinearRegression,
-    IsotonicRegression,
-    IsotonicRegressionModel,
-)
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.functions.columns import col, sigmoid
-from cohortwise.session import shared_folder
+from cohortwise.functions.columns import col, hash_uniform, sigmoid
+from cohortwise.operators.isotonic import IsotonicCurve, isotonic_curve
+from cohortwise.operators.trees import TREE_SCHEMA, FeatureBins, TreeModel, all_gathered, boosted, feature_bins
+from cohortwise.session import scratch_folder
 from cohortwise.spec import CONTINUOUS, AnalysisError
 
 CALIBRATION_FOLDS = 3
 SEED = 42
-PARALLEL_FITS = 4
-FEATURES, LABEL, WEIGHT = "__features", "__label", "__weight"
+PARALLEL_FITS = 8
+TASK_ROWS = 500_000
+LABEL, WEIGHT = "__label", "__weight"
 PROBABILITY = "probability"
 
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """Fixed values of the default model; the last three are Spark's own knobs."""
+    """Fixed values of the default model; the last three bound the bins of a number, and the rows of a fit.
+
+    A fit takes all labelled rows up to ``fit_rows``, beyond that a sample of about as many, by hash of their keys.
+    """
 
     learning_rate: float = 0.14447746112718687
     max_iter: int = 154
-    max_depth: int = 5
+    max_depth: int | None = 5
+    max_leaf_nodes: int | None = 31
     min_rows_per_leaf: int = 20
-    subsampling: float = 1.0
-    max_bins: int = 32
+    l2: float = 0.45606998421703593
+    max_bins: int = 255
+    fit_rows: int = 4_000_000
 
     def with_(self, **changes) -> BoostingParams:
         return replace(self, **changes)
 
 
-def assemble(df: DataFrame, schema: dict[str, dict]) -> DataFrame:
-    """Add the feature vector; levels are indexed by their place in the schema."""
-    numeric = [f for f, s in schema.items() if s["kind"] == CONTINUOUS]
-    other = [f for f in schema if f not in numeric]
-    filled = df.select(
-        "*",
-        *[
-            F.coalesce(col(f).cast("double"), F.lit(float(schema[f]["reference_value"]))).alias(f"__n{i}")
-            for i, f in enumerate(numeric)
-        ],
-        *[col(f).cast("string").alias(f"__c{i}") for i, f in enumerate(other)],
-    )
-    inputs = [f"__n{i}" for i in range(len(numeric))]
-    drop = [*inputs, *[f"__c{i}" for i in range(len(other))]]
-    if other:
-        indexed = [f"__i{i}" for i in range(len(other))]
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [schema[f]["levels"] for f in other],
-            inputCols=[f"__c{i}" for i in range(len(other))],
-            outputCols=indexed,
-            handleInvalid="keep",
-        )
-        filled, inputs, drop = indexer.transform(filled), inputs + indexed, drop + indexed
-    return VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(filled).drop(*drop)
+@dataclass(frozen=True)
+class FitTable:
+    """Labelled rows in the shared folder that fits read, with their bins.
+
+    ``tasks`` follows from the number of rows, not from the cores, so a small table is one task.
+    """
+
+    rows: DataFrame
+    bins: FeatureBins
+    tasks: int
+    fingerprint: str
+
+    def where(self, condition: Column) -> FitTable:
+        return replace(self, rows=self.rows.filter(condition))
 
 
 def add_training_columns(df: DataFrame, target: str) -> DataFrame:
@@ -84,28 +77,85 @@ def add_training_columns(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn(LABEL, y.cast("double")).withColumn(WEIGHT, weight)
 
 
-def classifier(params: BoostingParams, schema: dict[str, dict]) -> GBTClassifier:
-    levels = [len(s["levels"]) + 1 for s in schema.values() if s["kind"] != CONTINUOUS]
-    return GBTClassifier(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        maxIter=params.max_iter,
-        maxDepth=params.max_depth,
-        stepSize=params.learning_rate,
-        minInstancesPerNode=params.min_rows_per_leaf,
-        subsamplingRate=params.subsampling,
-        maxBins=max(params.max_bins, *levels) if levels else params.max_bins,
-        seed=SEED,
-    )
+def feature_columns(schema: dict[str, dict]) -> list[Column]:
+    """The features as the bins take them: numbers as doubles, levels as text."""
+    return [
+        col(f).cast("double" if s["kind"] == CONTINUOUS else "string").alias(f) for f, s in schema.items()
+    ]
+
+
+def fit_table(
+    df: DataFrame, schema: dict[str, dict], target: str, key: str, keep: tuple[str, ...] = (),
+    params: BoostingParams = BoostingParams(),
+) -> FitTable:
+    """Write what fits need of ``df``: key, target, features, label, weight and the columns of ``keep``."""
+    rows = add_training_columns(df, target)
+    n = df.count()
+    if n > params.fit_rows:
+        rows, n = rows.filter(hash_uniform(col(key).cast("string"), "fit") < params.fit_rows / n), params.fit_rows
+    kept = [c for c in dict.fromkeys((key, target, *keep)) if c not in schema]
+    rows = rows.select(*[col(c) for c in kept], *feature_columns(schema), LABEL, WEIGHT)
+    tasks, path = -(-n // TASK_ROWS), scratch_folder(df.sparkSession)
+    # an order of their own makes the sums of a fit the same in every run
+    rows.repartition(tasks, col(key)).sortWithinPartitions(col(key)).write.parquet(path)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(path)
+    total = rows.agg(F.count("*"), F.sum(F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(1 << 40)))).first()
+    return FitTable(rows, feature_bins(rows, schema, params.max_bins), tasks, f"{total[0]}-{total[1]}")
+
+
+def fit_tree(table: FitTable, params: BoostingParams) -> TreeModel:
+    """One additive model of all rows of the table."""
+    bins, tasks = table.bins, table.tasks
+    sent = [*[col(f) for f in bins.names], LABEL, WEIGHT]
+
+    def grow(batches):
+        codes, labels, weights = [np.zeros((0, len(bins.names)), np.int32)], [np.zeros(0)], [np.zeros(0)]
+        for batch in batches:
+            codes.append(bins.codes(batch.columns[:-2]))
+            labels.append(batch.column(LABEL).to_numpy())
+            weights.append(batch.column(WEIGHT).to_numpy())
+        parts = [np.concatenate(c) for c in (codes, labels, weights)]
+        if tasks == 1:
+            grown, first = boosted(*parts, bins, params), True
+        else:
+            from pyspark import BarrierTaskContext
+
+            grown = boosted(*parts, bins, params, all_gathered)
+            first = BarrierTaskContext.get().partitionId() == 0  # all tasks have grown the same trees
+        columns = list(zip(*TreeModel(bins, grown).rows())) if first else [[]] * 6
+        kinds = (pa.int32(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.float64()), pa.list_(pa.binary()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([[bytes(x) for x in v] for v in c] if k == kinds[-1] else list(c), k) for c, k in zip(columns, kinds)],
+            names=["tree", "features", "left", "right", "values", "goes_left"],
+        )
+
+    grown = table.rows.select(*sent).coalesce(tasks).mapInArrow(grow, TREE_SCHEMA, barrier=tasks > 1).collect()
+    if not grown:
+        raise AnalysisError("there are no rows to fit")
+    return TreeModel.from_rows(bins, grown)
+
 
+def margins_of(models: list[TreeModel], schema_kinds: list[Column], spark) -> Column:
+    """The log-odds of several models over the same features, as an array column."""
+    sent = spark.sparkContext.broadcast(models)
 
-def with_margin(df: DataFrame, model: GBTClassificationModel, out: str) -> DataFrame:
+    @F.arrow_udf("array<double>")
+    def margins(record: pa.Array) -> pa.Array:
+        columns = record.flatten()
+        found = np.stack([m.margins(columns) for m in sent.value], axis=1) if len(record) else np.zeros((0, 1))
+        ends = np.arange(len(record) + 1, dtype=np.int32) * len(sent.value)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()))
+
+    return margins(F.struct(*schema_kinds))
+
+
+def typed_features(bins: FeatureBins) -> list[Column]:
+    return [col(f).cast("double" if f in bins.edges else "string").alias(f"f{i}") for i, f in enumerate(bins.names)]
+
+
+def with_margin(df: DataFrame, model: TreeModel, out: str) -> DataFrame:
     """Add the additive score of the trees as log-odds."""
-    named = model.copy()
-    named.setRawPredictionCol(f"__raw_{out}").setProbabilityCol("").setPredictionCol("")
-    scored = named.transform(df)
-    return scored.withColumn(out, 2.0 * vector_to_array(f"__raw_{out}")[1]).drop(f"__raw_{out}")
+    return df.withColumn(out, margins_of([model], typed_features(model.bins), df.sparkSession)[0])
 
 
 @dataclass
@@ -119,12 +169,10 @@ class SigmoidCalibration:
 
 @dataclass
 class IsotonicCalibration:
-    model: IsotonicRegressionModel
+    curve: IsotonicCurve
 
     def apply(self, df: DataFrame, margin: str, out: str) -> DataFrame:
-        named = self.model.copy()
-        named.setFeaturesCol(margin).setPredictionCol(out)
-        return named.transform(df)
+        return df.withColumn(out, self.curve.values_at(F.col(margin), df.sparkSession))
 
 
 def fit_sigmoid(scored: DataFrame, margin: str, label: str) -> SigmoidCalibration:
@@ -141,10 +189,7 @@ def fit_sigmoid(scored: DataFrame, margin: str, label: str) -> SigmoidCalibratio
 
 
 def fit_isotonic(scored: DataFrame, margin: str, label: str) -> IsotonicCalibration:
-    model = IsotonicRegression(featuresCol=margin, labelCol=label, predictionCol="__isotonic").fit(
-        scored.select(margin, label)
-    )
-    return IsotonicCalibration(model)
+    return IsotonicCalibration(isotonic_curve(scored, margin, label))
 
 
 @dataclass
@@ -152,49 +197,49 @@ class CalibratedModel:
     """Several tree models, each with its own calibration; probabilities are averaged."""
 
     schema: dict[str, dict]
-    trees: list[GBTClassificationModel]
+    trees: list[TreeModel]
     calibrations: list
 
     def score(self, df: DataFrame, out: str = PROBABILITY) -> DataFrame:
         """Add the probability, row by row; also works on a streaming DataFrame."""
-        ready, parts = assemble(df, self.schema), []
-        for i, (model, calibration) in enumerate(zip(self.trees, self.calibrations, strict=True)):
-            ready = with_margin(ready, model, f"__margin{i}")
+        ready = df.withColumn("__margins", margins_of(self.trees, typed_features(self.trees[0].bins), df.sparkSession))
+        parts = []
+        for i, calibration in enumerate(self.calibrations):
+            ready = ready.withColumn(f"__margin{i}", F.col("__margins")[i])
             ready = calibration.apply(ready, f"__margin{i}", f"__p{i}")
             parts.append(f"__p{i}")
         mean = sum(F.col(p) for p in parts) / len(parts)
-        return ready.withColumn(out, mean).drop(
-            FEATURES, *parts, *[f"__margin{i}" for i in range(len(parts))]
-        )
-
-
-def fit_tree(rows: DataFrame, params: BoostingParams, schema: dict) -> GBTClassificationModel:
-    use_checkpoints(rows.sparkSession)
-    return classifier(params, schema).fit(rows)
+        return ready.withColumn(out, mean).drop("__margins", *parts, *[f"__margin{i}" for i in range(len(parts))])
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Without a checkpoint folder the rounds of a fit would build one long lineage."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def in_parallel(work, items: list) -> list:
+    """Fits are independent jobs; as many at a time as the scheduler can use."""
+    if not items:
+        return []
+    with ThreadPool(min(len(items), PARALLEL_FITS)) as pool:
+        return pool.map(work, items, chunksize=1)
 
 
 def fit_calibrated(
-    rows: DataFrame, schema: dict[str, dict], params: BoostingParams, fold: str,
-    folds: int = CALIBRATION_FOLDS,
+    table: FitTable, schema: dict[str, dict], params: BoostingParams, fold: str,
+    folds: int = CALIBRATION_FOLDS, fit=None,
 ) -> CalibratedModel:
     """One tree model per fold, trained on the other folds and calibrated on the fold itself.
 
-    ``rows`` carry features, label, weight and fold number and should be persisted.
+    ``fit`` takes a table, parameters and a name; the default fits, a registry looks the name up first.
     """
-
-    def fit(k: int):
-        trees = fit_tree(rows.filter(F.col(fold) != k), params, schema)
-        held = with_margin(rows.filter(F.col(fold) == k), trees, "__margin")
-        return trees, fit_sigmoid(held, "__margin", LABEL)
-
-    with ThreadPool(min(folds, PARALLEL_FITS)) as pool:
-        fitted = pool.map(fit, range(folds))
+    fit = fit or (lambda part, p, name: fit_tree(part, p))
+
+    def one(k: int):
+        trees = fit(table.where(F.col(fold) != k), params, f"{fold}-{folds}-without-{k}")
+        held = with_margin(table.rows.filter(F.col(fold) == k), trees, "__margin").select("__margin", LABEL)
+        held = held.persist()
+        try:
+            return trees, fit_sigmoid(held, "__margin", LABEL)
+        finally:
+            held.unpersist()
+
+    fitted = in_parallel(one, list(range(folds)))
     return CalibratedModel(schema, [t for t, _ in fitted], [c for _, c in fitted])
 
 

@@ -6,7 +6,8 @@ import pytest
 
 from cohortwise.catalogue import prediction
 from cohortwise.operators import explain
-from cohortwise.operators.boosting import BoostingParams
+from cohortwise.operators.boosting import BoostingParams, FitTable
+from cohortwise.operators.trees import FeatureBins
 from cohortwise.plans import experiments
 
 
@@ -19,6 +20,7 @@ def calls(spark, monkeypatch):
     """What the queries pass on, defaults included; nothing is fitted."""
     found = {}
     rows = spark.createDataFrame([(i, i % 5) for i in range(10)], "row_id int, fold int")
+    table = FitTable(rows, FeatureBins((), {}, {}, {}), 1, "")
 
     def record(module, name, answer=None):
         signature = inspect.signature(getattr(module, name))
@@ -34,7 +36,7 @@ def calls(spark, monkeypatch):
         monkeypatch.setattr(module, name, stub)
 
     monkeypatch.setattr(prediction, "_labelled", lambda spark, folder: rows)
-    record(experiments, "prepare", (rows, {}))
+    record(experiments, "prepare", (table, {}))
     for module, name in (
         (prediction.training, "evaluate"), (prediction.boosting, "fit_tree"), (experiments, "fold_scores"),
         (experiments, "search"), (experiments, "random_search"), (experiments, "out_of_fold"),
@@ -53,7 +55,7 @@ def run(spark, name):
 def test_tree_model_learns_from_four_fifths(spark, calls):
     run(spark, "p5_boosted_trees")
     assert calls["fit_tree"]["params"] == BoostingParams()
-    assert {r.fold for r in calls["fit_tree"]["rows"].collect()} == {1, 2, 3, 4}
+    assert {r.fold for r in calls["fit_tree"]["table"].rows.collect()} == {1, 2, 3, 4}
 
 
 @pytest.mark.parametrize("name", ["p6_calibrated_model", "p8_predictions", "p11_model_importance", "p12_model_card", "s7_bundle_round_trip"])

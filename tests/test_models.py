@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from cohortwise.operators import boosting, explain, fairness, frames, metrics
 from cohortwise.operators.boosting import BoostingParams
 from cohortwise.plans import experiments, training
-from cohortwise.sources import artefacts
 from cohortwise.spec import AnalysisError, CohortSpec
 from cohortwise.streaming.scoring import score_stream
 
@@ -115,7 +114,7 @@ def test_stored_model_scores_the_same_and_streams(spark, people, evaluation, tmp
     after = {r.id: r for r in training.predict(records, bundle, "id").collect()}
     assert all(abs(before[k] - after[k].probability) < 1e-12 for k in before)
     assert all(r.predicted_class == int(r.probability >= 0.5) for r in after.values())
-    metrics.require_consistency(*artefacts.read_diagnostics(spark, folder))
+    metrics.require_consistency(*training.read_diagnostics(spark, folder))
     with pytest.raises(AnalysisError):
         training.predict(records.drop("age"), bundle, "id")
     with pytest.raises(AnalysisError):
@@ -203,10 +202,8 @@ def test_explanations_keep_repeated_records_and_shuffle_nothing(spark):
 
 
 def test_search_refits_and_compares_the_best(spark, people, tmp_path):
-    from pyspark.ml.classification import GBTClassificationModel
-
     rows, schema = experiments.prepare(people, SPEC, 3)
-    tried = [BoostingParams(max_iter=1, max_depth=1, max_bins=16), BoostingParams(max_iter=4, max_depth=3, subsampling=0.9)]
+    tried = [BoostingParams(max_iter=1, max_depth=1, l2=1.0), BoostingParams(max_iter=4, max_depth=None, max_leaf_nodes=7)]
     found = experiments.search(rows, schema, tried, QUICK, 3)
     ranking = {r["rank"]: r for r in found.ranking.collect()}
     assert tried[ranking[1].candidate] == found.best and ranking[1].mean_score >= ranking[2].mean_score
@@ -214,6 +211,9 @@ def test_search_refits_and_compares_the_best(spark, people, tmp_path):
     compared = found.comparison.first()
     assert compared.folds == 3 and abs(compared.candidate_mean - np.mean(folds)) < 1e-12
     experiments.write_search(found, str(tmp_path / "search"))
-    again = GBTClassificationModel.load(str(tmp_path / "search" / "model"))
-    assert again.getNumTrees == found.best.max_iter
+    stored = [spark.read.parquet(str(tmp_path / "search" / part)) for part in ("trees", "bins")]
+    (again,) = training.models_from_frames(*stored)
+    assert len(again.trees) == found.best.max_iter + 1
+    margins = [r.m for r in boosting.with_margin(rows.rows, found.model, "m").orderBy("id").collect()]
+    assert margins == [r.m for r in boosting.with_margin(rows.rows, again, "m").orderBy("id").collect()]
     assert spark.read.parquet(str(tmp_path / "search" / "ranking")).count() == 2
