@@ -11,7 +11,8 @@ entry that a prefix has in its own, shorter stripe is its total, and the largest
 stripes shifted by one word, is the most frequent longer phrase around a phrase.
 
 A prefix that makes up more than a thousandth of all words (there are at most ``HOT`` of them) has its stripe cut by
-hash of the next word, so no prefix, however frequent, is merged in one task.
+hash of the next word, so no prefix, however frequent, is merged in one task. Slices follow the shuffle partitions;
+a slice is merged by itself and compacted as it grows.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ PIECE = np.zeros(256, bool)
 PIECE[[*b".,;:!?", 10, 11, 12, 13]] = True
 BREAK = PIECE.copy()
 BREAK[[32, 9]] = True
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 HOT = 1024
-PARTS = 64
+SLICES = 4
 BITS_PER_KEY = 32
 MOST_BITS = 30
 REGION_BITS = 20
@@ -197,9 +198,15 @@ def key_filter(keys: DataFrame, most_bits: int = MOST_BITS) -> KeyFilter:
 
 
 def stripes(texts: DataFrame, length: int, frequent: KeyFilter, hot: list[int], least: int) -> DataFrame:
-    """``prefix part entries`` (``next key n``) of the phrases of ``length`` words with ``least`` occurrences."""
+    """``prefix entries`` (``next key n``) of the phrases of ``length`` words with ``least`` occurrences.
+
+    A task sends one row for each slice of the prefixes, as it would send one block to each task of a shuffle.
+    A stripe of a hot prefix is dealt to all slices by its next words, and stays in parts.
+    """
     spark = texts.sparkSession
+    slices = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     filter_, hot_keys = spark.sparkContext.broadcast(frequent), np.array(sorted(hot), np.int64).view(np.uint64)
+    packed = ("prefix", "size", "next", "n")
 
     def count(batches):
         held, size, groups = [], 0, 0
@@ -219,23 +226,20 @@ def stripes(texts: DataFrame, length: int, frequent: KeyFilter, hot: list[int],
             prefix, following = gram[at], keys[at + length - 1]
             _, counts, first = _summed(mix(prefix * BASE + following), np.ones(len(at), np.int64))
             prefix, following = prefix[first], following[first]
-            part = np.where(np.isin(prefix, hot_keys), following >> np.uint64(58), np.uint64(0)).astype(np.int32)
-            order = np.lexsort((part, prefix))
-            prefix, part = prefix[order], part[order]
-            following, counts = following[order], counts[order].astype(np.uint32)
-            edges = run_starts(prefix, part)
-            for a in range(0, len(edges) - 1, 50_000):
-                cut = edges[a : a + 50_001]
-                packed = [
-                    pa.Array.from_buffers(
-                        pa.binary(), len(cut) - 1,
-                        [None, pa.py_buffer(((cut - cut[0]) * values.itemsize).astype(np.int32)), pa.py_buffer(values[cut[0] : cut[-1]].copy())],
-                    )
-                    for values in (following, counts)
-                ]
+            dealt = np.where(np.isin(prefix, hot_keys), following, prefix)
+            slice_ = ((dealt >> np.uint64(40)) % np.uint64(slices)).astype(np.int32)
+            order = np.lexsort((following, prefix, slice_))
+            slice_, prefix, following, counts = slice_[order], prefix[order], following[order], counts[order].astype(np.uint32)
+            heads = run_starts(slice_, prefix)
+            sizes, prefix, owner = np.diff(heads).astype(np.uint32), prefix[heads[:-1]], slice_[heads[:-1]]
+            edges = run_starts(owner)
+            for i in range(len(edges) - 1):
+                a, b = edges[i], edges[i + 1]
+                c, d = heads[a], heads[b]
+                columns = (prefix[a:b], sizes[a:b], following[c:d], counts[c:d])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefix[cut[:-1]].view(np.int64)), pa.array(part[cut[:-1]]), *packed],
-                    names=["prefix", "part", "next", "n"],
+                    [pa.array([owner[a]], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in columns)],
+                    names=["slice", *packed],
                 )
 
         for part, edges, salts, _, goes_on in _texts(batches):
@@ -252,58 +256,50 @@ def stripes(texts: DataFrame, length: int, frequent: KeyFilter, hot: list[int],
             yield from rows()
 
     def merge(batches):
-        names = ("prefix", "part", "next", "n")
-        held = [np.zeros(0, k) for k in (np.int64, np.int32, np.uint64, np.int64)]
-
-        def summed(done: bool):
-            """Sum equal entries; hand out whole stripes, keep the last one unless all are done."""
-            prefix, part, following, n = held
-            order = np.lexsort((following, part, prefix))
-            prefix, part, following, n = prefix[order], part[order], following[order], n[order]
-            edges = run_starts(prefix, part, following)
-            first = edges[:-1]
-            n = np.add.reduceat(n, first) if len(n) else n
-            prefix, part, following = prefix[first], part[first], following[first]
-            stop = len(prefix)
-            if not done and stop:
-                stop = int(np.flatnonzero((prefix == prefix[-1]) & (part == part[-1]))[0])
-            held[:] = prefix[stop:], part[stop:], following[stop:], n[stop:]
-            keep = np.flatnonzero(n[:stop] >= least)
-            return prefix[keep], part[keep], following[keep], n[keep]
-
-        def batch_of(found):
-            prefix, part, following, n = found
-            edges = run_starts(prefix, part)
-            key = mix(prefix.view(np.uint64) * BASE + following)
+        def summed(parts):
+            """The entries of several stripes, equal ones added."""
+            prefix, following, n = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((following, prefix))
+            prefix, following, n = prefix[order], following[order], n[order]
+            edges = run_starts(prefix, following)
+            return prefix[edges[:-1]], following[edges[:-1]], np.add.reduceat(n, edges[:-1])
+
+        def batch_of(parts):
+            prefix, following, n = summed(parts)
+            keep = np.flatnonzero(n >= least)
+            prefix, following, n = prefix[keep], following[keep], n[keep]
+            edges = run_starts(prefix)
+            key = mix(prefix * BASE + following)
             entries = pa.StructArray.from_arrays(
                 [pa.array(following.view(np.int64)), pa.array(key.view(np.int64)), pa.array(n)], names=["next", "key", "n"]
             )
             return pa.RecordBatch.from_arrays(
-                [pa.array(prefix[edges[:-1]]), pa.array(part[edges[:-1]]), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), entries)],
-                names=["prefix", "part", "entries"],
+                [pa.array(prefix[edges[:-1]].view(np.int64)), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), entries)],
+                names=["prefix", "entries"],
             )
 
+        held, size, now = [], 0, None
         for batch in batches:
-            columns = [batch.column(c) for c in names]
-            packed, edges = bytes_of(columns[2])
-            sizes = np.diff(edges) // 8
-            more = (
-                np.repeat(columns[0].to_numpy(), sizes), np.repeat(columns[1].to_numpy(), sizes),
-                packed.tobytes(), bytes_of(columns[3])[0].tobytes(),
-            )
-            more = (more[0], more[1], np.frombuffer(more[2], np.uint64), np.frombuffer(more[3], np.uint32).astype(np.int64))
-            held = [np.concatenate(pair) for pair in zip(held, more)]
-            if len(held[0]) > CHUNK // 2:
-                found = summed(False)
-                if len(found[0]):
-                    yield batch_of(found)
-        found = summed(True)
-        if len(found[0]):
-            yield batch_of(found)
-
-    sent = arrow_map(texts, count, "prefix long, part int, next binary, n binary")
-    dealt = sent.repartition("prefix", "part").sortWithinPartitions("prefix", "part")
-    return arrow_map(dealt, merge, "prefix long, part int, entries array<struct<next: long, key: long, n: long>>")
+            columns = [batch.column(c) for c in packed]
+            for i, slice_ in enumerate(batch.column("slice").to_pylist()):
+                if slice_ != now and held:
+                    yield batch_of(held)
+                    held, size = [], 0
+                now = slice_
+                prefix, sizes, following, n = (
+                    np.frombuffer(c[i].as_buffer(), kind) for c, kind in zip(columns, ("<u8", "<u4", "<u8", "<u4"))
+                )
+                held.append((np.repeat(prefix, sizes), following.copy(), n.astype(np.int64)))
+                size += len(n)
+                if size > CHUNK // 2:
+                    held = [summed(held)]
+                    size = len(held[0][0]) // 2  # grows to twice what is left, so merging stays in proportion
+        if held:
+            yield batch_of(held)
+
+    sent = arrow_map(texts, count, "slice int, prefix binary, size binary, next binary, n binary")
+    dealt = sent.repartition("slice").sortWithinPartitions("slice")
+    return arrow_map(dealt, merge, "prefix long, entries array<struct<next: long, key: long, n: long>>")
 
 
 def _extended(found: DataFrame, shorter: DataFrame) -> DataFrame:
