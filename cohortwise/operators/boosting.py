@@ -115,6 +115,8 @@ def fit_tree(table: FitTable, params: BoostingParams) -> TreeModel:
             labels.append(batch.column(LABEL).to_numpy())
             weights.append(batch.column(WEIGHT).to_numpy())
         parts = [np.concatenate(c) for c in (codes, labels, weights)]
+        if tasks == 1 and not len(parts[0]):
+            return
         if tasks == 1:
             grown, first = boosted(*parts, bins, params), True
         else:
