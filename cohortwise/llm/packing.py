@@ -83,10 +83,11 @@ def document_pieces(docs: DataFrame, settings: PackSettings) -> DataFrame:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             out = []
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                found = encode_text.ids(text)
-                ids = np.empty(len(found) + 1, "<u4")
-                ids[:-1], ids[-1] = found, end
+            every, bounds = encode_text.encode_column(batch.column("text"))
+            bounds = bounds.tolist()
+            for key, a, b in zip(batch.column("doc_id").to_pylist(), bounds, bounds[1:]):
+                ids = np.empty(b - a + 1, "<u4")
+                ids[:-1], ids[-1] = every[a:b], end
                 for s in range(0, len(ids), size):
                     part = ids[s : s + size]
                     out.append((key, s, len(part), zlib.crc32(part), len(ids), row))

@@ -49,7 +49,6 @@ def tokenized(docs: DataFrame, settings: TokenFileSettings) -> DataFrame:
     def work(batches):
         encode_text = encoder(description.value, cut)
         last = np.array([end], encode_text.kind).tobytes()
-        width = encode_text.kind.itemsize
         shard = TaskContext.get().partitionId()
         block = offset = held = 0
         keys, counts, parts = [], [], []
@@ -69,11 +68,12 @@ def tokenized(docs: DataFrame, settings: TokenFileSettings) -> DataFrame:
             )
 
         for batch in batches:
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode_text.encode(text)
-                parts += (ids, last)
+            found, bounds = encode_text.encode_column(batch.column("text"))
+            bounds = bounds.tolist()
+            for key, a, b in zip(batch.column("doc_id").to_pylist(), bounds, bounds[1:]):
+                parts += (found[a:b].tobytes(), last)
                 keys.append(key)
-                counts.append(len(ids) // width + 1)
+                counts.append(b - a + 1)
                 held += counts[-1]
                 if held >= limit:
                     yield row()

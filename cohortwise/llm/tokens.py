@@ -23,12 +23,22 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-REMEMBERED = 200_000
+from cohortwise.llm.common import bytes_of
+
+REMEMBERED = 400_000
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = ".,;:!?"
 SPACE_RUN = re.compile("[\\s\u180e][ \n]")
 CUT = re.compile("(?<=[^\\s\u180e])(?=[ \n])")
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+# Bytes that begin white space beyond ASCII; texts with one are cut by the pattern.
+WIDE = np.zeros(256, bool)
+WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+WIDE_SPACE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 PROBES = ("the", "Of", "tokens,", "Été.", "señor", "größe!", "Über;", "x", "a,", "New", "I")
 
 
@@ -73,6 +83,7 @@ class PartEncoder:
         self.kind = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 65536 else np.uint32)
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.alphabet = _byte_alphabet()
+        self.space = self.alphabet[32]
         self.lower = '"Lowercase"' in json.dumps(json.loads(description).get("normalizer"))
         self.words = Memory(lambda part: self._part(part.decode()))
         self.bare = Memory(self._part)
@@ -86,7 +97,10 @@ class PartEncoder:
         return array(self.code, self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def _model(self, piece: str) -> bytes:
-        text = piece.encode().decode("latin-1").translate(self.alphabet)
+        if piece.isascii() and piece[1:].isalpha():  # letters stand for themselves
+            text = self.space + piece[1:] if piece[0] == " " else piece
+        else:
+            text = piece.encode().decode("latin-1").translate(self.alphabet)
         return array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _piece(self, part: str) -> bytes | None:
@@ -95,7 +109,7 @@ class PartEncoder:
         body = part[len(lead) :]
         mark = body[-1] if body and body[-1] in MARKS else ""
         body = body[:-1] if mark else body
-        if not LATIN.fullmatch(body) or (lead and self.cut == "words"):
+        if not (body.isascii() and body.isalpha()) and not LATIN.fullmatch(body) or (lead and self.cut == "words"):
             return None
         if self.lower:
             body = body.lower()
@@ -135,6 +149,55 @@ class PartEncoder:
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.kind)
 
+    def _word_parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The parts of all texts, and where each text's parts begin."""
+        if self.lower:
+            named = pc.match_substring(texts, "<|")  # names of special tokens keep their case
+            texts = pc.if_else(named, texts, pc.ascii_lower(texts))
+        parts = pc.ascii_split_whitespace(texts)
+        return parts.flatten().cast(pa.binary()), np.asarray(parts.offsets, np.int64) - parts.offsets[0].as_py()
+
+    def _spaced_parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        data, bounds = bytes_of(texts)
+        blank = BLANK[data]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = ((data[1:] == 32) | (data[1:] == 10)) & ~blank[:-1]
+        wide = np.flatnonzero(WIDE[data])
+        for i in np.unique(np.searchsorted(bounds, wide, "right") - 1).tolist():
+            text = data[bounds[i] : bounds[i + 1]].tobytes().decode()
+            if WIDE_SPACE.search(text):  # a space after wide white space is no place to cut
+                for m in WIDE_SPACE.finditer(text):
+                    if text[m.end() : m.end() + 1] in (" ", "\n"):
+                        cut[bounds[i] + len(text[: m.end()].encode())] = False
+        cut[bounds] = True
+        cut[-1] = False
+        starts = np.flatnonzero(cut)
+        edges = np.append(starts, len(data))
+        parts = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
+        )
+        return parts, np.searchsorted(edges[:-1], bounds, "left")
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column, and where each text begins; every distinct part is looked up once."""
+        texts = column.fill_null("") if column.null_count else column
+        if not len(texts):
+            return np.zeros(0, self.kind), np.zeros(1, np.int64)
+        parts, at = self._word_parts(texts) if self.cut == "words" else self._spaced_parts(texts)
+        coded = parts.dictionary_encode()
+        if self.cut == "words":
+            found = [self.words[p] if p else b"" for p in coded.dictionary.to_pylist()]
+        else:
+            found = [self.bare[p.decode()] for p in coded.dictionary.to_pylist()]
+        width = self.kind.itemsize
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
+        flat, starts = np.frombuffer(b"".join(found), self.kind), np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = flat[np.repeat(starts[which] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return ids, ends[at]
+
 
 _ENCODERS: dict[tuple[int, str], PartEncoder] = {}
 

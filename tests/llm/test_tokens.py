@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -35,6 +36,18 @@ def test_parts_give_the_ids_of_the_whole_text(text):
         assert own.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.one_of(st.none(), st.lists(st.one_of(ODD_PARTS, st.text(max_size=6)), max_size=10).map("".join)), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_a_column_has_the_ids_of_its_texts(texts):
+    texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
+    column = pa.array(["left out", *texts], pa.string()).slice(1)
+    for own, whole in ENCODERS.values():
+        ids, bounds = own.encode_column(column)
+        assert len(bounds) == len(texts) + 1 and bounds[-1] == len(ids)
+        for text, a, b in zip(texts, bounds, bounds[1:]):
+            assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 1000, 70_000, 300_001])
 def test_coded_ids_come_back(n):
     rng = np.random.default_rng(n)
