@@ -8,8 +8,9 @@ level ``x`` at which the sum of ``min(cap, weight * x)`` is the budget: with sou
 
 A source then takes all its documents ``floor(target / size)`` times, and one more time the documents
 that come first in a seeded order until what is left of the target is met as nearly as whole
-documents can. The cut of that order is found from totals of hash ranges, so only the range that
-holds the cut is ever ordered.
+documents can. Places in that order are numbers of 62 bits: a hash of the id, then one of the whole row and
+its place in the table, so rows that share an id, or are equal, have places of their own. The cut is found from
+totals of ranges of places, narrowed until few rows are left, and only those are ever ordered.
 """
 
 from __future__ import annotations
@@ -77,7 +78,8 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-FIRST = -(1 << 63)
+PLACES = 62
+FANOUT = 4096
 
 
 def _sized(docs: DataFrame, settings: MixSettings) -> DataFrame:
@@ -88,9 +90,10 @@ def _sized(docs: DataFrame, settings: MixSettings) -> DataFrame:
         F.col("source").cast("string").alias("source"),
         word_count().alias("size"),
         draw(number, settings.seed).alias("draw"),
-        F.coalesce(number, F.lit(FIRST)).alias("id"),
+        F.xxhash64("text", F.monotonically_increasing_id()).alias("tie"),
     )
-    return own.select("row", "source", "size", F.struct("draw", "id", "size").alias("key"))
+    low = PLACES - 32
+    return own.select("row", "source", "size", F.shiftleft("draw", low).bitwiseOR(F.shiftrightunsigned("tie", 64 - low)).alias("key"))
 
 
 def _hint(df: DataFrame) -> DataFrame:
@@ -99,15 +102,30 @@ def _hint(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _range_of() -> Column:
-    return F.shiftright(F.col("key")["draw"] * F.col("_ranges"), 32)
+def _narrowed(sizes: DataFrame, cuts: DataFrame) -> DataFrame:
+    """For each source the part of its range of places in which the running size passes the rest of its target."""
+    step = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("_high") - F.col("_low")) / F.lit(FANOUT)))
+    inside = sizes.join(_hint(cuts), sizes.source.eqNullSafe(cuts._of) & (sizes.key >= cuts._low) & (sizes.key < cuts._high))
+    inside = inside.withColumn("_step", step).withColumn("part", F.expr("(key - _low) div _step"))
+    totals = inside.groupBy("_of", "part").agg(
+        F.sum("size").alias("part_size"), F.count("*").alias("_rows"),
+        *(F.first(c).alias(c) for c in ("_rest", "_before", "_low", "_high", "_step")),
+    )
+    running = Window.partitionBy("_of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most FANOUT rows
+    totals = totals.withColumn("_before", F.col("_before") + F.coalesce(F.sum("part_size").over(running), F.lit(0)))
+    passing = totals.filter("_before <= _rest and _rest < _before + part_size")
+    low = F.col("_low") + F.col("part") * F.col("_step")
+    return written(
+        passing.select(
+            "_of", "_rest", "_before", "_rows", low.alias("_low"), F.least(low + F.col("_step"), F.col("_high")).alias("_high")
+        )
+    )
 
 
 def mixing_plan(sized: DataFrame, settings: MixSettings) -> DataFrame:
     """One row per source: its target, whole repetitions, and where the seeded order is cut.
 
-    A document has one more repetition if its hash range is below ``_cut``, or equal with a key up to
-    ``_limit``.
+    A document has one more repetition if its place is below ``_cut``.
     """
     sizes = written(sized.select("source", "size", "key"))
     sources = written(
@@ -115,26 +133,33 @@ def mixing_plan(sized: DataFrame, settings: MixSettings) -> DataFrame:
             F.col("source").alias("_of"),
             F.col("source_size").alias("_source_size"),
             F.col("target").alias("_target"),
-            ((F.col("rows") / settings.range_rows).cast("long") + 1).alias("_ranges"),
             F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("_whole"),
+            "rows",
         )
     ).withColumn("_rest", F.col("_target") - F.col("_whole") * F.col("_source_size"))
-    placed = sizes.join(_hint(sources), sizes.source.eqNullSafe(sources._of)).withColumn("range", _range_of())
-    totals = placed.groupBy("_of", "range").agg(F.sum("size").alias("range_size"), F.first("_rest").alias("_rest"))
-    running = Window.partitionBy("_of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("before", F.coalesce(F.sum("range_size").over(running), F.lit(0)))
-    # the range in which the running size passes the rest of the target
-    passing = totals.filter("before <= _rest and _rest < before + range_size")
-    cut = written(
-        passing.groupBy(F.col("_of").alias("cut_of")).agg(F.max("range").alias("_cut"), F.max("before").alias("before"))
+    cuts = sources.select(
+        "_of", "_rest", F.lit(0).cast("long").alias("_before"), F.lit(0).cast("long").alias("_low"),
+        F.lit(1 << PLACES).cast("long").alias("_high"), F.col("rows").alias("_rows"),
+    )
+    while True:
+        cuts = _narrowed(sizes, cuts)
+        most = cuts.filter("_high - _low > 1").agg(F.max("_rows")).first()[0]
+        if most is None or most <= settings.range_rows:
+            break
+    inside = sizes.join(_hint(cuts), sizes.source.eqNullSafe(cuts._of) & (sizes.key >= cuts._low) & (sizes.key < cuts._high))
+    first = Window.partitionBy("_of").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy("_of", "key")
+    # rows at the same place, should two ever share one, are taken together
+    nearest = inside.withColumn("so_far", F.col("_before") + F.coalesce(F.sum("size").over(first), F.lit(0))).withColumn(
+        "together", F.sum("size").over(same)
+    )
+    kept = nearest.filter("2 * so_far + together <= 2 * _rest")
+    limits = kept.groupBy(F.col("_of").alias("limit_of")).agg((F.max("key") + 1).alias("_limit"))
+    whole = sources.join(cuts.select(F.col("_of").alias("cut_of"), "_low"), sources._of.eqNullSafe(F.col("cut_of")), "left")
+    whole = whole.join(limits, whole._of.eqNullSafe(limits.limit_of), "left")
+    return written(
+        whole.select("_of", "_source_size", "_target", "_whole", F.coalesce("_limit", "_low", F.lit(0).cast("long")).alias("_cut"))
     )
-    inside = placed.join(_hint(cut), placed._of.eqNullSafe(cut.cut_of) & (placed.range == cut._cut))
-    first = Window.partitionBy("_of").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = F.col("before") + F.coalesce(F.sum("size").over(first), F.lit(0))
-    nearest = inside.withColumn("so_far", so_far).filter("2 * so_far + size <= 2 * _rest")
-    limits = nearest.groupBy(F.col("_of").alias("limit_of")).agg(F.max("key").alias("_limit"))
-    whole = sources.join(cut, sources._of.eqNullSafe(cut.cut_of), "left")
-    return written(whole.join(limits, whole._of.eqNullSafe(limits.limit_of), "left").drop("cut_of", "limit_of", "before"))
 
 
 def repetitions(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
@@ -142,16 +167,14 @@ def repetitions(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataF
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns may have any name. A null text has
     size 0 and is taken like any other of its source; a null source is a source. A source without
-    words has target 0 and is not repeated. Rows that repeat an id are rows of their own; ties of the
-    seeded order go by id (none first) and size. An empty table gives an empty one.
+    words has target 0 and is not repeated. Rows that repeat an id, have none or are equal are rows of their own,
+    each with its own place in the order. ``docs`` is read twice and must give its rows in the same order, as files do.
+    An empty table gives an empty one.
     """
     sized = _sized(docs, settings)
     plan = mixing_plan(sized, settings)
-    rows = sized.join(_hint(plan), sized.source.eqNullSafe(plan._of)).withColumn("range", _range_of())
-    extra = F.when(F.col("range") < F.col("_cut"), 1).when(
-        (F.col("range") == F.col("_cut")) & (F.col("key") <= F.col("_limit")), 1
-    )
-    copies = F.col("_whole") + F.coalesce(extra, F.lit(0)).cast("long")
+    rows = sized.join(_hint(plan), sized.source.eqNullSafe(plan._of))
+    copies = F.col("_whole") + (F.col("key") < F.col("_cut")).cast("long")
     return rows.select(
         "row", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies")
     )

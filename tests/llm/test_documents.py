@@ -260,6 +260,16 @@ def test_targets_and_copies(spark):
         assert sorted((r.doc_id, r.copies) for r in got) == first  # the same mix however it is cut
 
 
+@pytest.mark.parametrize("ids", ["none", "one", "equal rows"])
+def test_repeated_ids_come_near_their_target(spark, ids):
+    rows = [({"none": None, "one": 5}.get(ids, 5), "w " * 10 + ("" if ids == "equal rows" else str(i)), "a") for i in range(1000)]
+    rows += [(i, "w " * 10, "b") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for size in (5000, 20):
+        got = repetitions(docs, MixSettings(range_rows=size)).groupBy("row.source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()
+        assert len(got) == 2 and all(abs(r.taken - r.target) <= 6 for r in got)
+
+
 def test_mixing_of_odd_tables(odd, empty):
     rows = repetitions(odd).select("row.doc_id", "size", "copies").collect()
     assert len(rows) == odd.count() and all(0 <= r.copies <= 4 for r in rows)
