@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortwise.functions.columns import col
 from cohortwise.operators.metrics import roc_auc
@@ -17,27 +20,86 @@ from cohortwise.operators.ordering import hash_order_positions
 from cohortwise.spec import CONTINUOUS, AnalysisError
 
 REPEATS = 10
+PARTNER_BLOCK = 1 << 16
+BATCH_ROWS = 10_000
+ROUNDS = 4
+KEY_STEP = 2654435761  # fixed value: an odd number near 2**32 over the golden ratio
 POINTS = 15
 PROBABILITY = "probability"
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def shuffled_partners(df: DataFrame, key: str, columns: list[str], repeats: int) -> DataFrame:
+def permuted(size: int, repeat: int) -> np.ndarray:
+    """A bijection of ``0 .. size - 1`` of its own for each repeat.
+
+    Four Feistel rounds over the halves of an even number of bits; places beyond ``size`` are sent on until they
+    fall below it. Integers stay below 2**63, so SQL can repeat it.
+    """
+    half = 1
+    while 1 << 2 * half < size:
+        half += 1
+    mask = (1 << half) - 1
+
+    def once(place: np.ndarray) -> np.ndarray:
+        left, right = place >> half, place & mask
+        for i in range(ROUNDS):
+            key = (repeat * ROUNDS + i + 1) * KEY_STEP % (1 << 32)
+            left, right = right, left ^ (((right * key + (key >> 3)) % (1 << 32) >> 11) & mask)
+        return left << half | right
+
+    place = once(np.arange(size, dtype=np.int64))
+    while (beyond := np.flatnonzero(place >= size)).size:
+        place[beyond] = once(place[beyond])
+    return place
+
+
+def shuffled_partners(df: DataFrame, key: str, columns: list[str], repeats: int, per_block: int = PARTNER_BLOCK) -> DataFrame:
     """Every row once per repeat, with the values of another row of a random permutation.
 
-    A row at place k of the repeat's hash order meets the row at place k of the base order, so
-    each repeat is a full permutation. Places are joined on equality, one match each.
+    Rows are put in the order of their hashed keys once, and dealt to blocks of that order, which are random parts
+    of the table; every repeat permutes the places of each block, so nothing is ordered or shuffled again.
     """
     text = col(key).cast("string")
-    base = hash_order_positions(df.withColumn("__h", F.md5(text)), "__h", "__place").select(
-        "__place", F.struct(*[col(c) for c in columns]).alias("__partner")
-    )
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    copies = df.withColumn("repeat", numbers).withColumn(
-        "__h", F.md5(F.concat(text, F.lit(":"), F.col("repeat").cast("string")))
+    placed = hash_order_positions(df.withColumn("__h", F.md5(text)), "__h", "__place")
+    n = df.count()
+    blocks = max(1, -(-n // per_block))
+    rows = placed.select(
+        F.expr(f"__place * {blocks}L div {max(n, 1)}L").alias("__block"), "__place",
+        F.struct(*[col(c) for c in df.columns]).alias("__row"), F.struct(*[col(c) for c in columns]).alias("__partner"),
     )
-    placed = hash_order_positions(copies, "__h", "__place", ["repeat"])
-    return placed.drop("__h").join(base, "__place").drop("__place")
+    schema = T.StructType([T.StructField("repeat", T.IntegerType()), *rows.schema.fields[2:]])
+
+    def work(batches):
+        def permutations(held):
+            table = pa.Table.from_batches(held).combine_chunks()
+            own, partner = (table.column(c).chunk(0) for c in ("__row", "__partner"))
+            for r in range(repeats):
+                places = permuted(len(own), r)
+                for a in range(0, len(own), BATCH_ROWS):
+                    at = slice(a, a + BATCH_ROWS)
+                    part = own[at]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(part), r, np.int32)), part, partner.take(pa.array(places[at]))],
+                        names=["repeat", "__row", "__partner"],
+                    )
+
+        held, now = [], None
+        for batch in batches:
+            numbers = batch.column("__block").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for a, b in zip(edges, edges[1:]):
+                if b == a:
+                    continue
+                if held and numbers[a] != now:
+                    yield from permutations(held)
+                    held = []
+                now = numbers[a]
+                held.append(batch.slice(a, b - a).select(["__row", "__partner"]))
+        if held:
+            yield from permutations(held)
+
+    dealt = rows.repartition("__block").sortWithinPartitions("__block", "__place")
+    return dealt.mapInArrow(work, schema).select("__row.*", "repeat", "__partner")
 
 
 def _with_one_replaced(

@@ -217,3 +217,27 @@ def test_search_refits_and_compares_the_best(spark, people, tmp_path):
     margins = [r.m for r in boosting.with_margin(rows.rows, found.model, "m").orderBy("id").collect()]
     assert margins == [r.m for r in boosting.with_margin(rows.rows, again, "m").orderBy("id").collect()]
     assert spark.read.parquet(str(tmp_path / "search" / "ranking")).count() == 2
+
+
+def test_permutations_are_bijections():
+    for size in (0, 1, 2, 3, 5, 16, 17, 1000, 4097):
+        found = [explain.permuted(size, r) for r in range(6)]
+        assert all(sorted(f.tolist()) == list(range(size)) for f in found)
+        if size >= 1000:
+            assert len({tuple(f[:50]) for f in found}) == 6
+            assert all((f == np.arange(size)).mean() < 0.01 for f in found)
+            assert all(abs(np.corrcoef(f, np.arange(size))[0, 1]) < 0.1 for f in found)
+
+
+def test_every_row_is_a_partner_once_in_each_repeat(spark):
+    rows = [(i, float(i), None if i % 7 == 0 else f"v{i}", "x") for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, a double, b string, __row string").repartition(3)
+    for per_block in (10_000, 60):
+        found = explain.shuffled_partners(df, "id", ["a", "b"], 4, per_block).collect()
+        assert len(found) == 2000
+        for r in range(4):
+            mine = [x for x in found if x["repeat"] == r]
+            assert sorted(x.id for x in mine) == list(range(500))
+            assert sorted(x["__partner"].a for x in mine) == [float(i) for i in range(500)]
+            assert all(x["__partner"].b == rows[int(x["__partner"].a)][2] and x.a == x.id for x in mine)
+    assert explain.shuffled_partners(df.limit(0), "id", ["a"], 2).count() == 0
