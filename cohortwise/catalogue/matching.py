@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from cohortwise.catalogue import sql
 from cohortwise.catalogue.unadjusted import rounded
 from cohortwise.functions.columns import hash_uniform, sigmoid
-from cohortwise.operators import balance, frames, matching, propensity
-from cohortwise.operators.ordering import hash_order_positions
+from cohortwise.operators import frames, matching, propensity
 from cohortwise.operators.unadjusted import encode_binary
 from cohortwise.plans import association
 from cohortwise.plans import matching as plans
@@ -17,6 +16,7 @@ from cohortwise.spec import AnalysisRequest
 
 COVARIATES = ("quantity", "return_flag", "segment")
 NEIGHBOURS = matching.CANDIDATES
+HOLED = ("quantity", "balance", "segment")
 
 
 def _coded(spark, folder, *columns):
@@ -43,15 +43,15 @@ def _holes(spark, folder):
 
 
 def prepared(spark, folder):
-    rows = propensity.prepare_covariates(_holes(spark, folder), ["quantity", "balance", "segment"], TRADE_SPEC)
+    rows = propensity.prepare_covariates(_holes(spark, folder), list(HOLED), TRADE_SPEC)
     return rows.groupBy("quantity", "balance", "segment").agg(F.count("*").alias("n"))
 
 
 def features(spark, folder):
     rows = propensity.prepare_covariates(
-        _holes(spark, folder), ["quantity", "balance", "segment"], TRADE_SPEC
+        _holes(spark, folder), list(HOLED), TRADE_SPEC
     ).persist()
-    plan = propensity.plan_features(rows, ["quantity", "balance", "segment"], TRADE_SPEC)
+    plan = propensity.plan_features(rows, list(HOLED), TRADE_SPEC)
     found = propensity.propensity_features(rows, plan, ["row_id"])
     return rounded(found, "quantity", "balance", digits=4)
 
@@ -127,72 +127,46 @@ def greedy_uniqueness(spark, folder):
     )
 
 
-def _ranked_pairs(spark, folder):
-    """Pairs made by rank of the hashed key: any SQL engine can build the same ones."""
-    rows = _coded(spark, folder, "quantity", "segment", "outcome").withColumn("h", F.md5("row_id"))
-    placed = hash_order_positions(rows, "h", "place", [plans.CODE]).drop("h")
-    record = F.struct(*[c for c in placed.columns if c != "place"])
-    a = placed.filter(F.col(plans.CODE) == 1).select("place", record.alias("comparison"))
-    b = placed.filter(F.col(plans.CODE) == 0).select("place", record.alias("reference"))
-    pairs = a.join(b, "place").withColumn(
-        "distance", F.abs(F.col("comparison.quantity") - F.col("reference.quantity"))
-    )
-    return matching.matched_table(pairs.drop("place"), "row_id")
+def _matched(spark, folder):
+    """The matching of the whole cohort on an exact score: support, caliper, pairs, tests, balance of columns with gaps."""
+    logit = _exact_score(spark, folder).select("row_id", F.col("logit").alias(propensity.LOGIT), F.col("logit").alias(propensity.SCORE))
+    rows = propensity.prepare_covariates(_holes(spark, folder), list(HOLED), TRADE_SPEC).join(logit, "row_id")
+    return plans.match_on_logit(rows, "outcome", list(HOLED), TRADE_SPEC, "row_id")
 
 
 def long_table(spark, folder):
-    return _ranked_pairs(spark, folder).select(
+    return _matched(spark, folder).matched.select(
         "source_index", "pair_id", "matched_role", "match_distance", "segment", "outcome"
     )
 
 
 def pivoted(spark, folder):
-    return matching.pair_outcomes(_ranked_pairs(spark, folder), "outcome")
+    return matching.pair_outcomes(_matched(spark, folder).matched, "outcome")
 
 
 def mcnemar(spark, folder):
-    found = matching.mcnemar(matching.pair_outcomes(_ranked_pairs(spark, folder), "outcome"))
-    return rounded(found, "mcnemar_p_value")
+    return rounded(_matched(spark, folder).mcnemar, "mcnemar_p_value")
 
 
 def matched_rates(spark, folder):
-    found = matching.matched_rates(_ranked_pairs(spark, folder), "outcome")
+    found = _matched(spark, folder).outcome_comparison
     return rounded(found, *found.columns)
 
 
 def report(spark, folder):
-    """The report over pairs by rank; group sizes before and inside a quantity range are counted."""
-    rows = _coded(spark, folder, "quantity")
-    inside = F.col("quantity").between(5, 45)
-    n = rows.agg(
-        F.count_if(F.col(plans.CODE) == 1).alias("comparison"), F.count_if(F.col(plans.CODE) == 0).alias("reference"),
-        F.count_if((F.col(plans.CODE) == 1) & inside).alias("comparison_in"),
-        F.count_if((F.col(plans.CODE) == 0) & inside).alias("reference_in"),
-    ).first()
-    before = {"comparison_n": n.comparison, "reference_n": n.reference}
-    kept = {"comparison_n": n.comparison_in, "reference_n": n.reference_in, "lower": 5.0, "upper": 45.0, "caliper": 0.5}
-    found = matching.matching_report(_ranked_pairs(spark, folder), before, kept)
-    return rounded(found, "comparison_retention_rate", "mean_match_distance")
-
-
-def _balance(spark, folder):
-    rows = propensity.prepare_covariates(
-        _holes(spark, folder), ["quantity", "balance", "segment"], TRADE_SPEC
-    ).persist()
-    kept = rows.filter(hash_uniform(F.col("row_id"), "m") < 0.5)
-    return balance.balance_table(rows, kept, plans.CODE, ["quantity", "balance", "segment"], TRADE_SPEC)
+    return rounded(_matched(spark, folder).report, "comparison_retention_rate", "mean_match_distance", "caliper")
 
 
 def balance_table(spark, folder):
-    return rounded(_balance(spark, folder), "smd_before", "smd_after")
+    return rounded(_matched(spark, folder).balance, "smd_before", "smd_after")
 
 
 def balance_verdict(spark, folder):
-    return rounded(balance.balance_verdict(_balance(spark, folder)), "max_smd_before", "max_smd_after")
+    return rounded(_matched(spark, folder).verdict, "max_smd_before", "max_smd_after")
 
 
 def love_plot(spark, folder):
-    found = frames.love_frame(_balance(spark, folder))
+    found = frames.love_frame(_matched(spark, folder).balance)
     return rounded(found, "smd_before", "smd_after", "max_smd")
 
 
@@ -251,27 +225,23 @@ holes AS (SELECT row_id, code, outcome, CASE WHEN substr(row_id, 1, 1) <> 'a' TH
   CASE WHEN substr(row_id, 1, 1) <> 'c' THEN segment END AS segment FROM coded)"""
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "__MISSING__")
 
-_PAIRS = _CODED + """,
-placed AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY md5(row_id)) AS place FROM coded),
-pairs AS (SELECT a.row_id AS pair_id, a.row_id AS a_id, b.row_id AS b_id, a.outcome AS comparison,
-  b.outcome AS reference, a.segment AS a_segment, b.segment AS b_segment,
-  abs(a.quantity - b.quantity) AS distance
-  FROM placed a JOIN placed b ON a.place = b.place AND a.code = 1 AND b.code = 0)"""
+# One step per comparison score, hardest first: it takes from the references left, nearest first.
+_SCORE = """(quantity - 25) * 0.0625::DOUBLE
+    + CASE return_flag WHEN 'A' THEN 0 WHEN 'N' THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END"""
 
 
-# One step per comparison score, hardest first: it takes from the references left, nearest first.
-_GREEDY = """,
-cells AS (SELECT (quantity - 25) * 0.0625::DOUBLE
-    + CASE return_flag WHEN 'A' THEN 0 WHEN 'N' THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END AS x,
-    sum(code)::BIGINT AS demand, sum(1 - code)::BIGINT AS supply FROM coded GROUP BY 1),
+def _greedy(source: str, radius: str) -> str:
+    """The matching of ``source`` (``x``, ``code``) within ``radius``."""
+    return f""",
+cells AS (SELECT x, sum(code)::BIGINT AS demand, sum(1 - code)::BIGINT AS supply FROM {source} GROUP BY 1),
 offered AS (SELECT list(x ORDER BY x) AS offers, list(supply ORDER BY x) AS room FROM cells WHERE supply > 0),
 choosers AS (SELECT x, demand, list_min(list_transform(offers, lambda o: abs(o - x))) AS hardness
   FROM cells, offered WHERE demand > 0),
-queued AS (SELECT x, demand, row_number() OVER (ORDER BY hardness DESC, x) AS k FROM choosers WHERE hardness <= 0.25),
+queued AS (SELECT x, demand, row_number() OVER (ORDER BY hardness DESC, x) AS k FROM choosers WHERE hardness <= {radius}),
 wishes AS (SELECT k, any_value(x) AS x, any_value(demand) AS demand, list(p ORDER BY d, p) AS prefs
   FROM (SELECT k, x, demand, unnest(range(1, len(offers) + 1)) AS p,
           unnest(list_transform(offers, lambda o: abs(o - x))) AS d FROM queued, offered)
-  WHERE d <= 0.25 GROUP BY k),
+  WHERE d <= {radius} GROUP BY k),
 walk(k, x, prefs, takes, remaining) AS (
   SELECT 0::BIGINT, NULL::DOUBLE, NULL::BIGINT[], NULL::BIGINT[], room FROM offered
   UNION ALL
@@ -283,6 +253,10 @@ walk(k, x, prefs, takes, remaining) AS (
     FROM walk w JOIN wishes v ON v.k = w.k + 1))"""
 
 
+
+_GREEDY = f""",
+scored AS (SELECT *, {_SCORE} AS x FROM coded)""" + _greedy("scored", "0.25")
+
 def _smd(name: str, value: str, source: str) -> str:
     return f"""SELECT '{name}' AS covariate, abs(avg({value}) FILTER (WHERE code = 1) - avg({value}) FILTER (WHERE code = 0))
       / sqrt((var_samp({value}) FILTER (WHERE code = 1) + var_samp({value}) FILTER (WHERE code = 0)) / 2) AS smd
@@ -298,10 +272,26 @@ def _smds(source: str) -> str:
     return " UNION ALL ".join(_smd(n, v, source) for n, v in parts)
 
 
-_BALANCE = _HOLES + f""",
-kept AS (SELECT * FROM holes WHERE {sql.uniform('m')} < 0.5),
+_PAIRS = _CODED + f""",
+scored AS (SELECT row_id, code, outcome, CASE WHEN substr(row_id, 1, 1) <> 'a' THEN quantity END AS quantity,
+  CASE WHEN substr(row_id, 1, 1) <> 'b' THEN balance END AS balance,
+  CASE WHEN substr(row_id, 1, 1) <> 'c' THEN segment END AS segment, {_SCORE} AS x FROM coded),
+bounds AS (SELECT max(low) AS low, min(high) AS high FROM (SELECT code, min(x) AS low, max(x) AS high FROM scored GROUP BY code)),
+inside AS (SELECT scored.* FROM scored, bounds WHERE x BETWEEN low AND high),
+spread AS (SELECT greatest(0.2 * stddev_samp(x), 1e-12) AS radius FROM scored)""" + _greedy("inside", "(SELECT radius FROM spread)") + """,
+flows AS (SELECT x, offers[p] AS reference, t AS units FROM (
+  SELECT w.x, offers, unnest(w.prefs) AS p, unnest(w.takes) AS t FROM walk w, offered WHERE w.k > 0) WHERE t > 0),
+started AS (SELECT *, coalesce(sum(units) OVER (PARTITION BY x ORDER BY reference ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x_start,
+  coalesce(sum(units) OVER (PARTITION BY reference ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reference_start FROM flows),
+placed AS (SELECT *, row_number() OVER (PARTITION BY x, code ORDER BY md5(row_id)) - 1 AS place FROM inside),
+pairs AS (SELECT a.row_id AS pair_id, a.row_id AS a_id, b.row_id AS b_id, a.outcome AS comparison, b.outcome AS reference,
+  a.segment AS a_segment, b.segment AS b_segment, abs(a.x - b.x) AS distance
+  FROM started s JOIN placed a ON a.code = 1 AND a.x = s.x AND a.place >= s.x_start AND a.place < s.x_start + s.units
+  JOIN placed b ON b.code = 0 AND b.x = s.reference AND b.place = s.reference_start + a.place - s.x_start),
+kept AS (SELECT scored.* FROM scored WHERE row_id IN (SELECT a_id FROM pairs UNION ALL SELECT b_id FROM pairs))"""
+_BALANCE = _PAIRS + f""",
 balance AS (SELECT covariate, b.smd AS smd_before, a.smd AS smd_after
-  FROM ({_smds('holes')}) b JOIN ({_smds('kept')}) a USING (covariate))"""
+  FROM ({_smds('scored')}) b JOIN ({_smds('kept')}) a USING (covariate))"""
 
 ORACLES = {
     "m1_binary_codes": sql.with_(sql.COHORT + _CODED)
@@ -366,14 +356,13 @@ ORACLES = {
     + """SELECT round(avg(reference), 6) AS reference_rate, round(avg(comparison), 6) AS comparison_rate,
       round(avg(comparison) - avg(reference), 6) AS matched_rate_difference FROM pairs""",
     "m14_matching_report": sql.with_(sql.COHORT + _PAIRS)
-    + """, sizes AS (SELECT sum(code)::BIGINT AS a, sum(1 - code)::BIGINT AS b,
-        sum(code) FILTER (WHERE quantity BETWEEN 5 AND 45)::BIGINT AS ai,
-        sum(1 - code) FILTER (WHERE quantity BETWEEN 5 AND 45)::BIGINT AS bi FROM coded)
+    + """, sizes AS (SELECT sum(code)::BIGINT AS a, sum(1 - code)::BIGINT AS b FROM scored),
+      within AS (SELECT sum(code)::BIGINT AS ai, sum(1 - code)::BIGINT AS bi FROM inside)
       SELECT count(*) AS matched_pairs, any_value(a) AS comparison_before_common_support,
       any_value(b) AS reference_before_common_support, any_value(ai) AS comparison_in_common_support,
       any_value(bi) AS reference_in_common_support, round(count(*) / any_value(a)::DOUBLE, 6) AS comparison_retention_rate,
-      5.0::DOUBLE AS common_support_lower, 45.0::DOUBLE AS common_support_upper, 0.5::DOUBLE AS caliper,
-      round(avg(distance), 6) AS mean_match_distance FROM pairs, sizes""",
+      any_value(low) AS common_support_lower, any_value(high) AS common_support_upper, round(any_value(radius), 6) AS caliper,
+      round(avg(distance), 6) AS mean_match_distance FROM pairs, sizes, within, bounds, spread""",
     "m15_balance_table": sql.with_(sql.COHORT + _BALANCE)
     + "SELECT covariate, round(smd_before, 6) AS smd_before, round(smd_after, 6) AS smd_after FROM balance",
     "m18_balance_verdict": sql.with_(sql.COHORT + _BALANCE)

@@ -47,7 +47,15 @@ def match_scored(
     per_block: int = matching.BLOCK_CELLS,
 ) -> MatchingResult:
     """Support, caliper, matching, tests and balance for rows that carry a propensity score."""
-    scored = propensity.add_logit(scored).persist()
+    return match_on_logit(propensity.add_logit(scored), outcome, covariates, spec, key, per_block)
+
+
+def match_on_logit(
+    scored: DataFrame, outcome: str, covariates, spec: CohortSpec, key: str,
+    per_block: int = matching.BLOCK_CELLS,
+) -> MatchingResult:
+    """As ``match_scored``, for rows that also carry the logit to match on."""
+    scored = scored.persist()
     before = propensity.support_bounds(scored, CODE).first().asDict()
     propensity.check_group_sizes({0: before["reference_n"], 1: before["comparison_n"]}, "")
     low, high = before["common_support_lower"], before["common_support_upper"]
