@@ -25,7 +25,7 @@ from cohortwise.spec import CONTINUOUS, AnalysisError
 CALIBRATION_FOLDS = 3
 SEED = 42
 PARALLEL_FITS = 8
-TASK_ROWS = 500_000
+TASK_ROWS = 1_000_000
 LABEL, WEIGHT = "__label", "__weight"
 PROBABILITY = "probability"
 

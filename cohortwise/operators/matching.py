@@ -17,7 +17,6 @@ No candidate list is built and no partner is cut off: a comparison stops at the
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -37,8 +36,8 @@ from cohortwise.session import cut_lineage
 from cohortwise.spec import AnalysisError
 
 BLOCK_CELLS = 50_000
+LEAST_CELLS = 1_000
 UNIT_CHUNK = 4096
-CHUNK = 128
 CANDIDATES = 500
 COMPARISON, REFERENCE = "comparison", "reference"
 
@@ -84,81 +83,48 @@ def nearest_supply(cells: DataFrame, block: str = "block") -> DataFrame:
     )
 
 
-class _Block:
-    """The references of one block and the proposals they currently keep."""
+class _Room:
+    """The references of one block in order of score, and how many units each still takes.
+
+    ``up[j]`` leads to the next reference from ``j`` on with room, ``down[j]`` to the last one before ``j``;
+    paths are shortened as they are walked, so a full stretch is passed over in a step or two.
+    """
 
     def __init__(self, scores: np.ndarray, capacity: np.ndarray):
-        self.scores, self.capacity = scores, capacity
-        self.kept: list[list] = [[] for _ in scores]  # heaps of (rank, x, units, lo, hi)
-        self.used = np.zeros(len(scores), dtype=np.int64)
-        chunks = max(1, -(-len(scores) // CHUNK))
-        # Weakest kept rank per reference, -1 while there is room; padded to whole chunks.
-        self.weakest = np.full(chunks * CHUNK, np.iinfo(np.int64).max, dtype=np.int64)
-        self.weakest[: len(scores)] = -1
-        self.low = self.weakest.reshape(chunks, CHUNK).min(axis=1)
-
-    def _refresh(self, j: int) -> None:
-        full = self.used[j] >= self.capacity[j]
-        self.weakest[j] = self.kept[j][0][0] if full else -1
-        c = j // CHUNK
-        self.low[c] = self.weakest[c * CHUNK : (c + 1) * CHUNK].min()
-
-    def _accepting(self, start: int, end: int, rank: int) -> np.ndarray:
-        return start + np.flatnonzero(self.weakest[start:end] < rank)
-
-    def last_below(self, lo: float, rank: int) -> int | None:
-        """The highest reference score up to ``lo`` that would accept ``rank``."""
-        end = int(np.searchsorted(self.scores, lo, side="right"))
-        c = end // CHUNK
-        hits = self._accepting(c * CHUNK, end, rank)
-        if not len(hits):
-            chunks = np.flatnonzero(self.low[:c] < rank)
-            if not len(chunks):
-                return None
-            c = int(chunks[-1])
-            hits = self._accepting(c * CHUNK, (c + 1) * CHUNK, rank)
-        return int(hits[-1])
-
-    def first_above(self, hi: float, rank: int) -> int | None:
-        """The lowest reference score from ``hi`` on that would accept ``rank``."""
-        start = int(np.searchsorted(self.scores, hi, side="left"))
-        c = start // CHUNK
-        hits = self._accepting(start, (c + 1) * CHUNK, rank)
-        if not len(hits):
-            chunks = np.flatnonzero(self.low[c + 1 :] < rank)
-            if not len(chunks):
-                return None
-            c = c + 1 + int(chunks[0])
-            hits = self._accepting(c * CHUNK, (c + 1) * CHUNK, rank)
-        return int(hits[0])
-
-    def restore(self, rank, x, units, lo, hi, reference) -> None:
-        j = int(np.searchsorted(self.scores, reference))
-        heapq.heappush(self.kept[j], (rank, x, units, lo, hi))
-        self.used[j] += units
-        self._refresh(j)
-
-    def propose(self, j, rank, x, units, lo, hi) -> list[tuple]:
-        """Offer units to reference ``j``; returns what is turned down, as proposals.
-
-        ``lo`` and ``hi`` are where the proposal goes on searching once ``j`` drops it.
-        """
-        heap, refused = self.kept[j], []
-        placed = min(units, int(self.capacity[j] - self.used[j]))
-        self.used[j] += placed
-        while placed < units and heap and heap[0][0] < rank:
-            other, ox, held, olo, ohi = heapq.heappop(heap)
-            moved = min(held, units - placed)
-            placed += moved
-            refused.append((other, ox, moved, olo, ohi))
-            if moved < held:
-                heapq.heappush(heap, (other, ox, held - moved, olo, ohi))
-        if placed:
-            heapq.heappush(heap, (rank, x, placed, lo, hi))
-        if placed < units:
-            refused.append((rank, x, units - placed, lo, hi))
-        self._refresh(j)
-        return refused
+        self.scores = scores
+        self.left = capacity.tolist()
+        self.up, self.down = list(range(len(scores) + 1)), list(range(len(scores) + 1))
+        for j in np.flatnonzero(capacity <= 0).tolist():
+            self._close(j)
+
+    def _close(self, j: int) -> None:
+        self.up[j] = j + 1
+        self.down[j + 1] = j
+
+    @staticmethod
+    def _follow(step: list[int], j: int) -> int:
+        while step[j] != j:
+            step[j] = step[step[j]]
+            j = step[j]
+        return j
+
+    def last_below(self, lo: float) -> int | None:
+        """The highest reference score up to ``lo`` with room."""
+        j = self._follow(self.down, int(np.searchsorted(self.scores, lo, side="right")))
+        return j - 1 if j else None
+
+    def first_above(self, hi: float) -> int | None:
+        """The lowest reference score from ``hi`` on with room."""
+        j = self._follow(self.up, int(np.searchsorted(self.scores, hi, side="left")))
+        return j if j < len(self.scores) else None
+
+    def take(self, j: int, units: int) -> int:
+        """Give up to ``units`` of reference ``j``; returns how many."""
+        taken = min(units, self.left[j])
+        self.left[j] -= taken
+        if not self.left[j]:
+            self._close(j)
+        return taken
 
 
 def _down(value: float) -> float:
@@ -172,85 +138,87 @@ def _up(value: float) -> float:
 def _settle(number: int, state: pd.DataFrame, supply: pd.DataFrame, radius, edges, closed):
     """One round of one block: settle proposals, pass on those that must look elsewhere.
 
-    References up to ``lo`` and from ``hi`` on have not yet turned the proposal down; the
-    nearer one is asked first, the lower one on ties. ``closed`` tells for blocks without room
-    the order of their weakest kept proposal, so that they can be passed over.
+    What is kept from earlier rounds is proposed again, from the kept reference on, together with what came in. In
+    the order of choosers each takes the nearest reference with room, so nothing given is taken back within a round.
+    References up to ``lo`` and from ``hi`` on have not yet turned the proposal down; the nearer one is asked first,
+    the lower one on ties. ``closed`` tells for blocks without room the order of their weakest kept proposal, so
+    that they can be passed over.
     """
     bounds = [-math.inf, *edges, math.inf]
-    low, high = bounds[number], bounds[number + 1]
     supply = supply.sort_values("score")
-    block = _Block(supply["score"].to_numpy(), supply["supply"].to_numpy())
-    choosers = state[["hardness", "x"]].drop_duplicates().sort_values(
-        ["hardness", "x"], ascending=[True, False]
-    )
-    ranks = {x: i for i, x in enumerate(choosers["x"])}
-    hardness = dict(zip(choosers["x"], choosers["hardness"], strict=True))
-    queue = []
-    for row in state.itertuples(index=False):
-        if row.kind == HOLD:
-            block.restore(ranks[row.x], row.x, row.units, row.lo, row.hi, row.reference)
-        else:
-            hi = _up(row.x) if math.isnan(row.hi) else row.hi
-            heapq.heappush(queue, (-ranks[row.x], row.x, row.units, row.lo, hi))
-
-    def passes_over(k: int, x: float) -> bool:
+    room = _Room(supply["score"].to_numpy(), supply["supply"].to_numpy())
+    held = (state["kind"] == HOLD).to_numpy()
+    x, lo, hi, reference = (state[c].to_numpy(dtype=float).copy() for c in ("x", "lo", "hi", "reference"))
+    hi = np.where(np.isnan(hi), np.nextafter(x, np.inf), hi)
+    below = held & (reference <= x)
+    lo, hi = np.where(below, reference, lo), np.where(held & ~below, reference, hi)
+    hardness = state["hardness"].to_numpy(dtype=float)
+    order = np.lexsort((np.minimum(x - lo, hi - x), x, -hardness))
+    queue = zip(*(c[order].tolist() for c in (x, hardness, state["units"].to_numpy(), lo, hi)))
+
+    def passes_over(k: int, chooser: float, rank: float) -> bool:
         if k not in closed:
             return False
-        h, ox = closed[k]
-        return (h, -ox) >= (hardness[x], -x)
+        h, other = closed[k]
+        return (h, -other) >= (rank, -chooser)
 
     def home(value: float) -> int:
         return int(np.searchsorted(edges, value, side="right"))
 
     out = []
-    while queue:
-        minus_rank, x, units, lo, hi = heapq.heappop(queue)
-        rank, left, right = -minus_rank, None, None
-        k = home(lo)
-        while lo > -math.inf:
-            if k == number:
-                left = block.last_below(lo, rank)
-                if left is not None:
-                    lo = float(block.scores[left])
+    for at, rank, units, low, high in queue:
+        while units:
+            left = right = None
+            k = home(low)
+            while low > -math.inf:
+                if k == number:
+                    left = room.last_below(low)
+                    if left is not None:
+                        low = float(room.scores[left])
+                        break
+                elif not passes_over(k, at, rank):
                     break
-            elif not passes_over(k, x):
-                break
-            lo, k = _down(bounds[k]), k - 1
-        k = home(hi)
-        while hi < math.inf:
-            if k == number:
-                right = block.first_above(hi, rank)
-                if right is not None:
-                    hi = float(block.scores[right])
+                low, k = _down(bounds[k]), k - 1
+            k = home(high)
+            while high < math.inf:
+                if k == number:
+                    right = room.first_above(high)
+                    if right is not None:
+                        high = float(room.scores[right])
+                        break
+                elif not passes_over(k, at, rank):
                     break
-            elif not passes_over(k, x):
+                high, k = bounds[k + 1], k + 1
+            to_left, to_right = at - low, high - at
+            if min(to_left, to_right) > radius:
                 break
-            hi, k = bounds[k + 1], k + 1
-        to_left, to_right = x - lo, hi - x
-        if min(to_left, to_right) > radius:
-            continue
-        if to_left <= to_right:
-            if left is None:
-                out.append((home(lo), PROPOSAL, x, hardness[x], units, lo, hi, None))
-                continue
-            refused = block.propose(left, rank, x, units, _down(lo), hi)
-        else:
-            if right is None:
-                out.append((home(hi), PROPOSAL, x, hardness[x], units, lo, hi, None))
-                continue
-            refused = block.propose(right, rank, x, units, lo, _up(hi))
-        for r, ox, n, olo, ohi in refused:
-            heapq.heappush(queue, (-r, ox, n, olo, ohi))
-    for j, heap in enumerate(block.kept):
-        for _, x, units, lo, hi in heap:
-            out.append((number, HOLD, x, hardness[x], units, lo, hi, float(block.scores[j])))
+            asked = left if to_left <= to_right else right
+            if asked is None:
+                target = home(low) if to_left <= to_right else home(high)
+                out.append((target, PROPOSAL, at, rank, units, low, high, None))
+                break
+            taken = room.take(asked, units)
+            units -= taken
+            score = float(room.scores[asked])
+            if to_left <= to_right:
+                low = _down(low)
+            else:
+                high = _up(high)
+            out.append((number, HOLD, at, rank, taken, low, high, score))
     names = ["block", "kind", "x", "hardness", "units", "lo", "hi", "reference"]
     return pd.DataFrame(out, columns=names).astype({"reference": "float64"})
 
 
-def match_cells(cells: DataFrame, radius: float, per_block: int = BLOCK_CELLS) -> DataFrame:
+def cells_per_block(cells: int, cores: int) -> int:
+    """Two blocks for every core, none larger than ``BLOCK_CELLS`` or smaller than ``LEAST_CELLS``."""
+    return min(BLOCK_CELLS, max(LEAST_CELLS, -(-cells // (2 * cores))))
+
+
+def match_cells(cells: DataFrame, radius: float, per_block: int | None = None) -> DataFrame:
     """How many units of each comparison score go to which reference score."""
-    edges = range_edges(cells, "x", cells.count(), per_block)
+    n = cells.count()
+    per_block = per_block or cells_per_block(n, cells.sparkSession.sparkContext.defaultParallelism)
+    edges = range_edges(cells, "x", n, per_block)
     ranged = assign_range(cells, "x", edges, "block")
     supply = ranged.filter("supply > 0").select(
         F.col("block").alias("home"), F.col("x").alias("score"), "supply"
@@ -317,7 +285,7 @@ def allot_units(flows: DataFrame) -> DataFrame:
 
 
 def match_rows(
-    rows: DataFrame, code: str, logit: str, key: str, radius: float, per_block: int = BLOCK_CELLS
+    rows: DataFrame, code: str, logit: str, key: str, radius: float, per_block: int | None = None
 ) -> DataFrame:
     """Matched pairs: ``comparison`` and ``reference`` records and their distance.
 

@@ -26,6 +26,7 @@ from cohortwise.functions.columns import col
 from cohortwise.spec import CONTINUOUS
 
 LEAST_HESSIAN = 1e-3
+CHUNK_ROWS = 50_000
 QUANTILE_ACCURACY = 100_000
 TREE_SCHEMA = "tree int, features array<int>, left array<int>, right array<int>, values array<double>, goes_left array<binary>"
 
@@ -183,12 +184,14 @@ class Grower:
 
     def histogram(self, rows: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
         """Sums of gradient and hessian, and rows, by code."""
-        codes = self.codes[rows].ravel()
         n = self.codes.shape[1]
-        out = np.empty((3, self.total))
-        out[0] = np.bincount(codes, np.repeat(g[rows], n), self.total)
-        out[1] = np.bincount(codes, np.repeat(h[rows], n), self.total)
-        out[2] = np.bincount(codes, minlength=self.total)
+        out = np.zeros((3, self.total))
+        for a in range(0, len(rows), CHUNK_ROWS):
+            part = rows[a : a + CHUNK_ROWS]
+            codes = self.codes[part].ravel()
+            out[0] += np.bincount(codes, np.repeat(g[part], n), self.total)
+            out[1] += np.bincount(codes, np.repeat(h[part], n), self.total)
+            out[2] += np.bincount(codes, minlength=self.total)
         return self.add(out)
 
     def best_split(self, hist: np.ndarray):

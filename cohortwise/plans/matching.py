@@ -44,7 +44,7 @@ def check_matching_request(exposure: str, covariates, outcome: str) -> list[str]
 
 def match_scored(
     scored: DataFrame, outcome: str, covariates, spec: CohortSpec, key: str,
-    per_block: int = matching.BLOCK_CELLS,
+    per_block: int | None = None,
 ) -> MatchingResult:
     """Support, caliper, matching, tests and balance for rows that carry a propensity score."""
     return match_on_logit(propensity.add_logit(scored), outcome, covariates, spec, key, per_block)
@@ -52,7 +52,7 @@ def match_scored(
 
 def match_on_logit(
     scored: DataFrame, outcome: str, covariates, spec: CohortSpec, key: str,
-    per_block: int = matching.BLOCK_CELLS,
+    per_block: int | None = None,
 ) -> MatchingResult:
     """As ``match_scored``, for rows that also carry the logit to match on."""
     scored = scored.persist()

@@ -46,6 +46,41 @@ def test_matching_equals_the_sequential_definition(spark, case):
     assert {(r.x, r.reference): r.u for r in flows.collect()} == expected
 
 
+def test_successors_skip_full_references():
+    rng = np.random.default_rng(3)
+    scores = np.sort(rng.choice(1000, 300, replace=False)) / 8.0
+    capacity = rng.integers(0, 4, 300)
+    room, left = matching._Room(scores, capacity), capacity.tolist()
+    for _ in range(2000):
+        at = rng.integers(0, 1000) / 8.0
+        below = [j for j in range(300) if scores[j] <= at and left[j]]
+        above = [j for j in range(300) if scores[j] >= at and left[j]]
+        assert room.last_below(at) == (below[-1] if below else None)
+        assert room.first_above(at) == (above[0] if above else None)
+        if above:
+            wanted = int(rng.integers(1, 4))
+            assert room.take(above[0], wanted) == min(wanted, left[above[0]])
+            left[above[0]] -= min(wanted, left[above[0]])
+
+
+def test_blocks_follow_the_cores():
+    assert -(-20_000 // matching.cells_per_block(20_000, 8)) == 16
+    assert matching.cells_per_block(100, 8) == matching.LEAST_CELLS
+    assert matching.cells_per_block(10**9, 8) == matching.BLOCK_CELLS
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_crowded_blocks(spark, seed):
+    """Many choosers per reference and blocks of a few cells, so that proposals move back and forth."""
+    rng = np.random.default_rng(seed)
+    wanting, offered = rng.integers(0, 60, 150) / 16, rng.integers(0, 60, 70) / 16
+    rows = [(float(x), 1) for x in wanting] + [(float(x), 0) for x in offered]
+    cells = matching.score_cells(spark.createDataFrame(rows, "x double, code int"), "code", "x").persist()
+    for per_block in (3, 11):
+        flows = matching.match_cells(cells, 1.0, per_block).groupBy("x", "reference").agg(F.sum("units").alias("u"))
+        assert {(r.x, r.reference): r.u for r in flows.collect()} == one_after_another(wanting, offered, 1.0)
+
+
 def test_pairs_use_each_row_once(spark):
     rng = np.random.default_rng(2)
     rows = [(f"k{i}", int(rng.random() < 0.4), float(rng.integers(0, 12)) / 4) for i in range(300)]
