@@ -21,6 +21,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ BLOCK_CELLS = 50_000
 LEAST_CELLS = 1_000
 UNIT_CHUNK = 4096
 CANDIDATES = 500
+RANGE_REFERENCES = 50_000
 COMPARISON, REFERENCE = "comparison", "reference"
 
 PROPOSAL, HOLD = 0, 1
@@ -329,15 +331,18 @@ def matched_table(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def nearest_references(
-    rows: DataFrame, code: str, logit: str, key: str, count: int = CANDIDATES
+    rows: DataFrame, code: str, logit: str, key: str, count: int = CANDIDATES, per_range: int = RANGE_REFERENCES
 ) -> DataFrame:
     """For every comparison score its ``count`` nearest references, a top-k report.
 
-    References are numbered along the score; the nearest ones of a score are among the
-    ``count`` places to either side of it, which equi-joins on the place fetch.
+    References are numbered along the score and cut into ranges; each range borrows ``count`` references from either
+    neighbour. A comparison score lies between two places, and its nearest references are read off both sides of that
+    place by two pointers, the lower side first on ties. What is shuffled are the rows and the borrowed references.
     """
     cells = score_cells(rows, code, logit).persist()
     ranked = running_totals(cells, "x", {"below": "supply"})
+    total = cells.agg(F.sum("supply")).first()[0] or 0
+    size = max(per_range, count)
     numbered = hash_order_positions(
         rows.filter(col(code) == 0).withColumn("__digest", F.md5(col(key).cast("string"))),
         "__digest", "__place", [logit], digits=2,
@@ -345,25 +350,72 @@ def nearest_references(
     references = numbered.join(
         ranked.filter("supply > 0").select(F.col("x").alias("__x"), "below"), col(logit) == F.col("__x")
     ).select(
-        (F.col("below") + F.col("__place")).alias("place"),
-        col(logit).alias("reference"),
-        col(key).alias("reference_id"),
-    )
-    places = ranked.filter("demand > 0").select(
-        "x", "below",
-        F.explode(F.sequence(F.col("below") - count, F.col("below") + count - 1)).alias("place"),
+        (F.col("below") + F.col("__place")).alias("place"), col(logit).cast("double").alias("score"), col(key).alias("id"),
     )
-    found = places.join(references, "place").withColumn(
-        "distance", F.abs(F.col("reference") - F.col("x"))
-    )
-    right = (F.col("reference") >= F.col("x")).cast("int")
-    steps = F.abs(F.col("place") - F.col("below"))
-    order = Window.partitionBy("x").orderBy("distance", right, steps)  # 2 * count rows
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= count)
-        .select("x", "rank", "reference_id", "reference", "distance")
+    own = F.floor(F.col("place") / size)
+    inside = F.col("place") - own * size
+    parts = [
+        references.withColumn("range", own),
+        references.filter(inside < count).withColumn("range", own - 1),
+        references.filter(inside >= size - count).withColumn("range", own + 1),
+    ]
+    kind = dict(references.dtypes)["id"]
+    choosers = ranked.filter("demand > 0").select(
+        F.col("below").alias("place"), F.col("x").cast("double").alias("score"), F.lit(None).cast(kind).alias("id"),
+        F.floor(F.least("below", F.lit(max(total - 1, 0))) / size).alias("range"),
     )
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("chooser", F.lit(0))
+    whole = whole.unionByName(choosers.withColumn("chooser", F.lit(1)))
+    dealt = whole.repartition("range").sortWithinPartitions("range", "chooser", "place")
+    schema = f"x double, rank int, reference_id {kind}, reference double, distance double"
+    return dealt.select("range", "chooser", "place", "score", "id").mapInArrow(_two_pointers(count), schema)
+
+
+def _two_pointers(count: int):
+    """Reads ranges, the references of each before its choosers; holds one range of references."""
+
+    def nearest(x: float, below: int, first: int, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the nearest references lie, and their ranks from 0 on."""
+        at = below - first
+        lower = np.arange(at - 1, max(at - count, 0) - 1, -1)
+        upper = np.arange(at, min(at + count, len(scores)))
+        down, up = x - scores[lower], scores[upper] - x
+        places = np.concatenate([lower, upper])
+        ranks = np.concatenate(
+            [np.arange(len(lower)) + np.searchsorted(up, down, "left"), np.arange(len(upper)) + np.searchsorted(down, up, "right")]
+        )
+        kept = np.flatnonzero(ranks < count)
+        order = kept[np.argsort(ranks[kept])]
+        return places[order], ranks[order]
+
+    def work(batches):
+        names = ["x", "rank", "reference_id", "reference", "distance"]
+        now, held, scores, ids, first = None, [], None, None, 0
+        for batch in batches:
+            ranges, kinds, places, values = (batch.column(c).to_numpy() for c in ("range", "chooser", "place", "score"))
+            edges = np.flatnonzero(np.append(True, (ranges[1:] != ranges[:-1]) | (kinds[1:] != kinds[:-1]))) if len(ranges) else []
+            for a, b in zip(edges, [*edges[1:], len(ranges)]):
+                if ranges[a] != now:
+                    now, held, scores = ranges[a], [], None
+                if not kinds[a]:
+                    held.append((int(places[a]), values[a:b], batch.column("id").slice(a, b - a)))
+                    continue
+                if scores is None:
+                    if not held:
+                        continue  # there is no reference at all
+                    first, scores = held[0][0], np.concatenate([h[1] for h in held])
+                    ids = pa.concat_arrays([h[2] for h in held])
+                for i in range(a, b):
+                    found, ranks = nearest(float(values[i]), int(places[i]), first, scores)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(found), values[i])), pa.array((ranks + 1).astype(np.int32)),
+                            ids.take(pa.array(found)), pa.array(scores[found]), pa.array(np.abs(scores[found] - values[i])),
+                        ],
+                        names=names,
+                    )
+
+    return work
 
 
 def pair_outcomes(matched: DataFrame, outcome: str) -> DataFrame:

@@ -63,6 +63,27 @@ def test_successors_skip_full_references():
             left[above[0]] -= min(wanted, left[above[0]])
 
 
+@pytest.mark.parametrize("count,per_range", [(5, 10**6), (7, 7), (3, 20), (500, 10)])
+def test_nearest_references_over_ranges(spark, count, per_range):
+    rng = np.random.default_rng(9)
+    rows = [(f"k{i}", int(rng.random() < 0.3), float(rng.integers(0, 30)) / 4) for i in range(160)]
+    rows += [("low", 1, -50.0), ("high", 1, 90.0)]
+    df = spark.createDataFrame(rows, "id string, code int, x double")
+    found = matching.nearest_references(df, "code", "x", "id", count, per_range).collect()
+    import hashlib
+
+    offered = sorted((x, hashlib.md5(k.encode()).hexdigest(), k) for k, c, x in rows if not c)
+    expected = {}
+    for x in {x for _, c, x in rows if c}:
+        below = sum(o[0] < x for o in offered)
+        order = sorted(range(len(offered)), key=lambda p: (abs(offered[p][0] - x), offered[p][0] >= x, abs(p - below)))
+        for rank, p in enumerate(order[:count], 1):
+            expected[x, rank] = (offered[p][2], abs(offered[p][0] - x))
+    assert {(r.x, r["rank"]): (r.reference_id, r.distance) for r in found} == expected and len(found) == len(expected)
+    assert matching.nearest_references(df.filter("code = 1"), "code", "x", "id", count, per_range).count() == 0
+    assert matching.nearest_references(df.filter("code = 0"), "code", "x", "id", count, per_range).count() == 0
+
+
 def test_blocks_follow_the_cores():
     assert -(-20_000 // matching.cells_per_block(20_000, 8)) == 16
     assert matching.cells_per_block(100, 8) == matching.LEAST_CELLS
