@@ -287,17 +287,19 @@ def calibration_curves(spark, folder):
 
 
 def stored_out_of_fold(spark, folder):
-    """Write the predictions, read them back, scan thresholds from the stored table."""
+    """Write the out-of-fold predictions, read each variant back, scan thresholds of the stored table."""
     path = scratch_folder(spark)
-    rows = trade_cohort(spark, folder, ["row_id", "outcome", "score"]).select(
-        "row_id", F.col("outcome").alias("y_true"), F.col("score").alias("uncalibrated_probability"),
-        F.col("score").alias("sigmoid_probability"), F.col("score").alias("isotonic_probability"),
-    )
-    artefacts.write_out_of_fold(rows, path)
-    scan = metrics.threshold_scan(
-        artefacts.read_out_of_fold(spark, path), "y_true", "sigmoid_probability"
-    )
-    return scan.select("threshold", "tp", "fp", "fn", "tn")
+    artefacts.write_out_of_fold(_oof(spark, folder), path)
+    whole = None
+    for variant in ("uncalibrated", "sigmoid", "isotonic"):
+        p = f"{variant}_probability"
+        scan = metrics.threshold_scan(artefacts.read_out_of_fold(spark, path, p), "y_true", p)
+        kept = scan.select(
+            F.lit(variant).alias("variant"), "threshold", (F.col("tp") + F.col("fn")).alias("positives"),
+            (F.col("fp") + F.col("tn")).alias("negatives"), ((F.col("recall") >= 0) & (F.col("recall") <= 1)).alias("valid"),
+        )
+        whole = kept if whole is None else whole.unionByName(kept)
+    return whole
 
 
 def csv_scan(spark, folder):
@@ -341,19 +343,23 @@ def bundle_round_trip(spark, folder):
 
 
 def stored_side_tables(spark, folder):
+    """Ranges and levels of the stored schema, for features that the stored importance also lists."""
     path = scratch_folder(spark)
     training.save_evaluation(trained(spark, folder), path)
-    listed = [training.read_schema(spark, path).select("feature"),
-              training.read_importance(spark, path).select("feature")]
-    return listed[0].join(listed[1], "feature")
+    stored, listed = training.read_schema(spark, path), training.read_importance(spark, path)
+    found = stored.join(listed.filter("importance_mean is not null").select("feature"), "feature").select(
+        "feature", "kind", "minimum", "maximum", F.array_join("levels", "|").alias("levels")
+    )
+    return rounded(found, "minimum", "maximum")
 
 
 def stored_diagnostics(spark, folder):
-    """Stored metrics must follow from the stored predictions."""
+    """Stored metrics must follow from the stored predictions, which are those of the test rows."""
     path = scratch_folder(spark)
     training.save_evaluation(trained(spark, folder), path)
     stored, rows = training.read_diagnostics(spark, path)
-    return metrics.artefact_consistency(stored, rows).select("metric", "consistent")
+    counts = rows.agg(F.count("*").alias("rows"), F.sum("y_test").cast("bigint").alias("positives"))
+    return metrics.artefact_consistency(stored, rows).select("metric", "consistent").join(F.broadcast(counts))  # one row
 
 
 QUERIES = {
@@ -468,12 +474,6 @@ impacts AS (SELECT row_id, f.f AS feature, {_linear()} AS original_probability,
     CASE f.f WHEN 'quantity' THEN '25.0' WHEN 'return_flag' THEN 'N' ELSE 'MACHINERY' END AS reference_value
   FROM cohort, (VALUES ('quantity'), ('return_flag'), ('segment')) AS f(f))"""
 
-_SCAN_SQL = """SELECT round(0.05 + t / 100.0, 2)::DOUBLE AS threshold,
-  count(*) FILTER (WHERE outcome = 1 AND hit) AS tp, count(*) FILTER (WHERE outcome = 0 AND hit) AS fp,
-  count(*) FILTER (WHERE outcome = 1 AND NOT hit) AS fn, count(*) FILTER (WHERE outcome = 0 AND NOT hit) AS tn
-  FROM (SELECT outcome, t, score >= round(0.05 + t / 100.0, 2)::DOUBLE AS hit FROM cohort, range(91) AS r(t))
-  GROUP BY t"""
-
 ORACLES = {
     "p2_stratified_split": sql.with_(sql.COHORT + _PLACED)
     + "SELECT row_id, outcome, rn <= n * 4 // 5 AS is_train FROM placed",
@@ -541,10 +541,13 @@ ORACLES = {
     + f"""SELECT segment, {sql.TARGET} AS high_value, count(*) AS n, sum(quantity) AS quantity
       FROM (SELECT DISTINCT * FROM coerced WHERE {sql.VALID}) GROUP BY ALL""",
     "s7_bundle_round_trip": "SELECT count(*) AS n, 0::BIGINT AS changed FROM lineitem",
-    "s12_stored_out_of_fold": sql.with_(sql.COHORT) + _SCAN_SQL,
-    "s9_side_tables": "SELECT unnest(["
-    + ", ".join(f"'{f}'" for f in TRADE_SPEC.features)
-    + "]) AS feature",
-    "s10_stored_diagnostics": """SELECT unnest(['test_rows', 'accuracy', 'precision', 'recall', 'f1', 'roc_auc'])
-      AS metric, true AS consistent""",
+    "s12_stored_out_of_fold": sql.with_(sql.COHORT)
+    + """SELECT v.v AS variant, round(0.05 + t / 100.0, 2)::DOUBLE AS threshold, count(*) FILTER (WHERE outcome = 1) AS positives,
+      count(*) FILTER (WHERE outcome = 0) AS negatives, true AS valid
+      FROM cohort, range(91) AS r(t), (VALUES ('uncalibrated'), ('sigmoid'), ('isotonic')) AS v(v) GROUP BY v.v, t""",
+    "s9_side_tables": sql.with_(sql.COHORT + _TRAIN) + " UNION ALL ".join(_schema_sql(f) for f in TRADE_SPEC.features),
+    "s10_stored_diagnostics": sql.with_(sql.COHORT + _PLACED)
+    + """SELECT metric, true AS consistent, n AS rows, positives FROM
+      (SELECT count(*) AS n, sum(outcome)::BIGINT AS positives FROM placed WHERE rn > n * 4 // 5),
+      (SELECT unnest(['test_rows', 'accuracy', 'precision', 'recall', 'f1', 'roc_auc']) AS metric)""",
 }
