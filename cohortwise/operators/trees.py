@@ -83,7 +83,10 @@ def feature_bins(rows: DataFrame, schema: dict[str, dict], max_bins: int) -> Fea
 
 @dataclass
 class Tree:
-    """Nodes as arrays; a leaf has feature -1. ``goes_left`` has a flag per code of the node's feature."""
+    """Nodes as arrays, parents before their children; a leaf has feature -1.
+
+    ``goes_left`` has a flag per code of the node's feature; a right child follows its left sister.
+    """
 
     features: np.ndarray
     left: np.ndarray
@@ -100,23 +103,25 @@ class TreeModel:
         self._packed = None
 
     def _pack(self):
-        """All trees in one set of arrays; a leaf leads to itself."""
+        """All trees in one set of arrays; a right child follows its sister, a leaf leads to itself."""
         if self._packed is None:
             starts = np.cumsum([0, *(len(t.features) for t in self.trees)])
             leaf = np.concatenate([t.features < 0 for t in self.trees])
-            at = np.arange(starts[-1], dtype=np.int32)
-            left, right = (
-                np.where(leaf, at, np.concatenate([side + s for side, s in zip(sides, starts)])).astype(np.int32)
-                for sides in ([t.left for t in self.trees], [t.right for t in self.trees])
-            )
+            left = np.concatenate([t.left + s for t, s in zip(self.trees, starts)])
+            left = np.where(leaf, np.arange(starts[-1]), left).astype(np.int32)
             feature = np.where(leaf, 0, np.concatenate([t.features for t in self.trees])).astype(np.int32)
             width = int(self.bins.sizes.max())
-            table = np.zeros((starts[-1], width), bool)
+            goes_right = np.zeros((starts[-1], width), np.int32)
+            depth = 0
             for t, s in zip(self.trees, starts):
+                level = np.zeros(len(t.features), np.int64)
                 for i, flags in enumerate(t.goes_left):
-                    table[s + i, : len(flags)] = flags
+                    if t.features[i] >= 0:
+                        goes_right[s + i, : len(flags)] = ~flags
+                        level[[t.left[i], t.right[i]]] = level[i] + 1
+                depth = max(depth, int(level.max()))
             values = np.concatenate([t.values for t in self.trees])
-            self._packed = starts[:-1].astype(np.int32), feature, np.stack([right, left], 1).ravel(), table.ravel(), width, values, leaf
+            self._packed = starts[:-1].astype(np.int32), feature, left, goes_right.ravel(), width, values, depth
         return self._packed
 
     def margins(self, columns: list[pa.Array]) -> np.ndarray:
@@ -125,18 +130,16 @@ class TreeModel:
         out = np.zeros(len(codes))
         if not self.trees:
             return out
-        roots, feature, children, table, width, values, leaf = self._pack()
-        step = max(1, (1 << 18) // len(roots))
+        roots, feature, left, goes_right, width, values, depth = self._pack()
+        step = max(1, (1 << 16) // len(roots))  # small enough to stay in a core's cache
         for a in range(0, len(codes), step):
             part = codes[a : a + step]
             base = (np.arange(len(part), dtype=np.int32) * part.shape[1])[:, None]
-            flat, at = part.ravel(), np.broadcast_to(roots, (len(part), len(roots)))
-            while True:
-                code = flat[base + feature[at]]
-                at = children[2 * at + table[at.astype(np.int64) * width + code]]
-                if leaf[at].all():
-                    break
-            out[a : a + step] = values[at].sum(1)
+            flat, at = part.ravel(), np.repeat(roots[None, :], len(part), axis=0)
+            for _ in range(depth):
+                code = flat.take(feature.take(at) + base)
+                at = left.take(at) + goes_right.take(at * np.int64(width) + code)
+            out[a : a + step] = values.take(at).sum(1)
         return out
 
     def rows(self) -> list[tuple]:
