@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from cohortwise.llm.phrases import fingerprints, likeness
 
 CHUNK = 1 << 20
 RANGES = 16
+HOT = 4
 MOST_RANGES = 100_000  # one broadcast row each; the result does not depend on the number
 OUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -25,7 +27,8 @@ OUT = (
 def in_order(docs: DataFrame) -> DataFrame:
     """``bucket borrowed doc_id text``: ranges of ids, each with the first row of the next one at its end.
 
-    Rows are ordered by id (none first), then by a hash of the text. Only one row a range is copied.
+    Rows are ordered by id (none first), then by a hash of the text. Only one row a range is copied. An id that
+    many rows share is cut into several ranges by that hash.
     """
     # several small ranges a partition, so that hashing them to partitions comes out even
     partitions = max(1, docs.rdd.getNumPartitions())
@@ -35,13 +38,27 @@ def in_order(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("place"),
     )
-    ids = docs.select(F.col("doc_id").cast("double").alias("place")).dropna()
-    cuts = ids.approxQuantile("place", [i / buckets for i in range(1, buckets)], max(0.2 / buckets, 1e-5))
+    ids = rows.select("place")
+    known = ids.filter(F.col("place") > float("-inf"))
+    total = ids.count()
+    share = max(1.0, total / buckets)
+    cuts = known.approxQuantile("place", [i / buckets for i in range(1, buckets)], max(0.2 / buckets, 1e-5))
+    # an id with many rows, or none, is a range of its own; there are fewer of them than ranges
+    hot = [r.place for r in ids.groupBy("place").count().filter(F.col("count") > HOT * share).collect()]
+    least = known.agg(F.min("place")).first()[0]
+    cuts += [c for h in hot for c in ((h, math.nextafter(h, math.inf)) if h > float("-inf") else (least,))]
     splits = [float("-inf"), *sorted({c for c in cuts if c is not None}), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     dealt = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(rows)
-    dealt = dealt.withColumn("bucket", F.col("bucket").cast("int")).withColumn("tie", F.xxhash64("text")).drop("place")
+    dealt = dealt.withColumn("bucket", F.col("bucket").cast("int")).withColumn("tie", F.xxhash64("text"))
+    # such a range is cut by the hash of the text, in which its rows are ordered
+    parts = F.ceil(F.col("rows") / F.lit(share)).cast("int")
+    sizes = dealt.filter(F.col("place").isin(hot) if hot else F.lit(False)).groupBy(F.col("place").alias("hot")).agg(F.count("*").alias("rows"))
+    dealt = dealt.join(F.broadcast(sizes.withColumn("parts", parts)), F.col("place") == F.col("hot"), "left")  # fewer rows than ranges
+    part = F.floor((F.col("tie").cast("double") / float(1 << 64) + 0.5) * F.col("parts")).cast("int")
+    part = F.coalesce(F.least(part, F.col("parts") - 1), F.lit(0))
+    dealt = dealt.withColumn("bucket", F.col("bucket").cast("long") * (1 << 31) + part).select("bucket", "doc_id", "tie", "text")
     heads = dealt.groupBy("bucket").agg(F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))), "tie")).alias("head"))
     # one row per range: who borrows it is the range before, the last one for the first
     every = Window.orderBy("bucket")

@@ -40,13 +40,34 @@ PATTERNS = (
         rf"(?:\G|(?<!{LOCAL})){LOCAL}++ ?[\[(]at[\])] ?{LABEL}++(?: ?(?:[\[(]dot[\])]|\.) ?{LABEL}++)++",
         lambda t: (F.instr(t, "(at)") > 0) | (F.instr(t, "[at]") > 0),
     ),
+    (
+        "email",
+        "loose",
+        rf"(?:\G|(?<!{LOCAL})){LOCAL}++ at {LABEL}++(?: dot {LABEL}++)++",
+        lambda t: (F.instr(t, " at ") > 0) & (F.instr(t, " dot ") > 0),
+    ),
+    (
+        "ip",
+        "loose",
+        r"(?<![0-9.])[0-9]{1,3}(?:(?: ?[\[(](?:\.|dot)[\])] ?| \. )[0-9]{1,3}){3}(?![0-9.])",
+        lambda t: t.rlike(r"[0-9] ?[\[( ](?:\.|dot)[\]) ] ?[0-9]"),
+    ),
     (
         "phone",
         "loose",
         r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
         lambda t: t.rlike(r"[0-9]{3}[ .-][0-9]{4}"),
     ),
+    (
+        "phone",
+        "loose",
+        r"(?<![0-9A-Za-z+.-])0[0-9]{1,4}[ /-][0-9]{3,4}(?:[ -][0-9]{2,4}){1,3}(?![0-9A-Za-z])",
+        lambda t: t.rlike(r"0[0-9]{1,4}[ /-][0-9]{3}"),
+    ),
 )
+BLOCK = 64
+CHUNK = 4096
+WORD_SLOTS = 64
 LABELERS = ("form", "valid", "gazetteer", "context", "border")
 # fixed values: endings of addresses, prefixes of cards and of telephone numbers, telling words
 ENDINGS = r"(?i)\.(com|org|net|edu|gov|int|info|biz|io|co|de|fr|es|it|nl|uk|us|ca|ch|at|be|eu)$"
@@ -69,39 +90,65 @@ class PiiModel:
     weights: dict[str, float]
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, not wherever it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, first: Column, step) -> Column:
+    """``first``, then what ``step`` makes of it with one value after the other; one more entry than values.
+
+    Arrays grow in blocks of about the square root of their length, so a long array is not copied for each entry.
+    ``step`` must be associative, with ``first`` as its neutral value.
+    """
+
+    def grown(part: Column, start: Column) -> Column:
+        return F.aggregate(part, F.array(start), lambda done, v: F.concat(done, F.array(step(F.element_at(done, -1), v))))
+
+    def blocked(all_: Column) -> Column:
+        size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.size(all_))).cast("int"))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / size).cast("int")), lambda b: F.slice(all_, b * size + 1, size))
+
+        def joined(parts: Column) -> Column:
+            totals = F.transform(parts, lambda part: F.aggregate(part, first, step))
+            return let(
+                grown(totals, first),
+                lambda before: F.concat(
+                    F.array(first),
+                    F.flatten(F.transform(parts, lambda part, b: let(grown(part, before[b]), lambda g: F.slice(g, 2, F.size(part))))),
+                ),
+            )
+
+        return let(blocks, joined)
+
+    return let(values, lambda all_: F.when(F.size(all_) <= BLOCK, grown(all_, first)).otherwise(blocked(all_)))
+
+
 def occurrences(text: Column, pattern: str, there: Column) -> Column:
     """Leftmost matches that do not overlap, with positions in code points and what surrounds them."""
-    matches = F.when(there, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    between = F.when(there, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
-    steps = F.arrays_zip(between.alias("gap"), matches.alias("match"))
-    nothing = F.lit(None).cast(SPAN)
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("open"), F.array().cast(f"array<{SPAN}>").alias("done"))
-
-    def step(state: Column, x: Column) -> Column:
-        gap, match = x["gap"], x["match"]
-        begin = state["at"] + F.length(gap)
-        open_ = state["open"]
-        closed = F.struct(
-            open_["start"].alias("start"),
-            open_["end"].alias("end"),
-            open_["match"].alias("match"),
-            open_["before"].alias("before"),
-            F.substring(gap, 1, 16).alias("after"),
-        )
-        new = F.struct(
-            begin.alias("start"),
-            (begin + F.length(match)).alias("end"),
-            match.alias("match"),
-            F.right(gap, F.lit(40)).alias("before"),
-            F.lit("").alias("after"),
-        )
-        return F.struct(
-            (begin + F.coalesce(F.length(match), F.lit(0))).alias("at"),
-            F.when(match.isNotNull(), new).otherwise(nothing).alias("open"),
-            F.when(open_.isNotNull(), F.concat(state["done"], F.array(closed))).otherwise(state["done"]).alias("done"),
-        )
-
-    return F.aggregate(steps, start, step, lambda state: state["done"])
+    def spans(found: Column) -> Column:
+        matches, gaps = found["matches"], found["gaps"]
+        steps = F.transform(matches, lambda m, i: F.length(gaps[i]) + F.length(m))
+
+        def placed(ends: Column) -> Column:
+            return F.transform(
+                matches,
+                lambda m, i: F.struct(
+                    (ends[i] + F.length(gaps[i])).alias("start"),
+                    ends[i + 1].alias("end"),
+                    m.alias("match"),
+                    F.right(gaps[i], F.lit(40)).alias("before"),
+                    F.substring(gaps[i + 1], 1, 16).alias("after"),
+                ),
+            )
+
+        return let(running(steps, F.lit(0), lambda a, b: a + b), placed)
+
+    both = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"), F.split(text, pattern, -1).alias("gaps")
+    )
+    empty = F.array().cast(f"array<{SPAN}>")
+    return F.when(there, let(both, lambda b: F.when(F.size(b["matches"]) > 0, spans(b)).otherwise(empty))).otherwise(empty)
 
 
 def digits_of(match: Column) -> Column:
@@ -124,7 +171,8 @@ def small_parts(match: Column) -> Column:
 
     def small(part: Column) -> Column:
         bare = F.regexp_replace(part, "^0+", "")
-        return (F.length(bare) <= 3) & (F.coalesce(F.when(F.length(bare) <= 3, bare).cast("int"), F.lit(0)) <= 255)
+        number = F.concat(F.lit("0"), F.when(F.length(bare) <= 3, bare)).cast("int")
+        return F.coalesce(number <= 255, F.lit(False))
 
     return F.forall(F.split(match, r"\."), small)
 
@@ -144,6 +192,11 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
+def shape(part: Column) -> Column:
+    """Letters as a, digits as 0, other characters as they are."""
+    return F.regexp_replace(F.regexp_replace(part, "[A-Za-z]", "a"), "[0-9]", "0")
+
+
 def candidate(kind: str, form: str, span: Column) -> Column:
     """A found span with its votes and features; ``base`` tells whether the base rules accept it."""
     match, before, after = span["match"], span["before"], span["after"]
@@ -179,6 +232,10 @@ def candidate(kind: str, form: str, span: Column) -> Column:
         F.concat(F.lit(f"{kind}|marks|"), marks.cast("string")),
         F.concat(F.lit(f"{kind}|digits|"), F.least(F.length(digits), F.lit(20)).cast("string")),
         *(F.concat(F.lit(f"{kind}|{n}|"), votes[n].cast("string")) for n in LABELERS),
+        # what no labeler looks at: the shape of both ends, and the word before
+        F.concat(F.lit(f"{kind}|begins|"), shape(F.substring(match, 1, 3))),
+        F.concat(F.lit(f"{kind}|ends|"), shape(F.right(match, F.lit(3)))),
+        F.concat(F.lit(f"{kind}|word|"), F.pmod(F.xxhash64(F.lower(F.regexp_extract(before, r"([A-Za-z]+)[^A-Za-z]*$", 1))), F.lit(WORD_SLOTS)).cast("string")),
     ]
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"),
@@ -291,16 +348,52 @@ def span_columns(model: PiiModel) -> tuple[Column, Column]:
     return base, more
 
 
+def overlapped(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of ``others``.
+
+    Among the others that start before a span ends, the furthest end tells; where they stop is found by halving.
+    """
+
+    def apart(sorted_: Column) -> Column:
+        def judged(reach: Column) -> Column:
+            rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.size(sorted_) + 1)).cast("int") + 1)
+
+            def free(s: Column) -> Column:
+                # how many of the others start before this span ends
+                start = F.struct(F.lit(0).alias("low"), F.size(sorted_).alias("high"))
+
+                def halve(state: Column, _: Column) -> Column:
+                    middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+                    before = (state["low"] < state["high"]) & (F.get(sorted_, middle)["start"] < s["end"])
+                    low = F.when(before, middle + 1).otherwise(state["low"])
+                    high = F.when(before, state["high"]).otherwise(F.least(middle, state["high"]))
+                    return F.struct(low.alias("low"), high.alias("high"))
+
+                return F.aggregate(rounds, start, halve, lambda state: reach[state["low"]] <= s["start"])
+
+            return F.filter(spans, free)
+
+        return let(running(F.transform(sorted_, lambda o: o["end"]), F.lit(0), lambda a, b: F.greatest(a, b)), judged)
+
+    by_start = F.array_sort(F.transform(others, lambda o: F.struct(o["start"].alias("start"), o["end"].alias("end"))))
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(let(by_start, apart))
+
+
 def with_spans(found: DataFrame, model: PiiModel) -> DataFrame:
     """Adds ``_base`` and ``_spans``; a further span that overlaps a base span is left out."""
     base, more = span_columns(model)
-    rows = found.withColumn("_base", base).withColumn("_more", more)
-    free = F.filter(
-        "_more",
-        lambda s: ~F.exists("_base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])),
-    )
-    spans = F.when(F.size("_more") == 0, F.col("_base")).otherwise(F.array_sort(F.array_distinct(F.concat("_base", free))))
-    return rows.withColumn("_spans", spans).drop("_more")
+
+    def judged(both: Column) -> Column:
+        free = overlapped(both["more"], both["base"])
+        return F.struct(
+            both["base"].alias("base"),
+            F.when(F.size(both["more"]) == 0, both["base"])
+            .otherwise(F.array_sort(F.array_distinct(F.concat(both["base"], free))))
+            .alias("spans"),
+        )
+
+    rows = found.withColumn("_both", let(F.struct(base.alias("base"), more.alias("more")), judged))
+    return rows.withColumn("_base", F.col("_both")["base"]).withColumn("_spans", F.col("_both")["spans"]).drop("_both")
 
 
 def span_text(spans: Column) -> Column:
@@ -348,18 +441,53 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     in_order = F.array_sort(
         F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"), s["end"].alias("end")))
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, s: Column) -> Column:
-        apart = s["start"] >= state["at"]
-        part = F.concat(F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), F.element_at(names, s["kind"] + 1))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(apart, F.concat(state["parts"], F.array(part))).otherwise(state["parts"]).alias("parts"),
+    text_ = F.col("text")
+
+    def between(chunks: Column, a: Column, b: Column) -> Column:
+        """Code points from ``a`` to ``b``, read off the chunks that hold them."""
+        first, last = F.floor(a / CHUNK).cast("int"), F.floor(b / CHUNK).cast("int")
+        head = F.coalesce(F.get(chunks, first), F.lit(""))
+        tail = F.coalesce(F.get(chunks, last), F.lit(""))
+        near = F.substring(head, a - first * CHUNK + 1, b - a)
+        far = F.concat(
+            F.substring(head, a - first * CHUNK + 1, F.lit(CHUNK)),
+            F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+            F.substring(tail, F.lit(1), b - last * CHUNK),
         )
-
-    def finish(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(F.col("text"), state["at"] + 1, F.length("text")))
-
-    clean = F.when(F.size("_spans") > 0, F.aggregate(in_order, start, step, finish)).otherwise(F.col("text"))
+        return F.when(first == last, near).otherwise(far)
+
+    def ranges(spans: Column) -> Column:
+        """Spans that overlap as one, of the kind of the first."""
+
+        def merged(reach: Column) -> Column:
+            begins = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (spans[i]["start"] >= reach[i]))
+            return let(
+                begins,
+                lambda firsts: F.transform(
+                    firsts,
+                    lambda i, k: F.struct(
+                        spans[i]["start"].alias("start"),
+                        reach[F.coalesce(F.get(firsts, k + 1), F.size(spans))].alias("end"),
+                        spans[i]["kind"].alias("kind"),
+                    ),
+                ),
+            )
+
+        return let(running(F.transform(spans, lambda s: s["end"]), F.lit(0), lambda a, b: F.greatest(a, b)), merged)
+
+    def rebuilt(state: Column) -> Column:
+        found, chunks = state["ranges"], state["chunks"]
+
+        def part(r: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(found, k - 1)["end"], F.lit(0))
+            return F.concat(between(chunks, before, r["start"]), F.element_at(names, r["kind"] + 1))
+
+        rest = between(chunks, F.element_at(found, -1)["end"], F.length(text_))
+        return F.concat(F.array_join(F.transform(found, part), ""), rest)
+
+    state = F.struct(
+        let(in_order, ranges).alias("ranges"),
+        F.regexp_extract_all(text_, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("chunks"),
+    )
+    clean = F.when(F.size("_spans") > 0, let(state, rebuilt)).otherwise(text_)
     return rows.select(*(clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))

@@ -9,10 +9,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortwise.llm import phrases
+from cohortwise.llm import phrases, pii
 from cohortwise.llm.components import components
 from cohortwise.llm.mixing import MixSettings, mixed, repetitions
-from cohortwise.llm.phrase_query import compared
+from cohortwise.llm.phrase_query import compared, in_order
 from cohortwise.llm.pii import find_personal_data, redact
 from cohortwise.llm.quality import BASE_MASK, POLICIES, RULES, Policy, ablations, ledger, verdict
 from cohortwise.llm.setsketch import SketchSettings, estimate, near_duplicates, shingle_sets, sketch
@@ -137,6 +137,23 @@ def test_edited_documents(spark, odd, empty):
     assert compared(odd.limit(1)).first().near_next == 1.0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_an_id_of_most_rows_is_cut_into_ranges(spark, hot):
+    rows = [(hot if i % 4 else i, f"text number {i} " * (i % 5)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes = [r["count"] for r in in_order(docs).groupBy("bucket").count().collect()]
+    # empty texts are equal rows and stay together
+    assert max(sizes) < 600 and len(sizes) > 40
+    ties = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+    ordered = sorted(ties, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie))
+    expected = Counter()
+    for at, r in enumerate(ordered):
+        after, half = ordered[(at + 1) % len(ordered)].text, len(r.text) // 2
+        edited = r.text[: len(r.text) - half] + after[:half]
+        expected[r.doc_id, len(r.text), hashlib.sha256(edited.encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in compared(docs).collect()) == expected
+
+
 # --- near duplicates
 
 
@@ -338,6 +355,44 @@ def test_redaction_replaces_overlapping_spans_whole(spark):
     assert out[0] == "x [EMAIL] y" and out[1] == "x [PHONE] y" and out[2] == "[EMAIL], [EMAIL]"
 
 
+def test_many_matches_in_one_text(spark):
+    """Positions, overlaps and redaction of 20,000 matches; nothing grows with their square."""
+    n = 20_000
+    text = "call 12 now a@b.co, " * n
+    docs = spark.createDataFrame([(1, text), (2, "plain"), (3, "x 10.0.0.1 " * 70)], "doc_id long, text string")
+    found = {r.doc_id: r for r in find_personal_data(docs).collect()}
+    spans = base_spans(text)
+    assert found[1].n_email == n and found[1].base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert found[3].n_ip == 70 and found[2].spans == ""
+    assert {r.doc_id: r.text for r in redact(docs).collect()} == {1: "call 12 now [EMAIL], " * n, 2: "plain", 3: "x [IP] " * 70}
+
+
+def test_running_sums_and_overlaps_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        spans = [(a, a + rng.randint(1, 9)) for a in (rng.randint(0, 300) for _ in range(rng.choice([0, 1, 5, 64, 65, 200])))]
+        others = [(a, a + rng.randint(1, 9)) for a in (rng.randint(0, 300) for _ in range(rng.choice([0, 1, 3, 70, 150])))]
+        rows.append((i, spans, others))
+    kind = "array<struct<start: int, end: int>>"
+    df = spark.createDataFrame(rows, f"i int, a {kind}, b {kind}")
+    sums = pii.running(F.transform("a", lambda s: s["end"] - s["start"]), F.lit(0), lambda x, y: x + y)
+    for r in df.select("i", pii.overlapped(F.col("a"), F.col("b")).alias("free"), sums.alias("sums")).collect():
+        _, spans, others = rows[r.i]
+        assert [tuple(s) for s in r.free] == [s for s in spans if not any(s[0] < o[1] and o[0] < s[1] for o in others)]
+        assert list(r.sums) == [sum(b - a for a, b in spans[:k]) for k in range(len(spans) + 1)]
+
+
+def test_loose_forms_are_candidates(spark):
+    texts = ["host 10[.]20[.]30[.]40 up", "10 . 20 . 30 . 40", "mail joe at mail dot org now", "tel 030 1234 5678, or (319) 555-0100", "card 378282246310005 x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: [(pii.KINDS[s.kind], texts[r.doc_id][s.start : s.end]) for s in r["_found"] if not s.base] for r in pii.with_candidates(docs).collect()}
+    assert ("ip", "10[.]20[.]30[.]40") in found[0] and ("ip", "10 . 20 . 30 . 40") in found[1]
+    assert ("email", "joe at mail dot org") in found[2]
+    assert ("phone", "030 1234 5678") in found[3] and ("phone", "(319) 555-0100") in found[3]
+    assert ("card", "378282246310005") in found[4]
+
+
 def test_no_python_in_the_plan_of_personal_data(odd):
     plan = find_personal_data(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
