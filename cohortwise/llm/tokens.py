@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from cohortwise.llm.common import bytes_of
+from cohortwise.llm.common import bytes_of, pieces
 
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+PART_BYTES = 2 << 20
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = ".,;:!?"
 SPACE_RUN = re.compile("[\\s\u180e][ \n]")
@@ -179,10 +180,20 @@ class PartEncoder:
         return parts, np.searchsorted(edges[:-1], bounds, "left")
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts of a column, and where each text begins; every distinct part is looked up once."""
+        """The ids of all texts of a column, and where each text begins.
+
+        Texts are taken a few megabytes at a time; each distinct part of those is looked up once.
+        """
         texts = column.fill_null("") if column.null_count else column
-        if not len(texts):
-            return np.zeros(0, self.kind), np.zeros(1, np.int64)
+        found, bounds, total = [np.zeros(0, self.kind)], [np.zeros(1, np.int64)], 0
+        for a, b in pieces(bytes_of(texts)[1], PART_BYTES):
+            ids, at = self._encoded(texts.slice(a, b - a))
+            found.append(ids)
+            bounds.append(at[1:] + total)
+            total += len(ids)
+        return np.concatenate(found), np.concatenate(bounds)
+
+    def _encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts, at = self._word_parts(texts) if self.cut == "words" else self._spaced_parts(texts)
         coded = parts.dictionary_encode()
         if self.cut == "words":
