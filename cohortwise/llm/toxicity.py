@@ -31,7 +31,8 @@ class ToxicitySettings:
     sizes: tuple[int, ...] = (3, 4, 5)
     bits: int = 18
     least_ratio: float = 0.5
-    least_errors: float = 3.5
+    least_errors: float = 2.5
+    shrink_errors: float = 3.0
     sample: int = 4000
     epochs: int = 20
     step: float = 0.3
@@ -102,15 +103,17 @@ def class_counts(rows: DataFrame, settings: ToxicitySettings) -> tuple[np.ndarra
 
 
 def ratios(counts: np.ndarray, n: np.ndarray, settings: ToxicitySettings) -> np.ndarray:
-    """Log-count ratio of each code, from the share of rows of each class that have it.
+    """Log-count ratio of each code, from the share of rows of each class that have it, shrunk by its error.
 
-    It is zero where it is below ``least_ratio`` in size, or less than ``least_errors`` standard errors
-    away from zero: n-grams of a single text say nothing about another one.
+    A ratio of ``shrink_errors`` standard errors keeps half of its size, one far above nearly all of it. It is zero
+    where it is below ``least_ratio``, or less than ``least_errors`` standard errors away from zero: n-grams of a
+    single text say nothing about another one.
     """
     share = (counts + 0.5) / (n[:, None] + 1.0)
     r = np.log(share[1]) - np.log(share[0])
     error = np.sqrt((1 / (counts + 0.5)).sum(0))
-    return np.where((np.abs(r) >= settings.least_ratio) & (np.abs(r) >= settings.least_errors * error), r, 0.0)
+    shrunk = r / (1 + (settings.shrink_errors * error / np.maximum(np.abs(r), 1e-12)) ** 2)
+    return np.where((np.abs(r) >= settings.least_ratio) & (np.abs(r) >= settings.least_errors * error), shrunk, 0.0)
 
 
 def _regress(sets: list[np.ndarray], y: np.ndarray, scale: np.ndarray, settings: ToxicitySettings) -> tuple[np.ndarray, float]:

@@ -124,3 +124,17 @@ def test_scores_of_odd_tables(odd, empty):
     for own, other in zip(sorted((tuple(r) for r in got), key=order), sorted(expected, key=order)):
         assert own[:5] == other[:5] and own[5:] == pytest.approx(other[5:], rel=1e-9)
     assert language_model_scores(empty).count() == 0
+
+
+def test_ratios_shrink_with_their_error():
+    from cohortwise.llm.toxicity import ToxicitySettings, ratios
+
+    settings = ToxicitySettings()
+    n = np.array([1000, 1000])
+    # codes: rare and common with the same ratio, a chance difference, none at all
+    counts = np.array([[2, 100, 50, 0], [20, 1000, 55, 0]])
+    got = ratios(counts, n, settings)
+    share = (counts + 0.5) / (n[:, None] + 1)
+    raw = np.log(share[1] / share[0])
+    assert 0 < got[0] < 0.8 * raw[0] and 0.9 * raw[1] < got[1] < raw[1] and got[2] == got[3] == 0
+    assert np.allclose(ratios(counts[::-1], n, settings), -got)
