@@ -20,7 +20,7 @@ from cohortwise.operators.ordering import hash_order_positions
 from cohortwise.spec import CONTINUOUS, AnalysisError
 
 REPEATS = 10
-PARTNER_BLOCK = 1 << 16
+PARTNER_BLOCK = 1 << 10
 BATCH_ROWS = 10_000
 ROUNDS = 4
 KEY_STEP = 2654435761  # fixed value: an odd number near 2**32 over the golden ratio
@@ -98,7 +98,9 @@ def shuffled_partners(df: DataFrame, key: str, columns: list[str], repeats: int,
         if held:
             yield from permutations(held)
 
-    dealt = rows.repartition("__block").sortWithinPartitions("__block", "__place")
+    # scoring the copies is the work: a number of tasks of its own keeps small tables from being put in one
+    tasks = min(blocks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartition(tasks, "__block").sortWithinPartitions("__block", "__place")
     return dealt.mapInArrow(work, schema).select("__row.*", "repeat", "__partner")
 
 
