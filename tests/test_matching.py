@@ -184,3 +184,13 @@ def test_balance_of_a_column_with_many_levels(spark):
     p0, p1 = 1 / n0, 1 / n1
     v0, v1 = (1 - 1 / n0) / (n0 - 1), (1 - 1 / n1) / (n1 - 1)
     assert values["k_level7"][0] == pytest.approx(abs(p1 - p0) / ((v0 + v1) / 2) ** 0.5)
+
+
+def test_unrolled_units_are_never_broadcast(spark):
+    """Their number shows in no estimate, so both joins that place them merge sorted sides."""
+    rows = spark.range(60).selectExpr("cast(id as string) AS key", "cast(id % 5 as double) AS x", "cast(id % 2 as int) AS code")
+    pairs = matching.match_rows(rows, "code", "x", "key", 4.0)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    placed = [line for line in plan.splitlines() if "Join [" in line and "_place" in line]
+    assert len(placed) == 2 and all("SortMergeJoin" in line for line in placed), plan
+    assert pairs.count() == 30
