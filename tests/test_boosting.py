@@ -119,6 +119,24 @@ def test_tasks_share_histograms(spark, people, monkeypatch):
         boosting.fit_tree(one.where(F.lit(False)), params)
 
 
+def test_barrier_tasks_read_files_that_are_cut_in_more_parts(spark, people, monkeypatch):
+    """A scan of more parts than tasks may not stand in a barrier stage."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", 500)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        table, _ = experiments.prepare(people, SPEC, 3)
+        assert table.tasks == 2 and table.rows.rdd.getNumPartitions() > 2
+        assert len(boosting.fit_tree(table, BoostingParams(max_iter=1)).trees) == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_default_fit_waits_for_no_barrier(people):
+    """An all-gather takes a second; 154 trees of some 30 splits would wait over an hour."""
+    assert -(-BoostingParams().fit_rows // boosting.TASK_ROWS) == 1
+
+
 def test_a_bounded_sample_is_fitted_beyond_fit_rows(people):
     table = boosting.fit_table(people, {}, "rich", "id", params=BoostingParams(fit_rows=300))
     assert 200 < table.rows.count() < 400
