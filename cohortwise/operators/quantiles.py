@@ -111,47 +111,58 @@ class _Rank:
             self.low, self.below = high, under_high + at_high
 
 
+def _by_bracket(searches: list[_Rank]) -> dict[tuple, list[_Rank]]:
+    """Searches that look at the same values; at first all of a column."""
+    found: dict[tuple, list[_Rank]] = {}
+    for s in searches:
+        found.setdefault((s.column, s.low, s.high), []).append(s)
+    return found
+
+
 def _narrow(df: DataFrame, values: dict, searches: list[_Rank], accuracy: int) -> None:
-    """Sketch the values inside each bracket, then count exactly around the proposed bounds.
+    """Sketch the values inside each bracket once, then count exactly around the proposed bounds.
 
     The bounds themselves are counted apart, so one value holding a third of the rows is
-    either the answer or falls out of the bracket.
+    either the answer or falls out of the bracket. Bounds that searches share are counted once.
     """
-    sketches = []
-    for s in searches:
-        value = values[s.column]
-        at = (s.rank - s.below) / max(s.inside - 1, 1)
-        margin = 2.0 / accuracy
-        pair = [max(0.0, at - margin), min(1.0, at + margin)]
-        sketches.append(F.percentile_approx(F.when(s.within(value), value), pair, accuracy))
-    bounds = df.agg(*sketches).first()
+    sketches, brackets = [], list(_by_bracket(searches).values())
+    margin = 2.0 / accuracy
+    for held in brackets:
+        value, shares = values[held[0].column], []
+        for s in held:
+            at = (s.rank - s.below) / max(s.inside - 1, 1)
+            shares += [max(0.0, at - margin), min(1.0, at + margin)]
+        sketches.append(F.percentile_approx(F.when(held[0].within(value), value), shares, accuracy))
+    bounds: dict[_Rank, tuple[float, float]] = {}
+    for held, found in zip(brackets, df.agg(*sketches).first(), strict=True):
+        bounds |= zip(held, zip(found[::2], found[1::2]))
+    edges = list(dict.fromkeys((s.column, edge) for s in searches for edge in bounds[s]))
     counts = []
-    for s, (low, high) in zip(searches, bounds, strict=True):
-        value = values[s.column]
-        counts += [
-            F.count_if(value < low),
-            F.count_if(value == low),
-            F.count_if(value < high),
-            F.count_if(value == high),
-        ]
-    found = list(df.agg(*counts).first())
-    for i, (s, (low, high)) in enumerate(zip(searches, bounds, strict=True)):
-        s.update(float(low), float(high), *found[4 * i : 4 * i + 4])
+    for column, edge in edges:
+        counts += [F.count_if(values[column] < edge), F.count_if(values[column] == edge)]
+    row = df.agg(*counts).first()
+    counted = {edge: (row[2 * i], row[2 * i + 1]) for i, edge in enumerate(edges)}
+    for s in searches:
+        low, high = bounds[s]
+        s.update(float(low), float(high), *counted[s.column, low], *counted[s.column, high])
 
 
 def _read_values(df: DataFrame, values: dict, searches: list[_Rank]) -> None:
     """Order the few values inside each bracket and read off the wanted ranks."""
     if not searches:
         return
+    brackets = list(_by_bracket(searches).values())
+    inside = [held[0].within(values[held[0].column]) & values[held[0].column].isNotNull() for held in brackets]
     entries = [
-        F.when(
-            s.within(values[s.column]) & values[s.column].isNotNull(),
-            F.struct(F.lit(i).alias("i"), values[s.column].alias("v")),
-        )
-        for i, s in enumerate(searches)
+        F.when(kept, F.struct(F.lit(i).alias("i"), values[held[0].column].alias("v")))
+        for i, (held, kept) in enumerate(zip(brackets, inside, strict=True))
     ]
+    near = F.lit(False)
+    for kept in inside:
+        near = near | kept
     counted = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
+        df.filter(near)  # most rows lie in no bracket
+        .select(F.explode(F.array(*entries)).alias("e"))
         .filter(F.col("e").isNotNull())
         .groupBy("e.i", "e.v")
         .agg(F.count("*").alias("n"))
@@ -159,11 +170,14 @@ def _read_values(df: DataFrame, values: dict, searches: list[_Rank]) -> None:
     # A partition of this window holds one bracket: at most ``inside_rows`` rows.
     upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
     spans = counted.withColumn("upto", upto)
-    hit = F.lit(False)
-    for i, s in enumerate(searches):
-        rank = s.rank - s.below
-        hit = hit | (
-            (F.col("i") == i) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-        )
-    for row in spans.filter(hit).collect():
-        searches[row.i].value = float(row.v)
+    hit, ranks = F.lit(False), []
+    for i, held in enumerate(brackets):
+        for s in held:
+            rank = s.rank - s.below
+            ranks.append((i, rank, s))
+            hit = hit | (
+                (F.col("i") == i) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+            )
+    found = spans.filter(hit).collect()
+    for i, rank, s in ranks:
+        s.value = next(float(r.v) for r in found if r.i == i and r.upto - r.n <= rank < r.upto)

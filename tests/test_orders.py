@@ -153,3 +153,18 @@ def test_splits_refuse_keys_that_do_not_tell_rows_apart(spark):
             splits.stratified_split(df, "y", "id")
     unknown = spark.createDataFrame([(f"r{i}", None if i == 3 else 1) for i in range(10)], "id string, y int")
     assert splits.add_folds(unknown, "y", "id", 2).filter("fold is null").count() == 1
+
+
+def test_one_sketch_serves_all_ranks_of_a_bracket(spark, monkeypatch):
+    """Twenty ranks of a column used to fill twenty equal sketches from every row."""
+    from cohortwise.operators import quantiles
+
+    made, sketch = [], F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *args: made.append(args) or sketch(*args))
+    df = spark.range(5000).select((F.col("id") * F.col("id") % 4999).cast("double").alias("a"), F.col("id").alias("b"))
+    shares = [i / 10 for i in range(11)]
+    found = quantiles.exact_quantiles(df, ["a", "b"], shares, direct_rows=10, inside_rows=4000, accuracy=100)
+    rows = df.toPandas()
+    for c in ("a", "b"):
+        assert np.allclose(found[c], np.quantile(rows[c], shares))
+    assert len(made) == 2
