@@ -21,7 +21,6 @@ from cohortwise.spec import CONTINUOUS, AnalysisError
 
 REPEATS = 10
 PARTNER_BLOCK = 1 << 10
-BATCH_ROWS = 10_000
 ROUNDS = 4
 KEY_STEP = 2654435761  # fixed value: an odd number near 2**32 over the golden ratio
 POINTS = 15
@@ -29,8 +28,8 @@ PROBABILITY = "probability"
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def permuted(size: int, repeat: int) -> np.ndarray:
-    """A bijection of ``0 .. size - 1`` of its own for each repeat.
+def permuted(size: int, repeat: int, places: np.ndarray | None = None) -> np.ndarray:
+    """Where a bijection of ``0 .. size - 1`` of its own for each repeat sends ``places`` (all of them).
 
     Four Feistel rounds over the halves of an even number of bits; places beyond ``size`` are sent on until they
     fall below it. Integers stay below 2**63, so SQL can repeat it.
@@ -47,61 +46,42 @@ def permuted(size: int, repeat: int) -> np.ndarray:
             left, right = right, left ^ (((right * key + (key >> 3)) % (1 << 32) >> 11) & mask)
         return left << half | right
 
-    place = once(np.arange(size, dtype=np.int64))
+    place = once(np.arange(size, dtype=np.int64) if places is None else places)
     while (beyond := np.flatnonzero(place >= size)).size:
         place[beyond] = once(place[beyond])
     return place
 
 
 def shuffled_partners(df: DataFrame, key: str, columns: list[str], repeats: int, per_block: int = PARTNER_BLOCK) -> DataFrame:
-    """Every row once per repeat, with the values of another row of a random permutation.
+    """Every row once per repeat, with the values of another row of a random permutation of the whole table.
 
-    Rows are put in the order of their hashed keys once, and dealt to blocks of that order, which are random parts
-    of the table; every repeat permutes the places of each block, so nothing is ordered or shuffled again.
+    Rows are put in the order of their hashed keys once. In every repeat each row sends its values to the place where
+    a bijection of all places leads, whatever task holds it; the rows themselves are shuffled once, not per repeat.
+    A task is given ``per_block`` places or more.
     """
     text = col(key).cast("string")
-    placed = hash_order_positions(df.withColumn("__h", F.md5(text)), "__h", "__place")
+    placed = hash_order_positions(df.withColumn("__h", F.md5(text)), "__h", "__place").select(
+        "__place", F.struct(*[col(c) for c in df.columns]).alias("__row")
+    ).persist()
     n = df.count()
-    blocks = max(1, -(-n // per_block))
-    rows = placed.select(
-        F.expr(f"__place * {blocks}L div {max(n, 1)}L").alias("__block"), "__place",
-        F.struct(*[col(c) for c in df.columns]).alias("__row"), F.struct(*[col(c) for c in columns]).alias("__partner"),
-    )
-    schema = T.StructType([T.StructField("repeat", T.IntegerType()), *rows.schema.fields[2:]])
+    sent = placed.select("__place", F.struct(*[F.col("__row")[c].alias(c) for c in columns]).alias("__partner"))
+    schema = T.StructType([T.StructField("repeat", T.IntegerType()), *sent.schema.fields])
 
     def work(batches):
-        def permutations(held):
-            table = pa.Table.from_batches(held).combine_chunks()
-            own, partner = (table.column(c).chunk(0) for c in ("__row", "__partner"))
-            for r in range(repeats):
-                places = permuted(len(own), r)
-                for a in range(0, len(own), BATCH_ROWS):
-                    at = slice(a, a + BATCH_ROWS)
-                    part = own[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), r, np.int32)), part, partner.take(pa.array(places[at]))],
-                        names=["repeat", "__row", "__partner"],
-                    )
-
-        held, now = [], None
         for batch in batches:
-            numbers = batch.column("__block").to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for a, b in zip(edges, edges[1:]):
-                if b == a:
-                    continue
-                if held and numbers[a] != now:
-                    yield from permutations(held)
-                    held = []
-                now = numbers[a]
-                held.append(batch.slice(a, b - a).select(["__row", "__partner"]))
-        if held:
-            yield from permutations(held)
+            places = batch.column("__place").to_numpy().astype(np.int64)
+            for r in range(repeats):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(places), r, np.int32)), pa.array(permuted(n, r, places)), batch.column("__partner")],
+                    names=schema.names,
+                )
 
     # scoring the copies is the work: a number of tasks of its own keeps small tables from being put in one
-    tasks = min(blocks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.repartition(tasks, "__block").sortWithinPartitions("__block", "__place")
-    return dealt.mapInArrow(work, schema).select("__row.*", "repeat", "__partner")
+    tasks = max(1, min(-(-n // per_block), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # Spark does not know that there are ``repeats`` times as many values: neither side is broadcast
+    partners = sent.mapInArrow(work, schema).repartition(tasks, "__place").hint("merge")
+    rows = placed.repartition(tasks, "__place").hint("merge")
+    return rows.join(partners, "__place").select("__row.*", "repeat", "__partner")
 
 
 def _with_one_replaced(

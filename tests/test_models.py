@@ -241,3 +241,12 @@ def test_every_row_is_a_partner_once_in_each_repeat(spark):
             assert sorted(x["__partner"].a for x in mine) == [float(i) for i in range(500)]
             assert all(x["__partner"].b == rows[int(x["__partner"].a)][2] and x.a == x.id for x in mine)
     assert explain.shuffled_partners(df.limit(0), "id", ["a"], 2).count() == 0
+
+
+def test_partners_come_from_the_whole_table(spark):
+    """Blocks of neighbouring places once kept a row's partners among its own thousand."""
+    rows = spark.range(6000).select(F.col("id"), F.col("id").cast("double").alias("a"))
+    order = {r.id: i for i, r in enumerate(rows.orderBy(F.md5(F.col("id").cast("string"))).collect())}
+    found = explain.shuffled_partners(rows, "id", ["a"], 2).collect()
+    gaps = np.array([abs(order[r.id] - order[int(r["__partner"].a)]) for r in found])
+    assert len(gaps) == 12_000 and 1800 < gaps.mean() < 2200  # a third of the rows, as of independent places
