@@ -48,7 +48,7 @@ def stored_paths(spark, folder):
 
 def column_contract(spark, folder):
     """Columns may come in any order; missing, further and repeated ones are refused."""
-    raw = raw_trade_text(spark, folder)
+    raw = raw_trade_text(spark, folder).persist()  # every table below is written from it
     names = raw.columns
     tables = {
         "as registered": raw,

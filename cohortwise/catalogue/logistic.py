@@ -27,8 +27,8 @@ def _fit(spark, folder, request):
 
 def design_matrix(spark, folder):
     request = AnalysisRequest("segment", ("quantity", "line_status", "return_flag"))
-    rows = _sample(spark, folder, request, "row_id")
-    return designs.design_matrix(rows, designs.build_design(rows, request, TRADE_SPEC), ["row_id"])
+    design = designs.build_design(_sample(spark, folder, request).persist(), request, TRADE_SPEC)  # the keys are not kept
+    return designs.design_matrix(_sample(spark, folder, request, "row_id"), design, ["row_id"])
 
 
 def kept_terms(spark, folder):

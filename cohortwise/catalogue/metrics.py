@@ -90,7 +90,7 @@ def confusion(spark, folder):
 def consistency(spark, folder):
     rows = trade_cohort(spark, folder, ["outcome", "predicted", "score"]).toDF(
         "y_test", "y_pred", "y_proba"
-    )
+    ).persist()
     stored = metrics.evaluate(rows, "y_test", "y_proba").withColumn(
         "precision", F.col("precision") + 0.25
     )

@@ -89,6 +89,25 @@ def top_impacts(impacts: DataFrame, key: str, top: int = TOP_IMPACTS) -> DataFra
     )
 
 
+def top_record_impacts(records: DataFrame, key: str, top: int = TOP_IMPACTS) -> DataFrame:
+    """``top_impacts`` of records that hold their impacts as an array: sorted inside the record, nothing is shuffled."""
+    points = F.transform("__impacts", lambda e: F.struct(
+        (e["impact_probability"] * 100).alias("points"), e["feature"].alias("feature")
+    ))
+    # a missing impact comes last by size and first by sign, NaN first by size and last by sign
+    ranked = F.array_sort(F.transform(points, lambda e: F.struct(
+        e["points"].isNull().alias("missing"), (~F.isnan(e["points"])).alias("finite"), (-F.abs(e["points"])).alias("order"),
+        e["feature"].alias("feature"), e["points"].alias("points"),
+    )))
+    signed = F.array_sort(F.transform(F.slice(ranked, 1, top), lambda e: F.struct(e["points"], e["feature"])))
+    placed = records.select(col(key), F.posexplode(signed).alias("__place", "__e"))
+    return placed.select(
+        col(key), F.col("__e")["feature"].alias("feature"), (F.col("__place") + 1).alias("position"),
+        F.col("__e")["points"].alias("impact_percentage_points"),
+        impact_text(F.col("__e")["points"]).alias("impact_text"),
+    )
+
+
 def what_if_frame(grid: DataFrame, current: str) -> DataFrame:
     """What-if points with the current value flagged and a number to sort continuous ones by."""
     number = F.col("value").try_cast("double")
