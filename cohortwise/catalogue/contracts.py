@@ -48,7 +48,9 @@ def stored_paths(spark, folder):
 
 def column_contract(spark, folder):
     """Columns may come in any order; missing, further and repeated ones are refused."""
-    raw = raw_trade_text(spark, folder).persist()  # every table below is written from it
+    stored = scratch_folder(spark)  # every table below is written from it
+    raw_trade_text(spark, folder).write.parquet(stored)
+    raw = spark.read.parquet(stored)
     names = raw.columns
     tables = {
         "as registered": raw,
