@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortwise.catalogue import contracts
+from cohortwise.catalogue import contracts, matching
 from cohortwise.operators import cleaning, explain, frames, metrics, quantiles, unadjusted
 from cohortwise.sources import tables
 
@@ -46,6 +46,12 @@ def test_keys_are_hashed_before_the_join(spark):
     assert "md5" in plan and "md5" not in plan[: plan.index("Join Inner")]
 
 
+def test_matched_cohort_is_read_once(spark):
+    """The score is a column of the rows that are matched, not of a second cohort joined by key."""
+    rows = matching._scored_holes(spark, SMALL)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey") == 1
+
+
 def test_evaluation_reads_rows_once(spark, scored):
     tally = spark.sparkContext.accumulator(0)
     row = metrics.evaluate(counted(scored, tally), "y_test", "y_proba").first()
