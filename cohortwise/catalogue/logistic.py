@@ -138,8 +138,7 @@ ONE_CONTROL = AnalysisRequest("exposed", ("quantity",))
 
 def one_control(spark, folder):
     """A whole association request with one control: effect, joint test and margins."""
-    rows = _sample(spark, folder, ONE_CONTROL).persist()
-    result = association.analyze(rows, ONE_CONTROL, TRADE_SPEC)
+    result = association.analyze(_sample(spark, folder, ONE_CONTROL), ONE_CONTROL, TRADE_SPEC)
     effect = result.effects.select(
         F.lit("effect").alias("section"),
         F.inline(F.array(*[
@@ -147,8 +146,7 @@ def one_control(spark, folder):
             for m in ("coefficient", "odds_ratio", "ci_95_low", "ci_95_high")
         ])),
     )
-    test = logistic.joint_wald(association.fit_request(rows, ONE_CONTROL, TRADE_SPEC))
-    found = spark.createDataFrame([test], logistic.WALD_SCHEMA)
+    found = spark.createDataFrame([logistic.joint_wald(result.fit)], logistic.WALD_SCHEMA)
     wald_ = found.select(F.lit("wald").alias("section"), F.lit("statistic").alias("item"), F.col("statistic").alias("value"))
     margins = result.margins.select(
         F.lit("margin").alias("section"), F.col("exposure_value").alias("item"), F.col("adjusted_probability").alias("value")
@@ -168,7 +166,7 @@ def margin_grid(spark, folder):
 def association_counts(spark, folder):
     rows = cleaning.clean(raw_trade_text(spark, folder), RAW_SPEC)
     request = AnalysisRequest("quantity", ("segment", "return_flag"))
-    result = association.analyze(rows.persist(), request, RAW_SPEC)
+    result = association.analyze(rows, request, RAW_SPEC)
     return spark.createDataFrame(
         [(result.input_rows, result.sample_size, result.rows_excluded,
           result.diagnostics["adjustment_applied"])],

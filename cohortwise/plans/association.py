@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortwise.functions.columns import col
 from cohortwise.operators import binning, cleaning, logistic, unadjusted
 from cohortwise.operators.design import build_design
 from cohortwise.spec import BINARY, CATEGORICAL, CONTINUOUS, AnalysisError, AnalysisRequest, CohortSpec
@@ -27,6 +28,7 @@ class AssociationResult:
     overall_test: dict | None
     warnings: list[str] = field(default_factory=list)
     matching: object | None = None
+    fit: logistic.LogisticFit | None = None
 
     @property
     def rows_excluded(self) -> int:
@@ -58,8 +60,8 @@ def analyze(
 ) -> AssociationResult:
     """Unadjusted comparison, logistic adjustment, margins and optional matching.
 
-    Only complete cases of the requested columns take part. They are persisted once, because
-    every later step reads them again. Matching needs ``key``, a unique row identifier; it
+    Only complete cases of the requested columns take part. These columns alone are persisted, once, because
+    every later step reads them again; ``df`` is read once. Matching needs ``key``, a unique row identifier; it
     defaults to the spec's key.
     """
     cleaning.validate_request(df, request, spec)
@@ -68,8 +70,9 @@ def analyze(
     if request.include_psm:
         cleaning.require_columns(df, [key], "matching")
         columns.append(key)
-    input_rows = df.count()
-    sample = cleaning.complete_cases(df, columns).persist()
+    kept = df.select(*[col(c) for c in dict.fromkeys(columns)]).persist()
+    input_rows = kept.count()
+    sample = cleaning.complete_cases(kept, columns)
     size = sample.count()
     if size == 0:
         raise AnalysisError("no rows are left without missing values")
@@ -98,6 +101,7 @@ def analyze(
         overall_test=logistic.joint_wald(fit) if kind == CATEGORICAL else None,
         warnings=fit.warnings,
         matching=matching,
+        fit=fit,
     )
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cohortwise.catalogue import contracts, matching
 from cohortwise.operators import cleaning, explain, frames, metrics, quantiles, unadjusted
+from cohortwise.plans import association
 from cohortwise.sources import tables
+from cohortwise.spec import CONTINUOUS, AnalysisRequest, CohortSpec
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -52,6 +54,18 @@ def test_matched_cohort_is_read_once(spark):
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey") == 1
 
 
+def test_association_reads_rows_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(y), float(x), "unused") for y, x in zip(rng.integers(0, 2, 300), rng.integers(0, 9, 300))]
+    df = spark.createDataFrame([*rows, (None, 1.0, ""), (1, None, "")], "y int, x double, text string")
+    tally = spark.sparkContext.accumulator(0)
+    spec = CohortSpec(variables={"x": CONTINUOUS}, target="y")
+    result = association.analyze(counted(df, tally), AnalysisRequest("x"), spec)
+    assert (result.input_rows, result.sample_size) == (302, 300)
+    assert result.margins.count() and result.fit.design.rows == 300
+    assert tally.value == 302
+
+
 def test_evaluation_reads_rows_once(spark, scored):
     tally = spark.sparkContext.accumulator(0)
     row = metrics.evaluate(counted(scored, tally), "y_test", "y_proba").first()
