@@ -21,6 +21,9 @@ from cohortwise.spec import CONTINUOUS, AnalysisError
 
 REPEATS = 10
 PARTNER_BLOCK = 1 << 10
+BLOCK_PLACES = 1 << 17
+PACKED_ROWS = 1 << 18
+FEW = 256
 ROUNDS = 4
 KEY_STEP = 2654435761  # fixed value: an odd number near 2**32 over the golden ratio
 POINTS = 15
@@ -52,66 +55,168 @@ def permuted(size: int, repeat: int, places: np.ndarray | None = None) -> np.nda
     return place
 
 
-def shuffled_partners(df: DataFrame, key: str, columns: list[str], repeats: int, per_block: int = PARTNER_BLOCK) -> DataFrame:
-    """Every row once per repeat, with the values of another row of a random permutation of the whole table.
+def _compact(values: pa.Array) -> pa.Array:
+    """Few different values take a byte each."""
+    coded = values.dictionary_encode()
+    if len(coded.dictionary) > FEW:
+        return values
+    return pa.DictionaryArray.from_arrays(coded.indices.cast(pa.uint8()), coded.dictionary)
+
+
+def _packed(places: np.ndarray, partners: pa.StructArray, size: int, repeats: int, block: int):
+    """What these rows send in all repeats, one record per block of places: slots (repeat and place) and values."""
+    targets = np.concatenate([permuted(size, r, places) for r in range(repeats)])
+    homes = (targets // block).astype(np.int32)
+    slots = (targets - homes * np.int64(block) + np.repeat(np.arange(repeats) * block, len(places))).astype(np.int32)
+    order = np.argsort(homes, kind="stable")
+    homes, senders = homes[order], pa.array(order % max(len(places), 1))
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(slots[order]), *[_compact(c).take(senders) for c in partners.flatten()]],
+        names=[str(i) for i in range(partners.type.num_fields + 1)],
+    )
+    starts = np.flatnonzero(np.append(True, homes[1:] != homes[:-1])) if len(homes) else np.zeros(0, int)
+    sent = []
+    for a, b in zip(starts, [*starts[1:], len(homes)]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, whole.schema) as stream:
+            stream.write_batch(whole.slice(a, b - a))
+        sent.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(homes[starts], pa.int32()), pa.array(sent, pa.binary())], names=["__block", "__packed"])
+
+
+def _unpacked(packed: pa.ChunkedArray, repeats: int, block: int) -> tuple[np.ndarray, list]:
+    """The values sent to one block, and where among them each slot finds its own."""
+    tables = [pa.ipc.open_stream(p.as_buffer()).read_all() for p in packed]
+
+    def plain(values: pa.ChunkedArray) -> list:
+        return [c.dictionary_decode() if pa.types.is_dictionary(c.type) else c for c in values.chunks]
+
+    columns = [pa.concat_arrays([c for t in tables for c in plain(t.column(i))]) for i in range(tables[0].num_columns)]
+    where = np.zeros(repeats * block, np.int64)
+    where[columns[0].to_numpy()] = np.arange(len(columns[0]))
+    return where, columns[1:]
+
+
+def _dealt(df: DataFrame, key: str, columns: list[str], repeats: int, per_block: int, emit, schema: T.StructType) -> DataFrame:
+    """What ``emit`` makes of every block: its rows, the repeats with each row's partner, and the partners' values.
 
     Rows are put in the order of their hashed keys once. In every repeat each row sends its values to the place where
-    a bijection of all places leads, whatever task holds it; the rows themselves are shuffled once, not per repeat.
-    A task is given ``per_block`` places or more.
+    a bijection of all places leads, whatever task holds it. Places are dealt in blocks of ``per_block`` or more; the
+    rows are shuffled to their block once, and what many rows send to a block in all repeats is one packed record.
     """
     text = col(key).cast("string")
     placed = hash_order_positions(df.withColumn("__h", F.md5(text)), "__h", "__place").select(
         "__place", F.struct(*[col(c) for c in df.columns]).alias("__row")
     ).persist()
     n = df.count()
+    block = max(per_block, min(BLOCK_PLACES, -(-n // (4 * df.sparkSession.sparkContext.defaultParallelism))))
     sent = placed.select("__place", F.struct(*[F.col("__row")[c].alias(c) for c in columns]).alias("__partner"))
-    schema = T.StructType([T.StructField("repeat", T.IntegerType()), *sent.schema.fields])
 
-    def work(batches):
+    def pack(batches):
+        held, rows = [], 0
         for batch in batches:
-            places = batch.column("__place").to_numpy().astype(np.int64)
-            for r in range(repeats):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(places), r, np.int32)), pa.array(permuted(n, r, places)), batch.column("__partner")],
-                    names=schema.names,
-                )
+            held.append(batch)
+            rows += len(batch)
+            if rows >= PACKED_ROWS:
+                yield of(held)
+                held, rows = [], 0
+        if rows:
+            yield of(held)
+
+    def of(held):
+        places = np.concatenate([b.column("__place").to_numpy() for b in held]).astype(np.int64)
+        return _packed(places, pa.concat_arrays([b.column("__partner") for b in held]), n, repeats, block)
+
+    def deal(number, own: pa.Table, packed: pa.Table) -> pa.Table:
+        start = number[0].as_py() * block
+        size = own.num_rows
+        order = np.empty(size, np.int64)
+        order[own.column("__place").to_numpy() - start] = np.arange(size)
+        mine = pa.concat_arrays(own.column("__row").chunks).take(pa.array(order)).flatten()
+        where, values = _unpacked(packed.column("__packed"), repeats, block)
+        repeated = (where[r * block : r * block + size] for r in range(repeats))
+        return pa.Table.from_batches(emit(mine, repeated, values))
+
+    partners = sent.mapInArrow(pack, "__block int, __packed binary").groupBy("__block")
+    rows = placed.withColumn("__block", F.floor(F.col("__place") / block).cast("int")).groupBy("__block")
+    return rows.cogroup(partners).applyInArrow(deal, schema)
+
+
+def shuffled_partners(df: DataFrame, key: str, columns: list[str], repeats: int, per_block: int = PARTNER_BLOCK) -> DataFrame:
+    """Every row once per repeat, with the values of another row of a random permutation of the whole table."""
+    partner = df.select(F.struct(*[col(c) for c in columns]).alias("__partner")).schema["__partner"]
+    schema = T.StructType([*df.schema.fields, T.StructField("repeat", T.IntegerType()), partner])
+
+    def emit(mine, repeated, values):
+        kinds = [pa.field(f.name, v.type, f.nullable) for f, v in zip(partner.dataType.fields, values)]
+        for r, found in enumerate(repeated):
+            theirs = pa.StructArray.from_arrays([v.take(pa.array(found)) for v in values], fields=kinds)
+            number = pa.array(np.full(len(found), r, np.int32))
+            yield pa.RecordBatch.from_arrays([*mine, number, theirs], names=schema.names)
+
+    return _dealt(df, key, columns, repeats, per_block, emit, schema)
 
-    # scoring the copies is the work: a number of tasks of its own keeps small tables from being put in one
-    tasks = max(1, min(-(-n // per_block), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    # Spark does not know that there are ``repeats`` times as many values: neither side is broadcast
-    partners = sent.mapInArrow(work, schema).repartition(tasks, "__place").hint("merge")
-    rows = placed.repartition(tasks, "__place").hint("merge")
-    return rows.join(partners, "__place").select("__row.*", "repeat", "__partner")
 
+def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    coded = values.dictionary_encode(null_encoding="encode")
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
-def _with_one_replaced(
-    df: DataFrame, features: list[str], replacement: Callable[[str], Column], extra: list[str]
+
+def _patterns(columns: list[pa.Array], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the rows' different values, and a row of each."""
+    number, first = np.zeros(size, np.int64), np.zeros(min(size, 1), np.int64)
+    for c in columns:
+        codes, dictionary = _codes(c)
+        _, first, number = np.unique(number * len(dictionary) + codes, return_index=True, return_inverse=True)
+    return number, first
+
+
+def _tallied(pairs: np.ndarray, different: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that occur and how often."""
+    if different > 4 * len(pairs):
+        return np.unique(pairs, return_counts=True)
+    counts = np.bincount(pairs, minlength=different)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
+def permuted_patterns(
+    df: DataFrame, key: str, others: list[str], features: list[str], repeats: int, per_block: int = PARTNER_BLOCK
 ) -> DataFrame:
-    """One row per feature in which only that feature takes its replacement."""
-    variants = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            *[
-                (replacement(g) if g == f else col(g)).alias(g)
-                for g in features
-            ],
-        )
-        for f in features
-    ]
-    return df.select(*[col(c) for c in extra], F.inline(F.array(*variants)))
+    """Rows per feature and repeat in which only that feature has the value of the row's partner.
+
+    Rows of a block that agree in ``others`` and all features are one, with their number ``__n``.
+    """
+    rows = df.select(col(key).alias("__key"), *[col(c) for c in [*others, *features]])
+    kept = [T.StructField(f.name, f.dataType) for f in rows.schema.fields[1:]]
+    schema = T.StructType([
+        T.StructField("feature", T.StringType()), T.StructField("repeat", T.IntegerType()), T.StructField("__n", T.LongType()), *kept,
+    ])
+
+    def emit(mine, repeated, values):
+        mine, sent = mine[1:], [_codes(v) for v in values]
+        places = [len(others) + j for j in range(len(features))]
+        known = [_patterns([c for i, c in enumerate(mine) if i != place], len(mine[0])) for place in places]
+        for r, found in enumerate(repeated):
+            for place, feature, (codes, dictionary), (number, first) in zip(places, features, sent, known):
+                pairs, counts = _tallied(number * len(dictionary) + codes[found], len(first) * len(dictionary))
+                own, theirs = pa.array(first[pairs // len(dictionary)]), pa.array(pairs % len(dictionary))
+                columns = [dictionary.take(theirs) if i == place else c.take(own) for i, c in enumerate(mine)]
+                size = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([feature] * size, pa.string()), pa.array(np.full(size, r, np.int32)), pa.array(counts.astype(np.int64)), *columns],
+                    names=schema.names,
+                )
+
+    return _dealt(rows, "__key", features, repeats, per_block, emit, schema)
 
 
 def permuted_scores(
     df: DataFrame, y: str, key: str, features: Iterable[str], score: Scorer, repeats: int = REPEATS
 ) -> DataFrame:
     """ROC-AUC per feature and repeat after permuting that feature."""
-    features = list(features)
-    rows = df.select(col(key), col(y), *[col(f) for f in features])
-    partners = shuffled_partners(rows, key, features, repeats)
-    variants = _with_one_replaced(
-        partners, features, lambda f: F.col("__partner")[f], [y, "repeat"]
-    )
-    return roc_auc(score(variants), y, PROBABILITY, ["feature", "repeat"])
+    variants = permuted_patterns(df, key, [y], list(features), repeats)
+    return roc_auc(score(variants), y, PROBABILITY, ["feature", "repeat"], "__n")
 
 
 def permutation_importance(

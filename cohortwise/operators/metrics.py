@@ -32,14 +32,18 @@ def _times(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.col("__n"))), F.lit(0))
 
 
-def roc_auc(df: DataFrame, y: str, p: str, groups: Iterable[str] = ()) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, p: str, groups: Iterable[str] = (), n: str | None = None) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; one row per group.
 
-    Rows are first reduced to distinct scores, so any number of equal scores is one row.
+    Rows are first reduced to distinct scores, so any number of equal scores is one row. ``n`` counts the rows behind one.
     """
     groups = list(groups)
+
+    def rows(condition: Column) -> Column:
+        return F.count_if(condition) if n is None else F.sum(F.when(condition, col(n)).otherwise(0))
+
     scores = df.groupBy(*groups, col(p).cast("double").alias("__p")).agg(
-        F.count_if(col(y) == 1).alias("__pos"), F.count_if(col(y) == 0).alias("__neg")
+        rows(col(y) == 1).alias("__pos"), rows(col(y) == 0).alias("__neg")
     ).persist()
     return _area(scores, groups)
 

@@ -1,6 +1,7 @@
 """How often rows are read and what is shuffled by the shared steps of the queries."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,39 @@ def test_quantiles_of_few_values_need_no_narrowing(spark, monkeypatch):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     found = quantiles.exact_quantiles(df, ["x"], [0.05, 0.5, 0.95], direct_rows=2000, inside_rows=10)["x"]
     assert np.allclose(found, np.quantile(values, [0.05, 0.5, 0.95]))
+
+
+def test_partners_are_sent_as_one_record_per_block():
+    """A row's values were once a shuffled row of their own in each repeat."""
+    numbers, texts = pa.array([float(i) for i in range(4100)]), pa.array([None if i % 9 == 0 else f"v{i % 7}" for i in range(4100)])
+    own = pa.StructArray.from_arrays([numbers, texts], names=["a", "b"])
+    sent = explain._packed(np.arange(4100), own, 4100, 3, 1000)
+    assert sent.column("__block").to_pylist() == [0, 1, 2, 3, 4]
+    for k, size in enumerate([1000] * 4 + [100]):
+        where, values = explain._unpacked(pa.chunked_array([sent.column("__packed").slice(k, 1)]), 3, 1000)
+        for r in range(3):
+            senders = np.argsort(explain.permuted(4100, r))[k * 1000 : k * 1000 + size]
+            for found, whole in zip(values, (numbers, texts)):
+                assert found.take(pa.array(where[r * 1000 : r * 1000 + size])).to_pylist() == whole.take(pa.array(senders)).to_pylist()
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_importance_scores_patterns_not_rows(spark, few):
+    """Each row was scored once per repeat and feature, however many rows were alike."""
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 4, 900).astype(float) if few else rng.random(900)
+    rows = [(i, int(y), float(x), None if i % 11 == 0 else f"v{i % 3}") for i, (y, x) in enumerate(zip(rng.integers(0, 2, 900), a))]
+    df = spark.createDataFrame(rows, "id int, y int, a double, b string").repartition(3)
+    found = explain.permuted_patterns(df, "id", ["y"], ["a", "b"], 2, 300).collect()
+    long = explain.shuffled_partners(df, "id", ["a", "b"], 2, 300).collect()
+    for f in ("a", "b"):
+        expected, counted = {}, {}
+        for x in long:
+            k = (x["repeat"], x.y, x["__partner"].a if f == "a" else x.a, x["__partner"].b if f == "b" else x.b)
+            expected[k] = expected.get(k, 0) + 1
+        for x in found:
+            if x.feature == f:
+                k = (x["repeat"], x.y, x.a, x.b)
+                counted[k] = counted.get(k, 0) + x["__n"]
+        assert counted == expected
+    assert not few or len(found) <= 2 * 2 * 3 * 32  # two repeats and features, three blocks, 2 * 4 * 4 patterns
