@@ -143,6 +143,69 @@ def test_a_bounded_sample_is_fitted_beyond_fit_rows(people):
     assert boosting.fit_table(people, {}, "rich", "id").rows.count() == 900
 
 
+def test_queries_fit_all_rows_beyond_fit_rows(spark, people, monkeypatch):
+    """Training and experiments take every labelled row, whatever the bound of a sample."""
+    params, seen = BoostingParams(fit_rows=300, max_iter=1), []
+    real = boosting.fit_calibrated
+    monkeypatch.setattr(boosting, "fit_calibrated", lambda table, *args, **named: seen.append(table) or real(table, *args, **named))
+    _, train_rows, _ = training.train(people, SPEC, params)
+    assert seen[0].rows.count() == train_rows.count() > 700
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)  # more parts than cores: tasks of one fit run at the same time
+    table = boosting.whole_table(people, {}, "rich", "id", params=params)
+    assert table.rows.count() == 900 and table.tasks == spark.sparkContext.defaultParallelism
+
+
+def test_rows_with_equal_codes_are_one_record():
+    _, codes, y = sample(1500)
+    weights = np.where(y == 1, 2.0, 0.5)
+    rows = trees.Patterns(BINS)
+    for a in range(0, len(y), 100):
+        rows.add(codes[a : a + 100], y[a : a + 100], weights[a : a + 100])
+    found, total, positive, counts = rows.records()
+    assert len(found) == len({tuple(c) for c in codes.tolist()}) and counts.sum() == len(y)
+    for c, w, p, n in zip(found.tolist(), total, positive, counts):
+        same = (codes == c).all(axis=1)
+        assert n == same.sum() and np.isclose(w, weights[same].sum()) and np.isclose(p, (weights * y)[same].sum())
+
+
+@pytest.mark.parametrize("params", [
+    BoostingParams(max_iter=5), BoostingParams(max_iter=5, max_depth=None, max_leaf_nodes=6, min_rows_per_leaf=5),
+    BoostingParams(max_iter=5, max_depth=4, max_leaf_nodes=None), BoostingParams(max_iter=5, max_depth=None, max_leaf_nodes=2),
+])
+def test_splits_counted_ahead_give_the_same_trees(params):
+    """A level in one exchange: at most one for the sums, and one per level and tree, for trees bounded by depth."""
+    _, codes, y = sample(3000)
+    asked = []
+
+    def grown(shared):
+        rows = trees.Patterns(BINS)
+        rows.add(codes, y, np.ones(len(y)))
+        return trees.boosted_patterns(rows, BINS, params, lambda v: asked.append(shared) or v, shared)
+
+    for s, t in zip(grown(False), grown(True), strict=True):
+        assert s.features.tolist() == t.features.tolist() and np.allclose(s.values, t.values)
+    if params.max_depth:
+        assert sum(asked) <= 1 + params.max_iter * params.max_depth
+
+
+def test_scores_by_tables_are_those_of_the_walk(monkeypatch):
+    columns, codes, y = sample(3000)
+    for leaves in (5, 40, 90):
+        grown = boosted(codes, y, np.ones(len(y)), BINS, BoostingParams(max_iter=4))
+        rng = np.random.default_rng(leaves)
+        for t in grown[1:]:  # a chain of random splits, as deep as it has leaves
+            n = 2 * leaves - 1
+            t.features = np.array([int(rng.integers(2)) if i % 2 == 0 and i < n - 1 else -1 for i in range(n)])
+            t.left = np.array([i + 1 if f >= 0 else -1 for i, f in enumerate(t.features)])
+            t.right = np.array([i + 2 if f >= 0 else -1 for i, f in enumerate(t.features)])
+            t.values = np.where(t.features < 0, rng.normal(size=n), 0.0)
+            t.goes_left = [rng.random(BINS.sizes[f]) < 0.2 if f >= 0 else np.zeros(0, bool) for f in t.features]
+        model = TreeModel(BINS, grown)
+        local = BINS.codes(columns) - BINS.offsets[:-1].astype(np.int32)
+        assert np.allclose(model.margins(columns), model._walked(local, np.zeros(len(y))))
+    assert len(TreeModel(BINS, grown).margins([pa.array([], pa.float64()), pa.array([], pa.string())])) == 0
+
+
 def brute_isotonic(x, y):
     order = sorted(set(x))
     blocks = [[y[x == v].sum(), float((x == v).sum()), [v]] for v in order]
