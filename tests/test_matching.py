@@ -194,3 +194,25 @@ def test_unrolled_units_are_never_broadcast(spark):
     placed = [line for line in plan.splitlines() if "Join [" in line and "_place" in line]
     assert len(placed) == 2 and all("SortMergeJoin" in line for line in placed), plan
     assert pairs.count() == 30
+
+
+def test_matched_pairs_are_stored_once(spark, tmp_path):
+    """A pair is written as one record of columns; nothing of the matched table is checkpointed as plain rows."""
+    from cohortwise import session
+
+    rows = spark.createDataFrame([(f"k{i}", i % 2, float(i)) for i in range(50)], "`row key` string, code int, score double")
+    pairs = matching.match_rows(rows, "code", "score", "row key", 1.0)
+    kept = session.stored(pairs)
+    assert kept.dtypes == pairs.dtypes and sorted(map(str, kept.collect())) == sorted(map(str, pairs.collect()))
+    assert matching.matched_table(kept, "row key").count() == 2 * kept.count() == 50
+    assert kept.inputFiles() and "Scan parquet" in kept._jdf.queryExecution().toString()
+
+
+def test_places_by_digests_in_bytes_are_those_in_text(spark):
+    rows = spark.createDataFrame([(None if i == 7 else f"k{i}", i % 3) for i in range(400)], "id string, g int")
+    from cohortwise.operators.ordering import hash_order_positions
+
+    text = hash_order_positions(rows.withColumn("h", F.md5("id")), "h", "place", ["g"], 2)
+    plain = hash_order_positions(rows.withColumn("h", F.unhex(F.md5("id"))), "h", "place", ["g"], 1)
+    names = ("id", "g", "place")
+    assert sorted(map(str, text.select(*names).collect())) == sorted(map(str, plain.select(*names).collect()))
